@@ -23,7 +23,7 @@ FRAME_ROWS = 100_000
 
 def block_count(df: DataFrame) -> int:
     """One block per 128 MB of estimated input, at most the session's shuffle partitions."""
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     ceiling = max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return min(max(4, estimate // BLOCK_BYTES), ceiling)
 

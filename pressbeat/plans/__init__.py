@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ("traffic", "sources")
+AREAS = ("traffic", "sources", "frame", "cleaning", "joining", "stats")
 
 
 def load_all() -> None:

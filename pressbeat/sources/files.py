@@ -82,18 +82,21 @@ def write_out(
 def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "append", files_per_partition: int = 8) -> None:
     """Partitioned Parquet: rows of one partition value go to a handful of tasks, not to all and not to one.
 
-    A random salt keeps a partition value that holds a large part of the rows from landing in one task.
+    A salt by row number keeps a partition value that holds a large part of the rows from landing in
+    one task, copies of one row included.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
-    spread = salted.repartition(*columns, "_salt").drop("_salt")
-    write_out(spread, path, "parquet", mode, partition_by=columns)
+    write_out(salted(df, columns, files_per_partition), path, "parquet", mode, partition_by=columns)
+
+
+def salted(df: DataFrame, columns: list[str], spread: int) -> DataFrame:
+    """Rows brought together by ``columns``, each value over at most ``spread`` tasks."""
+    numbered = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(spread)))
+    return numbered.repartition(*columns, "_salt").drop("_salt")
 
 
 def load_partitioned(df: DataFrame, path: str, derive: dict[str, Column], mode: str = "overwrite") -> None:
     """Staged rows into a table partitioned by derived columns; only the partitions present are replaced."""
-    staged = df.withColumns(derive)
-    salted = staged.withColumn("_salt", F.pmod(F.xxhash64(*staged.columns), F.lit(8)))
-    spread = salted.repartition(*derive, "_salt").drop("_salt")
+    spread = salted(df.withColumns(derive), list(derive), 8)
     spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*derive).parquet(path)
 
 
