@@ -56,7 +56,11 @@ def mean_udf():
 
 
 def centre_groups(df: DataFrame, key: str, measure: str) -> DataFrame:
-    """Grouped map: each value minus its group's mean. Groups must fit a task, so callers group finely."""
+    """Grouped map: each value minus its group's mean.
+
+    A group is one pandas frame, so pass rows already reduced to a bounded number per group (days of a
+    calendar, say); ``operators.stats.group_transform`` is the form for detail rows.
+    """
     schema = T.StructType([*df.schema.fields, T.StructField("centred", T.DoubleType())])
 
     def centre(group: pd.DataFrame) -> pd.DataFrame:

@@ -124,12 +124,13 @@ def value_positions(df: DataFrame, column: str, part: Sequence[str] = ()) -> Dat
     return running(counts, {"upto": ("sum", "n"), "dense": ("sum", F.lit(1).cast("bigint"))}, [column], part)
 
 
-def same_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    """Null-safe equality of the named columns."""
+def join_same(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on the named columns in which NULL matches NULL."""
+    renamed = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     condition = F.lit(True)
-    for column in columns:
-        condition = condition & left[column].eqNullSafe(right[column])
-    return condition
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+    return df.join(renamed, condition, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def rank_by(df: DataFrame, column: str, part: Sequence[str] = (), descending: bool = False) -> DataFrame:
@@ -142,9 +143,7 @@ def rank_by(df: DataFrame, column: str, part: Sequence[str] = (), descending: bo
     if descending:
         totals = positions.groupBy(*part).agg(F.max("upto").alias("_all"), F.max("dense").alias("_kinds"))
         if part:
-            positions = positions.join(totals, same_group(positions, totals, part)).select(
-                *[positions[c] for c in positions.columns], "_all", "_kinds"
-            )
+            positions = join_same(positions, totals, part)
         else:
             positions = positions.withColumns(
                 {"_all": totals.select("_all").scalar(), "_kinds": totals.select("_kinds").scalar()}
@@ -158,8 +157,7 @@ def rank_by(df: DataFrame, column: str, part: Sequence[str] = (), descending: bo
     else:
         ranked = positions.select(*part, column, (F.col("upto") - F.col("n") + 1).alias("rank"), F.col("dense").alias("dense_rank"), "n")
     ranked = ranked.withColumn("rank_avg", F.col("rank") + (F.col("n") - 1) / 2).drop("n")
-    joined = df.join(ranked, same_group(df, ranked, [*part, column]), "left")
-    return joined.select(*[df[c] for c in df.columns], "rank", "dense_rank", "rank_avg")
+    return join_same(df, ranked, [*part, column], "left")
 
 
 def quantiles(df: DataFrame, column: str, probabilities: dict[str, float], part: Sequence[str] = ()) -> DataFrame:
