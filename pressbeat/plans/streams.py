@@ -65,7 +65,7 @@ def _(t):
     nested = source.to_event_records(t.logs.filter("action IN ('view', 'comment')"))
     flat = source.to_event_records(t.logs.filter("action IN ('like', 'share')"), "flat")
     broken = source.to_event_records(t.logs.filter("action = 'search'"))
-    cut_off = broken.withColumn("value", F.expr("left(value, length(value) - 80)"))
+    cut_off = broken.withColumn("value", F.expr("left(value, length(value) - 30)"))
     path = source.publish(nested.union(flat).union(cut_off), scratch_path(t.spark, "mixed-topic"), slices=2, files=FILES)
     parsed = stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=FILES))
     kept = sinks.run_append(parsed)

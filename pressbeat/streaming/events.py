@@ -51,9 +51,14 @@ def quarantine(events: DataFrame) -> DataFrame:
 
 
 def timed(events: DataFrame, end: str | None = None, delay: str = DELAY) -> DataFrame:
-    """Events with a watermark. ``end`` is the time of the end-of-input record, which is dropped here:
-    after the watermark has seen it (a filter on the event time is not moved below the watermark)."""
+    """Events with a watermark.
+
+    ``end`` is the time of the end-of-input record. The watermark has to see that record before it is
+    dropped, and the optimizer moves a filter below the watermark unless it reads the event time; so
+    the other columns are made to depend on it.
+    """
     marked = valid(events).drop("value").withWatermark("event_time", delay)
     if end is None:
         return marked.filter(F.col("action") != END_ACTION)
-    return marked.filter(F.col("event_time") < F.lit(end).cast("timestamp"))
+    inside = F.col("event_time") < F.lit(end).cast("timestamp")
+    return marked.withColumns({c: F.when(inside, F.col(c)) for c in marked.columns if c != "event_time"}).filter(inside)

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pressbeat.operators.rollup import replace_latest, requery
@@ -51,8 +52,9 @@ def run_batches(
     return finish(writer.trigger(availableNow=True).start())
 
 
-def batches(spark, schema, path: str) -> DataFrame:
-    return spark.read.schema(schema.add("batch", "bigint")).option("basePath", path).parquet(path)
+def batches(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(with_batch).option("basePath", path).parquet(path)
 
 
 def run_upsert(stream: DataFrame, keys: Sequence[str], mode: str = "update") -> DataFrame:
