@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressbeat.storage import materialize
+from pressbeat.storage import estimated_bytes, materialize
 
 BLOCK = "_block"
 HEAD = "_head"
@@ -23,9 +23,8 @@ FRAME_ROWS = 100_000
 
 def block_count(df: DataFrame) -> int:
     """One block per 128 MB of estimated input, at most the session's shuffle partitions."""
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     ceiling = max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return min(max(4, estimate // BLOCK_BYTES), ceiling)
+    return min(max(4, estimated_bytes(df) // BLOCK_BYTES), ceiling)
 
 
 def ordered_blocks(df: DataFrame, order: Sequence[str], part: Sequence[str] = (), blocks: int | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ("traffic", "sources", "frame", "cleaning", "joining", "stats", "scalars", "summaries", "streams")
+AREAS = ("traffic", "sources", "frame", "cleaning", "joining", "stats", "scalars", "summaries", "streams", "lakes", "searching", "jobs")
 
 
 def load_all() -> None:

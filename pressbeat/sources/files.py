@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressbeat.storage import estimated_bytes
+
+SPREAD_BYTES = 64 * 1024 * 1024
 CORRUPT = "_corrupt_record"
 SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 FORMATS = ("parquet", "orc", "csv", "json", "text")
@@ -89,7 +92,8 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str =
 
 
 def salted(df: DataFrame, columns: list[str], spread: int) -> DataFrame:
-    """Rows brought together by ``columns``, each value over at most ``spread`` tasks."""
+    """Rows brought together by ``columns``, each value over at most ``spread`` tasks (one for small input)."""
+    spread = max(1, min(spread, estimated_bytes(df) // SPREAD_BYTES))
     numbered = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(spread)))
     return numbered.repartition(*columns, "_salt").drop("_salt")
 

@@ -40,3 +40,8 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
