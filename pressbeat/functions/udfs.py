@@ -10,20 +10,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def level_of(views: int | None) -> str | None:
-    """Popularity of a view count."""
-    if views is None:
-        return None
-    return "hot" if views >= 3000 else "normal" if views >= 1500 else "cold"
+# Functions shipped to the tasks are defined inside others, so they travel by value and the executors
+# need no copy of this package.
+
+
+def level_function():
+    """Popularity of a view count, as a plain function."""
+
+    def level_of(views: int | None) -> str | None:
+        if views is None:
+            return None
+        return "hot" if views >= 3000 else "normal" if views >= 1500 else "cold"
+
+    return level_of
 
 
 def level_udf():
     """Row-at-a-time function; ``operators.traffic.tier`` is the built-in form."""
-    return F.udf(level_of, T.StringType())
+    return F.udf(level_function(), T.StringType())
 
 
 def register_level(spark: SparkSession, name: str = "popularity_level") -> None:
-    spark.udf.register(name, level_of, T.StringType())
+    spark.udf.register(name, level_function(), T.StringType())
 
 
 def tags_udf():

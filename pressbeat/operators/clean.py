@@ -51,6 +51,11 @@ def interpolate(df: DataFrame, column: str, order: Sequence[str], part: Sequence
     return both.withColumn(column, value).drop("_at", "_low", "_low_at", "_high", "_high_at")
 
 
+def row_digest(*columns: str) -> Column:
+    """SHA-256 of the columns: a short stand-in for long values as a grouping key."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first") -> DataFrame:
     """One row per key, the first or last in the order. Reduced map-side, so copies of a key do not pile up."""
     rest = [c for c in df.columns if c not in keys and c not in order]

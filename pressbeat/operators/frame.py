@@ -107,6 +107,25 @@ def union_distinct(*frames: DataFrame) -> DataFrame:
     return union_all(*frames).distinct()
 
 
+def intersect(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows in both. Each side is reduced to distinct rows first, so copies are not shuffled into the join."""
+    return left.distinct().intersect(right.distinct())
+
+
+def subtract(left: DataFrame, right: DataFrame) -> DataFrame:
+    return left.distinct().subtract(right.distinct())
+
+
+def members(df: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs in ``others``."""
+    return df.join(others.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def non_members(df: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key does not occur in ``others``."""
+    return df.join(others.select(*keys).distinct(), list(keys), "left_anti")
+
+
 def grid(df: DataFrame, rows: str, column: str, limit: int = 1000) -> DataFrame:
     """Every combination of the values of two small dimensions, absent ones included.
 

@@ -89,41 +89,44 @@ def weighed(tf: Column, df: Column, length: Column, docs: Column, mean_length: C
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
 
 
-def match(docs: DataFrame, key: str, text: str | Column, query: str, where: Column | None = None) -> DataFrame:
-    """(key, score) of documents holding any query term. Collection statistics cover all documents;
-    ``where`` only limits what is returned."""
+def multi_match(docs: DataFrame, key: str, fields: Mapping[str, tuple[Column, float]], query: str, where: Column | None = None) -> DataFrame:
+    """(key, score) of documents that hold a query term in any field; the score is that of the best field
+    after its boost. All fields are counted in one scan.
+
+    Collection statistics cover all documents; ``where`` only limits what is returned.
+    """
     terms = list(dict.fromkeys(query_terms(query)))
     if not terms:
         raise ValueError("the query holds no term")
-    cut = docs.select(key, tokens(text).alias("_tokens"), (where if where is not None else F.lit(True)).alias("_wanted"))
-    counted = cut.select(
-        key, "_wanted", F.size("_tokens").cast("bigint").alias("_length"),
-        *[occurrences("_tokens", term).alias(f"_tf{i}") for i, term in enumerate(terms)],
-    )
-    narrow = materialize(counted, "term-counts")
-    statistics = narrow.agg(
-        F.struct(
-            F.count_if(F.col("_length") > 0).alias("docs"), F.avg(F.when(F.col("_length") > 0, F.col("_length"))).alias("mean"),
-            *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
-        ).alias("s")
-    ).scalar()
-    found = narrow.filter(F.col("_wanted") & reduce(lambda a, b: a | b, [F.col(f"_tf{i}") > 0 for i in range(len(terms))]))
-    scored = found.withColumn("_s", statistics)
-    parts = [
-        weighed(F.col(f"_tf{i}"), F.col(f"_s.df{i}"), F.col("_length"), F.col("_s.docs"), F.col("_s.mean")) for i in range(len(terms))
-    ]
-    return scored.select(key, reduce(lambda a, b: a + b, parts).alias("score"))
-
-
-def multi_match(docs: DataFrame, key: str, fields: Mapping[str, tuple[Column, float]], query: str) -> DataFrame:
-    """Best field: the highest boosted score over the fields, for documents that match in any."""
-    scored = None
-    for name, (text, boost) in fields.items():
-        field = match(docs, key, text, query).select(key, (F.col("score") * boost).alias(f"_{name}"))
-        scored = field if scored is None else scored.join(field, key, "full")
-    scores = [f"_{name}" for name in fields]
-    best = F.greatest(*scores) if len(scores) > 1 else F.col(scores[0])
-    return scored.select(key, best.alias("score"))
+    names = {field: [f"_{field}_tf{i}" for i in range(len(terms))] for field in fields}
+    wanted = where if where is not None else F.lit(True)
+    cut = docs.select(key, wanted.alias("_wanted"), *[tokens(text).alias(f"_{field}") for field, (text, _boost) in fields.items()])
+    counted = [F.size(f"_{field}").cast("bigint").alias(f"_{field}_length") for field in fields]
+    counted += [occurrences(f"_{field}", term).alias(name) for field in fields for term, name in zip(terms, names[field])]
+    narrow = materialize(cut.select(key, "_wanted", *counted), "term-counts")
+    facts = []
+    for field in fields:
+        length = F.col(f"_{field}_length")
+        facts += [F.count_if(length > 0).alias(f"_{field}_docs"), F.avg(F.when(length > 0, length)).alias(f"_{field}_mean")]
+        facts += [F.count_if(F.col(name) > 0).alias(f"{name}_df") for name in names[field]]
+    statistics = narrow.agg(F.struct(*facts).alias("s")).scalar()
+    any_term = reduce(lambda a, b: a | b, [F.col(name) > 0 for field in fields for name in names[field]])
+    found = narrow.filter(F.col("_wanted") & any_term).withColumn("_s", statistics)
+    scores = []
+    for field, (_text, boost) in fields.items():
+        of_field = [
+            weighed(F.col(name), F.col(f"_s.{name}_df"), F.col(f"_{field}_length"), F.col(f"_s._{field}_docs"), F.col(f"_s._{field}_mean"))
+            for name in names[field]
+        ]
+        hit = reduce(lambda a, b: a | b, [F.col(name) > 0 for name in names[field]])
+        scores.append(F.when(hit, reduce(lambda a, b: a + b, of_field) * boost))
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    return found.select(key, best.alias("score"))
+
+
+def match(docs: DataFrame, key: str, text: str, query: str, where: Column | None = None) -> DataFrame:
+    """(key, score) of documents holding any query term."""
+    return multi_match(docs, key, {"text": (F.col(text), 1.0)}, query, where)
 
 
 def phrase(docs: DataFrame, key: str, text: str, query: str) -> DataFrame:

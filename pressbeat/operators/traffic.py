@@ -162,7 +162,8 @@ def interaction_rate(logs: DataFrame, posts: DataFrame, n: int = 10) -> DataFram
 def share_of_total(df: DataFrame, keys: list[str], within: list[str] | None = None) -> DataFrame:
     """Row count per key and its percentage of the total (or of the total within ``within``)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
-    total = F.sum("cnt").over(Window.partitionBy(*(within or [])))
+    # the grand total is a scalar over the counts, so no window gathers all of them
+    total = F.sum("cnt").over(Window.partitionBy(*within)) if within else counts.agg(F.sum("cnt")).scalar()
     return counts.withColumn("pct", F.round(percent(F.col("cnt"), total), 9))
 
 
@@ -334,7 +335,7 @@ def city_traffic(logs: DataFrame, users: DataFrame) -> DataFrame:
     """Page views, visitors and share per city; one row per user is all that meets the user table."""
     per_user = logs.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     cities = with_city(per_user, users).groupBy("city").agg(F.sum("n").alias("pv"), F.count(F.lit(1)).alias("uv"))
-    return cities.withColumn("pv_pct", F.round(percent(F.col("pv"), F.sum("pv").over(Window.partitionBy())), 9))
+    return cities.withColumn("pv_pct", F.round(percent(F.col("pv"), cities.agg(F.sum("pv")).scalar()), 9))
 
 
 def dimension_actions(logs: DataFrame, dimension: str) -> DataFrame:

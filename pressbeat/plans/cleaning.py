@@ -85,7 +85,8 @@ def _(t):
 
 @query("distinct_rows", "SELECT count(*) AS n FROM (SELECT DISTINCT text, lang FROM documents)")
 def _(t):
-    return t.docs.select("text", "lang").distinct().agg(row_count().alias("n"))
+    # whole rows are compared by digest, so the texts themselves are not shuffled
+    return t.docs.select(ops.row_digest("text", "lang").alias("digest")).distinct().agg(row_count().alias("n"))
 
 
 @query("dedup_first", """
@@ -98,14 +99,15 @@ def _(t):
 @query("dedup_last", """
 SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS r FROM documents) WHERE r = 1""")
 def _(t):
-    hashed = t.docs.select("text", "doc_id", "lang")
-    return ops.keep_one(hashed, ["text"], ["doc_id"], keep="last").select("doc_id", "lang")
+    hashed = t.docs.select(ops.row_digest("text").alias("digest"), "doc_id", "lang")
+    return ops.keep_one(hashed, ["digest"], ["doc_id"], keep="last").select("doc_id", "lang")
 
 
 @query("dup_flag", """
 SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 AS duplicate FROM documents""")
 def _(t):
-    return ops.duplicate_flag(t.docs.select("doc_id", "text"), ["text"], "doc_id").select("doc_id", "duplicate")
+    hashed = t.docs.select("doc_id", ops.row_digest("text").alias("digest"))
+    return ops.duplicate_flag(hashed, ["digest"], "doc_id").select("doc_id", "duplicate")
 
 
 @query("tag_normalise", """

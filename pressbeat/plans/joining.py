@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pressbeat.operators import frame
 from pressbeat.operators import joins as ops
 from pressbeat.functions.aggregates import row_count
 from pressbeat.plans.base import query
@@ -72,9 +73,9 @@ def _(t):
 
 @query("join_semi", "SELECT user_id, city FROM users WHERE user_id IN (SELECT user_id FROM logs WHERE action = 'like' AND user_id IS NOT NULL)", "logs", "users")
 def _(t):
-    return t.users.select("user_id", "city").join(t.logs.filter("action = 'like'"), "user_id", "left_semi")
+    return frame.members(t.users.select("user_id", "city"), t.logs.filter("action = 'like'"), ["user_id"])
 
 
 @query("join_anti", "SELECT user_id, city FROM users WHERE user_id NOT IN (SELECT user_id FROM logs WHERE user_id IS NOT NULL)", "logs", "users")
 def _(t):
-    return t.users.select("user_id", "city").join(t.logs, "user_id", "left_anti")
+    return frame.non_members(t.users.select("user_id", "city"), t.logs, ["user_id"])

@@ -51,9 +51,9 @@ def _(t):
     return joined.join(names, "status")
 
 
-@query("fn_string_split", "SELECT post_id, string_split(title, ' ') AS parts, replace(title, 'ring', 'band') AS replaced FROM articles", "articles")
+@query("fn_string_split", "SELECT post_id, len(string_split(title, ' '))::INTEGER AS parts, string_split(title, ' ')[2] AS second, replace(title, 'ring', 'band') AS replaced FROM articles", "articles")
 def _(t):
-    return t.articles.select("post_id", F.split("title", " ").alias("parts"), F.replace(F.col("title"), F.lit("ring"), F.lit("band")).alias("replaced"))
+    return t.articles.select("post_id", F.size(F.split("title", " ")).alias("parts"), F.get(F.split("title", " "), F.lit(1)).alias("second"), F.replace(F.col("title"), F.lit("ring"), F.lit("band")).alias("replaced"))
 
 
 @query("fn_regex", """
@@ -130,14 +130,14 @@ def _(t):
 
 
 @query("fn_array", """
-SELECT post_id, len(a)::INT AS n, a[1] AS first_tag, a[9] AS ninth, list_sort(list_distinct(a)) AS kinds, array_to_string(a, '|') AS joined, list_contains(a, 'ring') AS is_ring
+SELECT post_id, len(a)::INT AS n, a[1] AS first_tag, a[9] AS ninth, array_to_string(list_sort(list_distinct(a)), ',') AS kinds, array_to_string(a, '|') AS joined, list_contains(a, 'ring') AS is_ring
 FROM (SELECT post_id, list_concat(string_split(title, ' '), [lower(category), string_split(title, ' ')[1]]) AS a FROM articles)""", "articles")
 def _(t):
     words = F.split("title", " ")
     tags = F.flatten(F.array(words, F.array(F.lower("category"), F.get(words, F.lit(0)))))
     return t.articles.select("post_id", tags.alias("a")).select(
         "post_id", F.size("a").alias("n"), F.get("a", F.lit(0)).alias("first_tag"), F.get("a", F.lit(8)).alias("ninth"),
-        F.array_sort(F.array_distinct("a")).alias("kinds"), F.array_join("a", "|").alias("joined"), F.array_contains("a", "ring").alias("is_ring"),
+        F.array_join(F.array_sort(F.array_distinct("a")), ",").alias("kinds"), F.array_join("a", "|").alias("joined"), F.array_contains("a", "ring").alias("is_ring"),
     )
 
 
@@ -174,10 +174,10 @@ def _(t):
 TAGS = "list_filter(list_transform(string_split(lower(tags), ','), lambda x: trim(x)), lambda x: x <> '')"
 
 
-@query("udf_array", f"SELECT post_id, {TAGS} AS tags, {TAGS} AS builtin_tags FROM articles", "articles")
+@query("udf_array", f"SELECT post_id, array_to_string({TAGS}, ',') AS tags, array_to_string({TAGS}, ',') AS builtin_tags FROM articles", "articles")
 def _(t):
     builtin = F.filter(F.transform(F.split(F.lower("tags"), ","), lambda tag: F.trim(tag)), lambda tag: tag != "")
-    return t.articles.select("post_id", udfs.tags_udf()("tags").alias("tags"), builtin.alias("builtin_tags"))
+    return t.articles.select("post_id", F.array_join(udfs.tags_udf()("tags"), ",").alias("tags"), F.array_join(builtin, ",").alias("builtin_tags"))
 
 
 @query("udf_pandas_scalar", "SELECT post_id, views + likes * 5 AS score FROM posts", "posts")

@@ -251,7 +251,7 @@ def _(t):
     return placed.orderBy("category", F.desc("views"), "post_id")
 
 
-@query("sort_within")
+@query("sort_within", "SELECT category, views, post_id FROM posts", "posts")
 def _(t):
     df = t.posts.select("category", "views", "post_id")
     return df.repartition("category", F.pmod("post_id", F.lit(16))).sortWithinPartitions("category", F.desc("views"))
@@ -320,6 +320,7 @@ def _(t):
 
 
 @query("latest_n", """
-SELECT post_id, list(log_id ORDER BY place) AS latest FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY event_time DESC, log_id DESC) AS place FROM logs) WHERE place <= 5 GROUP BY post_id""", "logs")
+SELECT post_id, string_agg(log_id, ',' ORDER BY place) AS latest FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY event_time DESC, log_id DESC) AS place FROM logs) WHERE place <= 5 GROUP BY post_id""", "logs")
 def _(t):
-    return ranking.latest_n(t.logs.select("post_id", "log_id", "event_time"), "post_id", "log_id", 5, F.desc("event_time"), F.desc("log_id"))
+    newest = ranking.latest_n(t.logs.select("post_id", "log_id", "event_time"), "post_id", "log_id", 5, F.desc("event_time"), F.desc("log_id"))
+    return newest.withColumn("latest", F.array_join(F.transform("latest", lambda i: i.cast("string")), ","))

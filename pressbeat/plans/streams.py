@@ -185,10 +185,10 @@ def _(t):
 
 @query("stream_dedup", window_sql("1 DAY", "action", "action <> 'search'"), "logs")
 def _(t):
-    once = stream(t).filter("action <> 'search'").select("event_id", "action", "event_time")
+    events = stream(t).filter("action <> 'search'").select("event_id", "action", "event_time")
     # every record delivered twice, as an at-least-once reader may do
-    twice = once.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return sinks.run_append(windows.tumbling(twice.dropDuplicatesWithinWatermark(["event_id"]), "1 day", ["action"]))
+    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return sinks.run_append(windows.tumbling(windows.once(twice, "event_id"), "1 day", ["action"]))
 
 
 @query("stream_top5", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id ORDER BY n DESC, post_id LIMIT 5", "logs")
@@ -208,10 +208,10 @@ def _(t):
     return latest.withColumn("latest", F.col("latest").cast("timestamp_ntz"))
 
 
-@query("stream_uv", "SELECT action, count(DISTINCT user_id) AS uv FROM logs WHERE user_id IS NOT NULL GROUP BY action", "logs")
+@query("stream_uv", "SELECT action, count(DISTINCT user_id) AS uv, max(event_time) AS latest FROM logs WHERE user_id IS NOT NULL GROUP BY action", "logs")
 def _(t):
-    seen = stream(t).filter("user_id IS NOT NULL").select("action", "user_id").dropDuplicates(["action", "user_id"])
-    return sinks.run_complete(seen.groupBy("action").agg(F.count(F.lit(1)).alias("uv")))
+    pairs = sinks.run_upsert(windows.visitors(stream(t), "action"), ["action", "user_id"])
+    return pairs.groupBy("action").agg(F.count(F.lit(1)).alias("uv"), F.max("latest").cast("timestamp_ntz").alias("latest"))
 
 
 @query("stream_hot_tier", """

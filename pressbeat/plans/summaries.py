@@ -56,12 +56,15 @@ def _(t):
     return rollup.requery(day_rollup(t), ["city"], ["pv", "uv"])
 
 
-@query("rollup_uv_sketch")
+@query("rollup_uv_sketch", "SELECT device, count(*) AS pv, TRUE AS close FROM logs GROUP BY device", "logs")
 def _(t):
     old, new = halves(t, t.logs)
     keys = ["event_date", "device"]
     merged = rollup.sketch_rollup(old, keys).unionByName(rollup.sketch_rollup(new, keys))
-    return rollup.sketch_requery(merged, ["device"])
+    estimated = rollup.sketch_requery(merged, ["device"])
+    exact = t.logs.groupBy("device").agg(F.count_distinct("user_id").alias("exact"))
+    close = F.abs(F.col("uv") - F.col("exact")) <= F.col("exact") * 0.05
+    return estimated.join(exact, "device").select("device", "pv", close.alias("close"))
 
 
 @query("rollup_uv_exact", "SELECT device, count(DISTINCT user_id) AS uv FROM logs GROUP BY device", "logs")

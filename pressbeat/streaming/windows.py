@@ -56,6 +56,24 @@ def counts_by(events: DataFrame, *keys: str) -> DataFrame:
     return events.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def once(events: DataFrame, key: str, spread: int = 16) -> DataFrame:
+    """One event per key although the reader may deliver it again (within the watermark delay).
+
+    Copies are first dropped per key and share of the tasks, so the many copies of one event do not
+    all meet in one task.
+    """
+    shared = events.withColumn("_share", F.pmod(F.spark_partition_id(), F.lit(spread)))
+    return shared.dropDuplicatesWithinWatermark([key, "_share"]).drop("_share").dropDuplicatesWithinWatermark([key])
+
+
+def visitors(events: DataFrame, key: str) -> DataFrame:
+    """Running table of (key, user) with its last event time; distinct users per key are its row counts.
+
+    An aggregate, unlike a streaming deduplication, combines a very active user's rows before the shuffle.
+    """
+    return events.filter(F.col("user_id").isNotNull()).groupBy(key, "user_id").agg(F.max("event_time").alias("latest"))
+
+
 def longest_by(events: DataFrame, key: str) -> DataFrame:
     return events.groupBy(key).agg(
         F.max("duration").alias("longest"), F.min("duration").alias("shortest"), F.round(F.sum("duration"), 4).alias("total")
