@@ -7,6 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressbeat.storage import estimated_bytes, materialize
+
+
+HOT_SHARE = 0.01
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is within the session's broadcast threshold."""
+    threshold = df.sparkSession.sql("SET spark.sql.autoBroadcastJoinThreshold").first()["value"]
+    return estimated_bytes(df) <= threshold_bytes(threshold)
+
+
+def threshold_bytes(text: str) -> int:
+    """10485760, 10485760b, 10MB, -1 … in bytes."""
+    units = {"k": 10, "m": 20, "g": 30}
+    number = text.lower().rstrip("b")
+    return int(number[:-1]) << units[number[-1]] if number[-1] in units else int(number)
+
+
+def dimension_join(facts: DataFrame, dimension: DataFrame, key: str, hot_share: float = HOT_SHARE) -> DataFrame:
+    """Inner join of facts with a dimension whose ``key`` is unique, whatever share of the facts one key holds.
+
+    A small dimension is broadcast by Spark. Otherwise the keys that each hold more than ``hot_share``
+    of the facts, at most 1 / ``hot_share`` of them, are joined by broadcasting just their dimension
+    rows, and only the remaining facts are shuffled.
+    """
+    if fits_broadcast(dimension):
+        return facts.join(dimension, key)
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    limit = counts.agg(F.sum("n") * hot_share).scalar()
+    hot = materialize(counts.filter(F.col("n") > limit).select(key), "hot-keys")
+    hot_rows = dimension.join(F.broadcast(hot), key, "left_semi")
+    often = facts.join(F.broadcast(hot_rows), key)
+    rarely = facts.join(F.broadcast(hot), key, "left_anti").join(dimension, key)
+    return often.unionByName(rarely)
+
 
 def contains_join(left: DataFrame, text: str, right: DataFrame, needle: str, how: str = "inner", key: str | None = None, max_lengths: int = 1000) -> DataFrame:
     """Rows of ``right`` whose needle occurs in the text of a row of ``left``.

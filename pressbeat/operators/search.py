@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressbeat.operators.ordered import block_count
-from pressbeat.storage import materialize
+from pressbeat.storage import materialize, use_all_cores
 
 # BM25 parameters.
 K1, B = 1.2, 0.75
@@ -51,7 +51,7 @@ def query_terms(query: str) -> list[str]:
 
 def build_postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(term, key, tf, positions, doc_length); positions start at 1."""
-    cut = docs.select(key, tokens(text).alias("_tokens"))
+    cut = use_all_cores(docs.select(key, text)).select(key, tokens(text).alias("_tokens"))
     placed = cut.select(key, F.size("_tokens").alias("doc_length"), F.posexplode("_tokens").alias("_at", "term"))
     return placed.groupBy("term", key).agg(
         F.count(F.lit(1)).alias("tf"),
@@ -100,7 +100,7 @@ def multi_match(docs: DataFrame, key: str, fields: Mapping[str, tuple[Column, fl
         raise ValueError("the query holds no term")
     names = {field: [f"_{field}_tf{i}" for i in range(len(terms))] for field in fields}
     wanted = where if where is not None else F.lit(True)
-    cut = docs.select(key, wanted.alias("_wanted"), *[tokens(text).alias(f"_{field}") for field, (text, _boost) in fields.items()])
+    cut = use_all_cores(docs).select(key, wanted.alias("_wanted"), *[tokens(text).alias(f"_{field}") for field, (text, _boost) in fields.items()])
     counted = [F.size(f"_{field}").cast("bigint").alias(f"_{field}_length") for field in fields]
     counted += [occurrences(f"_{field}", term).alias(name) for field in fields for term, name in zip(terms, names[field])]
     narrow = materialize(cut.select(key, "_wanted", *counted), "term-counts")
@@ -136,7 +136,7 @@ def phrase(docs: DataFrame, key: str, text: str, query: str) -> DataFrame:
     when the terms are neighbours; positions are only counted in the documents found.
     """
     terms = query_terms(query)
-    cut = docs.select(key, tokens(text).alias("_tokens"))
+    cut = use_all_cores(docs.select(key, text)).select(key, tokens(text).alias("_tokens"))
     joined = F.concat(F.lit(" "), F.array_join("_tokens", " "), F.lit(" "))
     found = cut.filter(F.contains(joined, F.lit(" " + " ".join(terms) + " ")))
     starts = F.sequence(F.lit(1), F.size("_tokens") - (len(terms) - 1))
@@ -155,32 +155,41 @@ def phrase_in_index(index: DataFrame, key: str, query: str) -> DataFrame:
     return shifted.select(key, F.size(common).alias("hits")).filter("hits > 0")
 
 
-EDGE_BEFORE, EDGE_AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+LETTER = r"[\p{L}\p{N}]"
 
 
-def quoted(term: str) -> str:
-    return re.escape(term)
+def whole_word(terms: Sequence[str], before: str = f"(?<!{LETTER})") -> str:
+    words = "|".join(re.escape(term) for term in terms)
+    return f"(?i){before}({words})(?!{LETTER})"
 
 
 def marked(text: Column, terms: Sequence[str], pre: str = "<em>", post: str = "</em>") -> Column:
     """Whole-word occurrences of the terms put between the tags, in any case."""
-    words = "|".join(map(quoted, terms))
-    return F.regexp_replace(text, F.lit(f"(?i){EDGE_BEFORE}({words}){EDGE_AFTER}"), F.lit(f"{pre}$1{post}"))
-
-
-def fragments(text: Column, terms: Sequence[str], size: int) -> Column:
-    """Stretches of about ``size`` characters around whole-word occurrences of the terms."""
-    side, words = max(1, size // 2), "|".join(map(quoted, terms))
-    pattern = rf"(?is)(?:.{{0,{side - 1}}}[^\p{{L}}\p{{N}}]|^)(?:{words})(?:[^\p{{L}}\p{{N}}].{{0,{side - 1}}}|$)"
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.regexp_replace(text, F.lit(whole_word(terms)), F.lit(f"{pre}$1{post}"))
 
 
 def highlight(docs: DataFrame, key: str, text: str, query: str, size: int = 100, number: int = 1, pre: str = "<em>", post: str = "</em>") -> DataFrame:
-    """Up to ``number`` marked fragments of each document that holds a query term."""
-    terms = query_terms(query)
-    found = docs.select(key, fragments(F.col(text), terms, size).alias("_all")).filter(F.size("_all") > 0)
-    shown = F.transform(F.slice("_all", 1, number), lambda part: marked(part, terms, pre, post))
-    return found.select(key, shown.alias("fragments"))
+    """Up to ``number`` marked fragments of each document that holds a query term as a whole word.
+
+    A fragment reaches ``size`` / 2 characters to both sides of its first occurrence; the next one is
+    looked for behind it.
+    """
+    terms, side = query_terms(query), size // 2
+    longest = max(map(len, terms))
+    left = use_all_cores(docs.select(key, F.col(text).alias("_rest"))).filter(F.regexp_like("_rest", F.lit(whole_word(terms))))
+    later = whole_word(terms, r"(?<=[^\p{L}\p{N}])")
+    for i in range(number):
+        pattern = whole_word(terms) if i == 0 else later
+        at = F.regexp_instr("_rest", F.lit(pattern))
+        left = left.withColumn("_at", at)
+        start = F.greatest(F.lit(1 if i == 0 else 2), F.col("_at") - side)
+        end = F.col("_at") + longest + side
+        part = F.when(F.col("_at") > 0, F.substr(F.col("_rest"), start, end - start))
+        # one character before the rest stays, to tell whether a word starts there
+        rest = F.when(F.col("_at") > 0, F.substr(F.col("_rest"), end - 1)).otherwise(F.lit(""))
+        left = left.withColumns({f"_part{i}": part, "_rest": rest})
+    parts = F.array_compact(F.array(*[marked(F.col(f"_part{i}"), terms, pre, post) for i in range(number)]))
+    return left.select(key, parts.alias("fragments"))
 
 
 def title_and_body(pages: DataFrame) -> DataFrame:

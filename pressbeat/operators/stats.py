@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressbeat.operators.ordered import quantiles
+from pressbeat.storage import use_all_cores
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -48,7 +49,8 @@ def group_transform(df: DataFrame, key: str, measure: str) -> DataFrame:
 
 def words(df: DataFrame, column: str) -> DataFrame:
     """One row per whitespace-separated token."""
-    return df.select(F.explode(F.split(F.trim(F.regexp_replace(column, r"\s+", " ")), " ")).alias("word")).filter(F.col("word") != "")
+    texts = use_all_cores(df.select(column))
+    return texts.select(F.explode(F.split(F.trim(F.regexp_replace(column, r"\s+", " ")), " ")).alias("word")).filter(F.col("word") != "")
 
 
 def word_count(df: DataFrame, column: str) -> DataFrame:

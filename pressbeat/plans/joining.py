@@ -13,7 +13,8 @@ from pressbeat.plans.base import query
 
 @query("join_inner", "SELECT l.log_id, l.action, a.title FROM logs l JOIN articles a ON l.post_id = a.post_id", "logs", "articles")
 def _(t):
-    return t.logs.join(t.articles, "post_id").select("log_id", "action", "title")
+    joined = ops.dimension_join(t.logs.select("log_id", "action", "post_id"), t.articles.select("post_id", "title"), "post_id")
+    return joined.select("log_id", "action", "title")
 
 
 @query("join_left", "SELECT u.user_id, u.city, count(l.log_id) AS n FROM users u LEFT JOIN logs l ON u.user_id = l.user_id GROUP BY ALL", "logs", "users")

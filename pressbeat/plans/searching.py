@@ -105,9 +105,16 @@ MARK = r"regexp_replace({}, '(?i)(^|[^\p{{L}}\p{{N}}])(that)($|[^\p{{L}}\p{{N}}]
 MARK_REST = MARK.replace("(^|[^\\p{{L}}\\p{{N}}])", "(^|[^\\p{{L}}\\p{{N}}<>])")
 
 
+FIRST_AT = r"length(regexp_extract({0}, '(?is)^(|.*?[^\p{{L}}\p{{N}}])that(?:[^\p{{L}}\p{{N}}]|$)', 1)) + 1"
+LATER_AT = r"length(regexp_extract({0}, '(?is)^(.*?[^\p{{L}}\p{{N}}])that(?:[^\p{{L}}\p{{N}}]|$)', 1)) + 1"
+
+
 @query("fts_highlight", rf"""
-SELECT doc_id, array_to_string(list_transform(all_parts[1:2], lambda p: {MARK_REST.format(MARK.format('p'))}), ' ... ') AS fragments FROM (
- SELECT doc_id, regexp_extract_all(text, '(?is)(?:.{{0,49}}[^\p{{L}}\p{{N}}]|^)(?:that)(?:[^\p{{L}}\p{{N}}].{{0,49}}|$)') AS all_parts FROM documents) WHERE len(all_parts) > 0""")
+SELECT doc_id, concat_ws(' ... ', {MARK_REST.format(MARK.format('part1'))}, {MARK_REST.format(MARK.format('part2'))}) AS fragments FROM (
+ SELECT doc_id, part1, CASE WHEN at2 > 1 THEN substr(rest, greatest(2, at2 - 50), at2 + 54 - greatest(2, at2 - 50)) END AS part2 FROM (
+  SELECT *, {LATER_AT.format('rest')} AS at2 FROM (
+   SELECT doc_id, substr(text, greatest(1, at1 - 50), at1 + 54 - greatest(1, at1 - 50)) AS part1, substr(text, at1 + 53) AS rest FROM (
+    SELECT *, {FIRST_AT.format('text')} AS at1 FROM documents WHERE regexp_matches(text, '(?is)(^|[^\p{{L}}\p{{N}}])that([^\p{{L}}\p{{N}}]|$)')))))""")
 def _(t):
     shown = search.highlight(t.docs, "doc_id", "text", "that", size=100, number=2)
     return shown.withColumn("fragments", F.array_join("fragments", " ... "))

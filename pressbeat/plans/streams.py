@@ -139,6 +139,16 @@ def _(t):
         t.spark.conf.set(setting, before)
 
 
+@query("stream_state_ttl", """
+SELECT post_id, count(*) AS n, max(event_time) + INTERVAL 1 HOUR AS expires FROM (
+ SELECT *, sum(fresh) OVER (PARTITION BY post_id ORDER BY event_time, log_id ROWS UNBOUNDED PRECEDING) AS life FROM (
+  SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY post_id ORDER BY event_time, log_id) <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh
+  FROM logs WHERE action = 'view'))
+GROUP BY post_id, life""", "logs")
+def _(t):
+    return sinks.run_append(windows.expiring_counts(stream(t).filter("action = 'view'"), "post_id", "1 hour"))
+
+
 @query("stream_cumulate", """
 SELECT day AS window_start, hour + INTERVAL (i) HOURS AS window_end, action, CAST(sum(n) AS BIGINT) AS n FROM (
  SELECT date_trunc('day', event_time)::TIMESTAMP AS day, date_trunc('hour', event_time)::TIMESTAMP AS hour, action, count(*) AS n FROM logs GROUP BY ALL),
@@ -251,8 +261,11 @@ def _(t):
 
 @query("stream_late_audit")
 def _(t):
-    """Rows kept and lost when the first third of the log arrives after the second."""
-    path = source.publish(source.to_event_records(t.logs), scratch_path(t.spark, "late-topic"), files=FILES, order=[1, 0, 2])
+    """Rows kept and lost when the first third of the log arrives last.
+
+    A row is late against the watermark of the batch before the last one.
+    """
+    path = source.publish(source.to_event_records(t.logs), scratch_path(t.spark, "late-topic"), files=FILES, order=[1, 2, 0])
     _known, end = topic(t)
     source.publish_end(t.spark, path, end)
     parsed = stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=FILES))

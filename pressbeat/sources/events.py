@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +61,10 @@ def publish(records: DataFrame, path: str, slices: int = 3, files: int = 4, orde
     marks = records.agg(F.percentile_approx(F.unix_micros("event_time"), cuts)).first()[0] if cuts else []
     micros = F.unix_micros("event_time")
     edges = [None, *marks, None]
-    for i in order or range(slices):
+    for step, i in enumerate(order or range(slices)):
+        if step:
+            # the reader orders files by modification time, which some stores keep in whole seconds
+            time.sleep(1)
         low, high = edges[i], edges[i + 1]
         piece = records
         if low is not None:
@@ -72,6 +77,7 @@ def publish(records: DataFrame, path: str, slices: int = 3, files: int = 4, orde
 
 def publish_end(spark: SparkSession, path: str, at: str) -> None:
     """A last record that carries the watermark past every open window, as a bounded input's end does."""
+    time.sleep(1)
     value = f'{{"eventId":"{END_ACTION}","eventType":"{END_ACTION}","timestamp":"{at}","data":{{}}}}'
     spark.createDataFrame([(None, value)], RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 

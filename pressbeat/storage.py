@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+LEVELS = ("MEMORY_ONLY", "MEMORY_AND_DISK", "DISK_ONLY", "MEMORY_AND_DISK_2", "OFF_HEAP")
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -45,3 +50,33 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df``."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread a small input over the cores before costly per-row work.
+
+    A small file may be a single split, which would leave one core busy. An input with more than 16 MB
+    per core has splits enough and is returned as it is, so no large table is shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or estimated_bytes(df) > cores * SPREAD_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores)
+
+
+@contextmanager
+def persisted(df: DataFrame, level: str = "MEMORY_AND_DISK") -> Iterator[DataFrame]:
+    """``df`` kept by the executors inside the block and released after it.
+
+    Kept rows are worked out again when their executor is lost; :func:`materialize` keeps them for good.
+    """
+    if level not in LEVELS:
+        raise ValueError(f"unknown storage level {level!r}")
+    kept = df.persist(getattr(StorageLevel, level))
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
