@@ -46,7 +46,7 @@ def _(t):
     return analysis.results["author_ranking"]
 
 
-@query("job_stream_stats", streams.PIVOT, "logs")
+@streams.stream_query("job_stream_stats", streams.PIVOT, "logs")
 def _(t):
     path, end = streams.topic(t)
     return jobs.stream_post_stats(source.read_events(t.spark, path, files_per_trigger=streams.FILES), end)

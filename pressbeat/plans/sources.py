@@ -126,7 +126,7 @@ SELECT label, count(*) AS posts FROM posts JOIN (VALUES ('published', 'live'), (
 USING (status) GROUP BY label""", "posts")
 def _(t):
     labels = files.literal_rows(t.spark, [("published", "live"), ("draft", "hidden"), ("archived", "old")], "status string, label string")
-    return t.posts.join(F.broadcast(labels), "status").groupBy("label").agg(F.count(F.lit(1)).alias("posts"))
+    return t.posts.join(labels, "status").groupBy("label").agg(F.count(F.lit(1)).alias("posts"))
 
 
 @query("src_to_pandas", "SELECT category, count(*) AS posts FROM posts GROUP BY category ORDER BY posts DESC, category LIMIT 3", "posts")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pressbeat.operators import rollup
 from pressbeat.plans.base import query
 from pressbeat.sources import events as source
-from pressbeat.storage import scratch_path
+from pressbeat.storage import estimated_bytes, scratch_path
 from pressbeat.streaming import events as stream_events
 from pressbeat.streaming import sinks, windows
 
@@ -34,6 +34,20 @@ def stream(t):
     return stream_events.timed(stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=FILES)), end)
 
 
+def stream_query(name, sql=None, *logical, stored="events"):
+    """Register a query that runs a stream, with state partitions sized to the table it replays."""
+
+    def register(fn):
+        def run(t):
+            # records of text take a few times the room of the stored columns
+            with sinks.sized_state(t.spark, 4 * estimated_bytes(t.raw(stored))):
+                return fn(t)
+
+        return query(name, sql, *logical)(run)
+
+    return register
+
+
 def window_sql(size, keys, where="TRUE", measures="count(*) AS n"):
     start = f"time_bucket(INTERVAL {size}, event_time)"
     return f"SELECT {start} AS window_start, {start} + INTERVAL {size} AS window_end, {keys}, {measures} FROM logs WHERE {where} GROUP BY ALL"
@@ -50,7 +64,7 @@ def _(t):
     )
 
 
-@query("stream_source_count", "SELECT count(*) AS n, count(CASE WHEN action <> 'search' THEN 1 END) AS keyed FROM logs", "logs")
+@stream_query("stream_source_count", "SELECT count(*) AS n, count(CASE WHEN action <> 'search' THEN 1 END) AS keyed FROM logs", "logs")
 def _(t):
     path, _end = topic(t)
     records = source.read_events(t.spark, path, files_per_trigger=FILES)
@@ -58,7 +72,7 @@ def _(t):
     return sinks.run_append(kept).agg(F.count(F.lit(1)).alias("n"), F.count("key").alias("keyed"))
 
 
-@query("stream_parse", """
+@stream_query("stream_parse", """
 SELECT CASE action WHEN 'search' THEN 'quarantine' ELSE action END AS kind, count(*) AS n, count(user_id) AS users, max(event_time) FILTER (action <> 'search') AS latest
 FROM logs GROUP BY 1""", "logs")
 def _(t):
@@ -79,22 +93,22 @@ def _(t):
     return good.union(bad)
 
 
-@query("stream_tumble_type", window_sql("5 MINUTES", "action"), "logs")
+@stream_query("stream_tumble_type", window_sql("5 MINUTES", "action"), "logs")
 def _(t):
     return sinks.run_append(windows.tumbling(stream(t), "5 minutes", ["action"]))
 
 
-@query("stream_tumble_post", window_sql("5 MINUTES", "post_id", "action = 'view'"), "logs")
+@stream_query("stream_tumble_post", window_sql("5 MINUTES", "post_id", "action = 'view'"), "logs")
 def _(t):
     return sinks.run_append(windows.tumbling(stream(t).filter("action = 'view'"), "5 minutes", ["post_id"]))
 
 
-@query("stream_tumble_post_1m", window_sql("1 MINUTE", "post_id", "action = 'view'"), "logs")
+@stream_query("stream_tumble_post_1m", window_sql("1 MINUTE", "post_id", "action = 'view'"), "logs")
 def _(t):
     return sinks.run_append(windows.tumbling(stream(t).filter("action = 'view'"), "1 minute", ["post_id"]))
 
 
-@query("stream_tumble_keyword", window_sql("5 MINUTES", "'kw' || post_id AS keyword", "action = 'search'"), "logs")
+@stream_query("stream_tumble_keyword", window_sql("5 MINUTES", "'kw' || post_id AS keyword", "action = 'search'"), "logs")
 def _(t):
     return sinks.run_append(windows.tumbling(stream(t).filter("action = 'search'"), "5 minutes", ["keyword"]))
 
@@ -104,24 +118,24 @@ PIVOT = window_sql(
     "count(*) FILTER (action = 'view') AS views, count(*) FILTER (action = 'comment') AS comments, count(*) FILTER (action = 'like') AS likes")
 
 
-@query("stream_tumble_pivot", PIVOT, "logs")
+@stream_query("stream_tumble_pivot", PIVOT, "logs")
 def _(t):
     return sinks.run_append(windows.post_pivot(stream(t)))
 
 
-@query("stream_upsert_sink", PIVOT, "logs")
+@stream_query("stream_upsert_sink", PIVOT, "logs")
 def _(t):
     return sinks.run_upsert(windows.post_pivot(stream(t)), ["post_id", "window_start"])
 
 
-@query("stream_hop", """
+@stream_query("stream_hop", """
 SELECT b - INTERVAL (i) MINUTES AS window_start, b - INTERVAL (i) MINUTES + INTERVAL 5 MINUTES AS window_end, action, count(*) AS n
 FROM (SELECT action, time_bucket(INTERVAL 1 MINUTE, event_time) AS b FROM logs), (SELECT unnest(range(5)) AS i) GROUP BY ALL""", "logs")
 def _(t):
     return sinks.run_append(windows.hopping(stream(t), "5 minutes", "1 minute", ["action"]))
 
 
-@query("stream_session", """
+@stream_query("stream_session", """
 SELECT min(event_time) AS window_start, max(event_time) + INTERVAL 30 MINUTES AS window_end, user_id, count(*) AS n FROM (
  SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY event_time, log_id ROWS UNBOUNDED PRECEDING) AS session FROM (
   SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time, log_id) <= INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS fresh
@@ -139,7 +153,7 @@ def _(t):
         t.spark.conf.set(setting, before)
 
 
-@query("stream_state_ttl", """
+@stream_query("stream_state_ttl", """
 SELECT post_id, count(*) AS n, max(event_time) + INTERVAL 1 HOUR AS expires FROM (
  SELECT *, sum(fresh) OVER (PARTITION BY post_id ORDER BY event_time, log_id ROWS UNBOUNDED PRECEDING) AS life FROM (
   SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY post_id ORDER BY event_time, log_id) <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh
@@ -149,7 +163,7 @@ def _(t):
     return sinks.run_append(windows.expiring_counts(stream(t).filter("action = 'view'"), "post_id", "1 hour"))
 
 
-@query("stream_cumulate", """
+@stream_query("stream_cumulate", """
 SELECT day AS window_start, hour + INTERVAL (i) HOURS AS window_end, action, CAST(sum(n) AS BIGINT) AS n FROM (
  SELECT date_trunc('day', event_time)::TIMESTAMP AS day, date_trunc('hour', event_time)::TIMESTAMP AS hour, action, count(*) AS n FROM logs GROUP BY ALL),
  (SELECT unnest(range(1, 25)) AS i)
@@ -158,42 +172,42 @@ def _(t):
     return sinks.run_append(windows.cumulating(stream(t), "1 hour", "24 hours", 24, ["action"]))
 
 
-@query("stream_type_counts", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs")
+@stream_query("stream_type_counts", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs")
 def _(t):
     return sinks.run_upsert(windows.counts_by(stream(t), "action"), ["action"])
 
 
-@query("stream_post_counts", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id", "logs")
+@stream_query("stream_post_counts", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id", "logs")
 def _(t):
     return sinks.run_upsert(windows.counts_by(stream(t).filter("action = 'view'"), "post_id"), ["post_id"])
 
 
-@query("stream_keyword_counts", "SELECT 'kw' || post_id AS keyword, count(*) AS n FROM logs WHERE action = 'search' GROUP BY 1", "logs")
+@stream_query("stream_keyword_counts", "SELECT 'kw' || post_id AS keyword, count(*) AS n FROM logs WHERE action = 'search' GROUP BY 1", "logs")
 def _(t):
     return sinks.run_upsert(windows.counts_by(stream(t).filter("action = 'search'"), "keyword"), ["keyword"])
 
 
-@query("stream_reduce_max", """
+@stream_query("stream_reduce_max", """
 SELECT post_id, max(duration) AS longest, min(duration) AS shortest, round(sum(duration), 4) AS total FROM logs WHERE action <> 'search' GROUP BY post_id""", "logs")
 def _(t):
     return sinks.run_upsert(windows.longest_by(stream(t).filter("post_id IS NOT NULL"), "post_id"), ["post_id"])
 
 
-@query("stream_flatmap", """
-SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word""")
+@stream_query("stream_flatmap", """
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word""", stored="documents")
 def _(t):
     texts = t.spark.readStream.schema("text string").option("pathGlobFilter", "documents.parquet").parquet(t.sf_dir)
     words = texts.select(F.explode(F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")).alias("word")).filter("word <> ''")
     return sinks.run_upsert(windows.counts_by(words, "word"), ["word"])
 
 
-@query("stream_union", "SELECT action, count(*) AS n FROM logs WHERE action IN ('view', 'like') GROUP BY action", "logs")
+@stream_query("stream_union", "SELECT action, count(*) AS n FROM logs WHERE action IN ('view', 'like') GROUP BY action", "logs")
 def _(t):
     views, likes = (stream(t).filter(F.col("action") == action).select("action", "event_time") for action in ("view", "like"))
     return sinks.run_upsert(windows.counts_by(views.union(likes), "action"), ["action"])
 
 
-@query("stream_dedup", window_sql("1 DAY", "action", "action <> 'search'"), "logs")
+@stream_query("stream_dedup", window_sql("1 DAY", "action", "action <> 'search'"), "logs")
 def _(t):
     events = stream(t).filter("action <> 'search'").select("event_id", "action", "event_time")
     # every record delivered twice, as an at-least-once reader may do
@@ -201,13 +215,13 @@ def _(t):
     return sinks.run_append(windows.tumbling(windows.once(twice, "event_id"), "1 day", ["action"]))
 
 
-@query("stream_top5", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id ORDER BY n DESC, post_id LIMIT 5", "logs")
+@stream_query("stream_top5", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id ORDER BY n DESC, post_id LIMIT 5", "logs")
 def _(t):
     counts = windows.counts_by(stream(t).filter("action = 'view'"), "post_id")
     return sinks.run_complete(counts.orderBy(F.desc("n"), "post_id").limit(5))
 
 
-@query("stream_sql_view", """
+@stream_query("stream_sql_view", """
 SELECT post_id, count(*) AS n, max(event_time) AS latest FROM logs WHERE action = 'view' GROUP BY post_id HAVING count(*) > 15""", "logs")
 def _(t):
     view = f"live_{uuid.uuid4().hex}"
@@ -218,25 +232,25 @@ def _(t):
     return latest.withColumn("latest", F.col("latest").cast("timestamp_ntz"))
 
 
-@query("stream_uv", "SELECT action, count(DISTINCT user_id) AS uv, max(event_time) AS latest FROM logs WHERE user_id IS NOT NULL GROUP BY action", "logs")
+@stream_query("stream_uv", "SELECT action, count(DISTINCT user_id) AS uv, max(event_time) AS latest FROM logs WHERE user_id IS NOT NULL GROUP BY action", "logs")
 def _(t):
     pairs = sinks.run_upsert(windows.visitors(stream(t), "action"), ["action", "user_id"])
     return pairs.groupBy("action").agg(F.count(F.lit(1)).alias("uv"), F.max("latest").cast("timestamp_ntz").alias("latest"))
 
 
-@query("stream_hot_tier", """
+@stream_query("stream_hot_tier", """
 SELECT post_id, count(*) AS n, CASE WHEN count(*) >= 25 THEN 'hot' WHEN count(*) >= 18 THEN 'warm' ELSE 'normal' END AS level FROM logs WHERE action = 'view' GROUP BY post_id""", "logs")
 def _(t):
     return sinks.run_upsert(windows.hot_tiers(stream(t), 25, 18), ["post_id"])
 
 
-@query("stream_heat", """
+@stream_query("stream_heat", """
 SELECT post_id, CAST(sum(CASE action WHEN 'view' THEN 1 WHEN 'like' THEN 5 WHEN 'comment' THEN 10 WHEN 'share' THEN 8 END) AS BIGINT) AS heat FROM logs WHERE action <> 'search' GROUP BY post_id""", "logs")
 def _(t):
     return sinks.run_upsert(windows.heat(stream(t).filter("post_id IS NOT NULL")), ["post_id"])
 
 
-@query("stream_rollup", """
+@stream_query("stream_rollup", """
 SELECT post_id, event_date, count(*) FILTER (action = 'view') AS views, count(*) FILTER (action = 'comment') AS comments,
  count(*) FILTER (action = 'like') AS likes, count(*) FILTER (action = 'share') AS shares FROM logs WHERE action <> 'search' GROUP BY ALL""", "logs")
 def _(t):
@@ -245,7 +259,7 @@ def _(t):
     return sinks.run_rollup(facts, rollup.post_rollup, schema, rollup.POST_KEYS)
 
 
-@query("stream_resume", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs")
+@stream_query("stream_resume", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs")
 def _(t):
     """A run over the first part of the topic, then a second one from its checkpoint over the rest."""
     path, checkpoint, out = (scratch_path(t.spark, label) for label in ("topic", "checkpoint", "resumed"))
@@ -259,7 +273,7 @@ def _(t):
     return rollup.replace_latest(sinks.batches(t.spark, counts.schema, out), ["action"], "batch").drop("batch")
 
 
-@query("stream_late_audit")
+@stream_query("stream_late_audit")
 def _(t):
     """Rows kept and lost when the first third of the log arrives last.
 
@@ -278,7 +292,7 @@ def _(t):
     return kept.select("kept", (total - F.col("kept")).alias("late"), F.lit(dropped).cast("bigint").alias("dropped_partial_rows"))
 
 
-@query("trend_stream_twin", "SELECT event_date, count(*) AS pv FROM logs GROUP BY event_date", "logs")
+@stream_query("trend_stream_twin", "SELECT event_date, count(*) AS pv FROM logs GROUP BY event_date", "logs")
 def _(t):
     """The daily trend from closed day windows of the stream."""
     days = sinks.run_append(windows.tumbling(stream(t), "1 day", []))

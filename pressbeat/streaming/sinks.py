@@ -6,7 +6,8 @@ driver. A batch that is run again after a failure replaces its own folder, so ev
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,24 @@ from pressbeat.operators.rollup import replace_latest, requery
 from pressbeat.storage import scratch_path
 
 TIMEOUT_SECONDS = 3600
+BYTES_PER_STATE_PARTITION = 64 * 1024 * 1024
+
+
+@contextmanager
+def sized_state(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """State partitions for the streams started inside the block.
+
+    Their number is fixed when a checkpoint begins, and adaptive execution does not merge them. A bounded
+    run takes one per 64 MB of input, at least one per core and at most the session's shuffle partitions.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    number = min(int(before), max(spark.sparkContext.defaultParallelism, input_bytes // BYTES_PER_STATE_PARTITION))
+    spark.conf.set(setting, str(number))
+    try:
+        yield number
+    finally:
+        spark.conf.set(setting, before)
 
 
 def finish(query: StreamingQuery, timeout: int = TIMEOUT_SECONDS) -> StreamingQuery:
