@@ -131,8 +131,11 @@ def grid(df: DataFrame, rows: str, column: str, limit: int = 1000) -> DataFrame:
 
     The second dimension travels as one array whose size is checked; a wider one is refused.
     """
-    values = df.agg(F.collect_set(column).alias("values"))
-    checked = values.select(
-        F.when(F.size("values") <= limit, F.col("values")).otherwise(F.raise_error(F.lit(f"{column} has more than {limit} values")))
-    ).scalar()
-    return df.select(rows).distinct().withColumn(column, F.explode(checked))
+    return df.select(rows).distinct().withColumn(column, F.explode(small_set(df, F.col(column), limit)))
+
+
+def small_set(df: DataFrame, value: Column, limit: int) -> Column:
+    """The distinct values as one array. More than ``limit`` of them are an error, noticed at one too many."""
+    some = df.select(value.alias("v")).distinct().limit(limit + 1).agg(F.collect_set("v").alias("vs"))
+    refused = F.raise_error(F.lit(f"more than {limit} distinct values"))
+    return some.select(F.when(F.size("vs") <= limit, F.col("vs")).otherwise(refused)).scalar()

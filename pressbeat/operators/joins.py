@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressbeat.operators.frame import small_set
 from pressbeat.storage import estimated_bytes, materialize
 
 
@@ -54,11 +55,7 @@ def contains_join(left: DataFrame, text: str, right: DataFrame, needle: str, how
     if how not in ("inner", "left") or (how == "left" and key is None):
         raise ValueError("how must be inner, or left with a key")
     usable = right.filter(F.length(needle) > 0)
-    lengths = usable.agg(F.array_sort(F.collect_set(F.length(needle))).alias("lengths")).select(
-        F.when(F.size("lengths") <= max_lengths, F.col("lengths")).otherwise(
-            F.raise_error(F.lit(f"needles have more than {max_lengths} different lengths"))
-        )
-    ).scalar()
+    lengths = small_set(usable, F.length(needle), max_lengths)
     fitting = F.filter("_lengths", lambda n: n <= F.length(text))
     pieces = F.array_distinct(
         F.flatten(F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda at: F.substr(F.col(text), at, n))))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pressbeat.functions import udfs
 from pressbeat.functions.aggregates import row_count
 from pressbeat.operators import traffic
+from pressbeat.operators.frame import small_set
 from pressbeat.plans.base import query
 
 
@@ -40,15 +41,15 @@ def _(t):
 
 
 @query("fn_string_concat", """
-SELECT status, string_agg(DISTINCT category, ',' ORDER BY category) AS categories, count(DISTINCT author || ': ' || title) AS names,
+SELECT status, (SELECT string_agg(DISTINCT category, ',' ORDER BY category) FROM posts) AS categories, count(DISTINCT author || ': ' || title) AS names,
  max(concat_ws('-', category, status, likes)) AS last_joined FROM posts GROUP BY status""", "posts")
 def _(t):
-    # categories are reduced to distinct values before they are joined to one string
-    joined = t.posts.select("status", "category").distinct().groupBy("status").agg(F.array_join(F.array_sort(F.collect_list("category")), ",").alias("categories"))
+    # the values of a column in one string: distinct ones, of which there may only be a stated number
+    joined = F.array_join(F.array_sort(small_set(t.posts, F.col("category"), 1000)), ",")
     names = t.posts.groupBy("status").agg(
         F.count_distinct(F.concat("author", F.lit(": "), "title")).alias("names"), F.max(F.concat_ws("-", "category", "status", "likes")).alias("last_joined")
     )
-    return joined.join(names, "status")
+    return names.withColumn("categories", joined)
 
 
 @query("fn_string_split", "SELECT post_id, len(string_split(title, ' '))::INTEGER AS parts, string_split(title, ' ')[2] AS second, replace(title, 'ring', 'band') AS replaced FROM articles", "articles")

@@ -90,6 +90,22 @@ def test_contains_join_equals_brute_force(spark):
     assert {(r["id"], r["needle"]) for r in outer} == expected | missing and len(outer) == len(expected | missing)
 
 
+def test_grid_is_dense_and_bounded(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "r string, c int")
+    assert sorted(map(tuple, frame.grid(df, "r", "c").collect())) == [(r, c) for r in "ab" for c in (1, 2, 3)]
+    with pytest.raises(Exception, match="more than 2 distinct"):
+        frame.grid(df, "r", "c", limit=2).collect()
+
+
+def test_small_inputs_use_all_cores_and_large_ones_stay(spark, monkeypatch):
+    from pressbeat import storage
+
+    small = spark.range(10).coalesce(1)
+    assert storage.use_all_cores(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(storage, "SPREAD_BYTES_PER_CORE", 0)
+    assert storage.use_all_cores(small) is small
+
+
 def test_reduce_counts_skips_malformed_lines(spark):
     lines = spark.createDataFrame([("a\t2",), ("a\t3",), ("b\tx",), ("c",), ("d\t1.5",), ("e\t 4 ",)], "value string")
     assert sorted(map(tuple, stats.reduce_counts(lines).collect())) == [("a", 5), ("e", 4)]
