@@ -45,7 +45,7 @@ SELECT status, (SELECT string_agg(DISTINCT category, ',' ORDER BY category) FROM
  max(concat_ws('-', category, status, likes)) AS last_joined FROM posts GROUP BY status""", "posts")
 def _(t):
     # the values of a column in one string: distinct ones, of which there may only be a stated number
-    joined = F.array_join(F.array_sort(small_set(t.posts, F.col("category"), 1000)), ",")
+    joined = F.array_join(F.sort_array(small_set(t.posts, F.col("category"), 1000)), ",")
     names = t.posts.groupBy("status").agg(
         F.count_distinct(F.concat("author", F.lit(": "), "title")).alias("names"), F.max(F.concat_ws("-", "category", "status", "likes")).alias("last_joined")
     )
