@@ -117,10 +117,10 @@ def fences(sketch: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``docs`` with one new struct column ``verdict`` (or a longer name, the last column) of counts, base_failed and kept.
 
-    The fences are written first, so that their size is known when the join is planned: a small table is broadcast, a large one
+    The sketches are written once, since three levels are made of them. The fences are written too, so that their size is known when the join is planned: a small table is broadcast, a large one
     is shuffled with the documents.
     """
-    limits = materialize(fences(sketches(docs, text, lang, source)), "fences")
+    limits = materialize(fences(materialize(sketches(docs, text, lang, source), "sketches")), "fences")
     limits = limits.select(F.struct("lang", "source").alias("group"), F.struct(*(c for c in limits.columns if c.endswith("_fence"))).alias("limit"))
     name, group = free_name(docs, "verdict"), "group_of_limits"
     own = F.struct(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"))
@@ -165,7 +165,7 @@ l AS (SELECT *, regexp_extract_all(t, '{_GAP}+') AS w, length({_BARE}) AS word_c
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_GAP}')) AS lines FROM d),
 g AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS n
   FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM l)),
-p AS (SELECT r, count(DISTINCT at) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS at FROM g WHERE n > 1) GROUP BY r),
+p AS (SELECT r, count(DISTINCT k) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM g WHERE n > 1) GROUP BY r),
 c AS (SELECT l.r, doc_id, lang, source, len(w) AS n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
   coalesce(n_repeat_words, 0) AS n_repeat_words, n_symbols * 1000 // greatest(word_chars, 1) AS symbol_share,
   (len(lines) - len(list_distinct(lines))) * 1000 // greatest(len(lines), 1) AS dup_line_share,
