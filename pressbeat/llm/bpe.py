@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressbeat.llm.common import lengthy, text_of
+from pressbeat.llm.common import lengthy, map_arrow, text_of
 
 NEVER = 1 << 62
 SHIFT = 32
@@ -162,7 +162,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
             ids = [coder.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).mapInArrow(run, "doc_id bigint, ids array<int>")
+    slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
+    return map_arrow(slim, run, "doc_id bigint, ids array<int>")
 
 
 def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,4 +182,4 @@ def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
-    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(slim, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressbeat.llm.common import lengthy
+from pressbeat.llm.common import lengthy, map_arrow
 
 Message = tuple[str, str]
 Template = Callable[[list[Message]], str]
@@ -128,7 +128,7 @@ def format_conversations(rows: DataFrame, template: Template = instruction_templ
         "conv_id bigint, formatted string, turns array<struct<start: bigint, end: bigint, text_start: bigint, text_end: bigint>>, "
         "loss array<struct<start: bigint, end: bigint>>, rewritten array<int>"
     )
-    return grouped.mapInArrow(run, kind)
+    return map_arrow(grouped, run, kind)
 
 
 def read_back(formatted: str, turns: list[dict]) -> list[Message]:
@@ -153,4 +153,4 @@ def digests(formatted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
     kind = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    return formatted.select("conv_id", "formatted", "turns", "loss").mapInArrow(run, kind)
+    return map_arrow(formatted.select("conv_id", "formatted", "turns", "loss"), run, kind)

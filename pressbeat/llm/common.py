@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,4 +59,27 @@ def lengthy(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[
             yield batch.slice(at, step)
 
 
-__all__ = ["SPACE", "SPACES", "free_name", "lengthy", "let", "materialize", "numbered", "scratch_path", "table", "text_of", "words_of"]
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, in the way Spark distributes Python files."""
+    context = spark.sparkContext
+    if getattr(context, "_pressbeat_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="pressbeat-py-"), "pressbeat.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._pressbeat_shipped = True
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+__all__ = ["SPACE", "SPACES", "free_name", "lengthy", "let", "map_arrow", "materialize", "numbered", "scratch_path", "ship", "table", "text_of", "words_of"]

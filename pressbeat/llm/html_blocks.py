@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressbeat.llm.common import lengthy
+from pressbeat.llm.common import lengthy, map_arrow
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -422,4 +422,4 @@ def extract(pages: DataFrame, labeller: Labeller, key: str = "page_id", url: str
             )
 
     slim = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
-    return slim.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint, n_blocks bigint")
+    return map_arrow(slim, run, "page_id bigint, url string, text string, n_chars bigint, n_blocks bigint")

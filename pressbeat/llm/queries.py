@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressbeat.llm import bpe, chat, html_blocks, quality, token_store
+from pressbeat.llm import bpe, chat, html_blocks, near_dup, pii, quality, templates, token_store
 from pressbeat.llm.common import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store_and_read(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
@@ -45,9 +49,17 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(materialize(chat.format_conversations(rows.unionByName(extra)), "chat"))
 
 
+def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.reports(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), pattern())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_main_text, op2_token_store, op4_adaptive_quality, op5_chat_format, op9_byte_bpe)}
-ORACLES: dict[str, str] = {"op4_adaptive_quality": quality.SQL}
+def op10_weighted_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_main_text, op2_token_store, op3_template_leaks, op4_adaptive_quality, op5_chat_format, op8_bootstrapped_pii, op9_byte_bpe, op10_weighted_near_dup)}
+ORACLES: dict[str, str] = {"op3_template_leaks": templates.SQL, "op4_adaptive_quality": quality.SQL}

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pressbeat.llm.common import lengthy, scratch_path, text_of
+from pressbeat.llm.common import lengthy, map_arrow, scratch_path, text_of
 
 MAGIC = b"EFT1"
 EVERY = 64
@@ -202,7 +202,7 @@ def write_segments(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
 
     slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).withColumn("tie", F.xxhash64("text"))
     ordered = slim.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    ordered.mapInArrow(run, SEGMENT).write.parquet(path)
+    map_arrow(ordered, run, SEGMENT).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -224,7 +224,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     before = F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     inside = F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = segments.select("part", "seq", inside.alias("inside")).join(parts.select("part", before.alias("before")), "part")
-    docs = segments.select("part", "seq", "payload").mapInArrow(run, "doc_id bigint, inner bigint, n_tokens bigint, ids_crc32 bigint, part int, seq int")
+    docs = map_arrow(segments.select("part", "seq", "payload"), run, "doc_id bigint, inner bigint, n_tokens bigint, ids_crc32 bigint, part int, seq int")
     joined = docs.join(base, ["part", "seq"])
     return joined.select("doc_id", (F.col("before") + F.col("inside") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32", "part", "seq")
 
