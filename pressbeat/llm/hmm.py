@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from pressbeat.llm.common import lengthy, map_arrow, materialize, numbered, text_of
 
-STATES, OWN, HASHED, TOP, PIECE, ROUNDS = 6, 2048, 512, 65536, 256, 4
+STATES, OWN, HASHED, TOP, PIECE, ROUNDS, STAY = 6, 2048, 512, 65536, 256, 5, 0.95
 END = ""
 SYMBOLS = OWN + HASHED + 1
 LAST = SYMBOLS - 1
@@ -112,10 +112,12 @@ class Model(NamedTuple):
 
     @classmethod
     def first(cls, share: np.ndarray, seed: int = 9) -> Model:
+        """A start that likes to stay in a state, so that states come to stand for languages and kinds of text."""
         rng = np.random.default_rng(seed)
         emit = share[:, None] * rng.gamma(2.0, 0.5, (SYMBOLS, STATES))
         move = rng.random((STATES, STATES)) + 0.5
-        return cls(np.full(STATES, 1 / STATES), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+        move = (1 - STAY) * move / move.sum(1, keepdims=True) + STAY * np.eye(STATES)
+        return cls(np.full(STATES, 1 / STATES), move, emit / emit.sum(0))
 
     @classmethod
     def fitted(cls, sums: np.ndarray, share: np.ndarray) -> Model:
