@@ -59,6 +59,21 @@ def lengthy(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[
             yield batch.slice(at, step)
 
 
+#: Ids that a broadcast may hold: 8 MB of them.
+MOST_BROADCAST = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` less the rows whose ``key`` is in the one column of ``ids``; rows without a key stay.
+
+    The ids are written and counted. Up to MOST_BROADCAST they are broadcast and no text is shuffled; more are joined by a shuffle.
+    """
+    gone = free_name(docs, "gone_id")
+    listed = materialize(ids.toDF(gone).filter(F.col(gone).isNotNull()).distinct(), "ids")
+    side = F.broadcast(listed) if listed.count() <= MOST_BROADCAST else listed
+    return docs.join(side, docs[key].cast("bigint") == side[gone], "left_anti")
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application, in the way Spark distributes Python files."""
     context = spark.sparkContext
@@ -82,4 +97,4 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
-__all__ = ["SPACE", "SPACES", "free_name", "lengthy", "let", "map_arrow", "materialize", "numbered", "scratch_path", "ship", "table", "text_of", "words_of"]
+__all__ = ["SPACE", "SPACES", "free_name", "lengthy", "let", "map_arrow", "materialize", "numbered", "scratch_path", "ship", "table", "text_of", "without", "words_of"]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pressbeat.llm.common import lengthy, map_arrow, materialize, text_of
+from pressbeat.llm.common import lengthy, map_arrow, materialize, text_of, without
 
 SHINGLE, SAMPLES, ROWS, SIMILAR = 5, 16, 2, 0.8
 BANDS = SAMPLES // ROWS
@@ -293,5 +293,4 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that name their class; rows of one id stay or go together, rows without an id stay."""
-    found = materialize(classes(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias("copy_id")).distinct(), "copies")
-    return docs.join(found, docs["doc_id"].cast("bigint") == found["copy_id"], "left_anti")
+    return without(docs, classes(docs).filter("doc_id <> class_id").select("doc_id"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pressbeat.llm.common import let, materialize, text_of
+from pressbeat.llm.common import let, materialize, text_of, without
 
 WINDOW, STRIDE, MIN_RUN, LITERALS = 6, 3, 10, 3
 NUMBER, UNIT, NAME, CLOSE = "\ue001", "\ue002", "\ue003", "\ue000"  # private-use characters, removed from texts beforehand
@@ -107,8 +107,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage."""
-    found = materialize(leaks(docs, benchmark).select(F.col("doc_id").alias("leaking_id")).distinct(), "leaks")
-    return docs.join(found, docs["doc_id"].cast("bigint") == found["leaking_id"], "left_anti")
+    return without(docs, leaks(docs, benchmark).select("doc_id"))
 
 
 def _words(source: str, keys: str) -> str:
