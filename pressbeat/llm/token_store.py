@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,6 +33,12 @@ ONES = bytes(bin(b).count("1") for b in range(256))
 SEGMENT = "part int, seq int, first_doc bigint, last_doc bigint, n_docs bigint, n_ids bigint, payload binary"
 
 
+#: Letters that every Unicode version composes, lower-cases and splits alike.
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: How byte-level vocabularies spell bytes: printable Latin-1 as itself, the others from 256 upwards.
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+
+
 class EliasFano:
     """A non-decreasing sequence of integers from 0 up, in about 2 + log2(largest / count) bits each."""
 
@@ -135,6 +142,10 @@ class Pieces(dict):
         self.words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
+        """The ids of a text by the whole tokenizer, or, of one plain word, by its model alone, which is all that acts on it."""
+        if PLAIN.fullmatch(text):
+            spelled = text.lower().encode().decode("latin-1").translate(BYTE_SIGNS)
+            return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], f"<u{self.width}").tobytes()
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
@@ -142,12 +153,12 @@ class Pieces(dict):
             self.clear()
         if len(self.words) > self.MOST:
             self.words.clear()
-        # a run of ASCII letters is a word for the tokenizer and has the ids of its lower case, whatever sign follows
+        # a run of plain letters is a word for the tokenizer and has the ids of its lower case, whatever sign follows
         end = len(piece)
         while end and piece[end - 1] in ".,!?;:%#*$&":
             end -= 1
         word = piece[:end]
-        if word.isascii() and word.isalpha():
+        if PLAIN.fullmatch(word):
             word = word.lower()
             if word not in self.words:
                 self.words[word] = self.encode(word)
