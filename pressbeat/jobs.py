@@ -30,7 +30,6 @@ def etl_posts(spark: SparkSession, csv_path: str, target: str, quarantine: str |
     return partition_counts(spark.read.parquet(target), "year", "month")
 
 
-ANALYSES = ("dau_stats", "user_actions", "top_views", "top_engagement", "top_visited", "author_stats", "category_stats", "conversion_funnel", "tag_stats")
 
 
 def analysis_suite(posts: DataFrame, logs: DataFrame, output: str, fmt: str = "csv") -> dict[str, str]:

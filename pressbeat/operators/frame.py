@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from pressbeat.operators.ordered import row_index
 
-MAP_LITERAL_LIMIT = 1000
 
 
 def add_prefix(df: DataFrame, prefix: str) -> DataFrame:
@@ -41,12 +40,13 @@ def keep_where(value: Column, condition: Column, other=None) -> Column:
 
 
 def map_values(df: DataFrame, column: str, mapping: Mapping, name: str) -> DataFrame:
-    """Mapped value, NULL when unmapped: a literal map while small, a join beyond that."""
-    if len(mapping) <= MAP_LITERAL_LIMIT:
-        literal = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-        return df.withColumn(name, F.try_element_at(literal, F.col(column)))
-    table = df.sparkSession.createDataFrame(list(mapping.items()), f"{column} {dict(df.dtypes)[column]}, {name} string")
-    return df.join(table, column, "left")
+    """Mapped value, NULL when unmapped, by a join at any size; the new column has the type of the mapping's values."""
+    if not mapping:
+        return df.withColumn(name, F.lit(None).cast("string"))
+    table = df.sparkSession.createDataFrame(list(mapping.items()), ["_mapped_from", "_mapped_to"])
+    table = table.select(F.col("_mapped_from").cast(df.schema[column].dataType).alias("_mapped_from"), "_mapped_to")
+    joined = df.join(table, df[column] == table["_mapped_from"], "left")
+    return joined.select(*(df[c] for c in df.columns if c != name), F.col("_mapped_to").alias(name))
 
 
 def eval_columns(df: DataFrame, assignments: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressbeat.sources.files import salted
+from pressbeat.sources.files import gathered
 
 CHANGE = "_change"
 SNAPSHOT = "snapshot_id"
@@ -89,10 +89,15 @@ class VersionedTable:
         stored = self.spark.read.schema(full).option("basePath", self.data_path).parquet(self.data_path)
         return stored.filter(F.col(SNAPSHOT).between(low, high))
 
+    def _has_rows(self) -> bool:
+        """Whether anything was ever appended; columns can be added to an empty table."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.data_path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def read(self, as_of: int | None = None, where: Column | None = None, partitions: Sequence[str] | None = None) -> DataFrame:
         """Rows of a version. ``partitions`` limits the scan; ``where`` is applied to the rows of the version."""
         version, base, schema, changed = self._state(as_of)
-        if version == 0:
+        if version == 0 or not self._has_rows():
             return self.spark.createDataFrame([], schema)
         stored = self._stored(schema, base, version)
         if partitions is not None:
@@ -134,7 +139,7 @@ class VersionedTable:
             path = f"{self.data_path}/{SNAPSHOT}={number}"
             placed = rows.withColumn(self.partition_name, self.partition_value)
             # overwrite: a commit that died before its log line left files under this number
-            salted(placed, [self.partition_name], 4).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            gathered(placed, [self.partition_name]).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
                 self.partition_name
             ).parquet(path)
             written = self.spark.read.schema(f"{CHANGE} string").parquet(path)

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressbeat.storage import estimated_bytes, materialize
+from pressbeat.storage import materialize, pieces_by_size
 
 BLOCK = "_block"
 HEAD = "_head"
@@ -22,9 +22,8 @@ FRAME_ROWS = 100_000
 
 
 def block_count(df: DataFrame) -> int:
-    """One block per 128 MB of estimated input, at most the session's shuffle partitions."""
-    ceiling = max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return min(max(4, estimated_bytes(df) // BLOCK_BYTES), ceiling)
+    """One block per 128 MB of estimated input, whatever the session's shuffle partitions are."""
+    return pieces_by_size(df, BLOCK_BYTES)
 
 
 def ordered_blocks(df: DataFrame, order: Sequence[str], part: Sequence[str] = (), blocks: int | None = None) -> DataFrame:

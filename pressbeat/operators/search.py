@@ -39,14 +39,8 @@ def tokens(text: str | Column) -> Column:
 
 
 def query_terms(query: str) -> list[str]:
-    """The query cut like the text is (Han runs into pairs)."""
-    terms: list[str] = []
-    for word in re.findall(r"[一-鿿]+|[^\W_一-鿿]+", query.lower()):
-        if "一" <= word[0] <= "鿿" and len(word) > 1:
-            terms += [word[i : i + 2] for i in range(len(word) - 1)]
-        else:
-            terms.append(word)
-    return terms
+    """The query cut by the same expression as the texts."""
+    return list(SparkSession.active().range(1).select(tokens(F.lit(query)).alias("terms")).first()["terms"])
 
 
 def build_postings(docs: DataFrame, key: str, text: str) -> DataFrame:

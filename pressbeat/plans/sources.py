@@ -265,7 +265,7 @@ def _(t):
 @query("partition_counts", "SELECT strftime(publish_date, '%Y-%m') AS month, count(*) AS \"rows\" FROM posts GROUP BY 1", "posts")
 def _(t):
     path = scratch_path(t.spark, "month-partitions")
-    files.write_partitioned(t.posts.withColumn("month", F.date_format("publish_date", "yyyy-MM")), path, ["month"], files_per_partition=2)
+    files.write_partitioned(t.posts.withColumn("month", F.date_format("publish_date", "yyyy-MM")), path, ["month"])
     stored = t.spark.read.schema("post_id bigint, month string").parquet(path)
     return catalog.partition_counts(stored, "month")
 

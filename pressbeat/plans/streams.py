@@ -21,7 +21,7 @@ def topic(t):
     """(path, end time) of the replayed topic; written once per session and data directory."""
     known = (t.spark.sparkContext.applicationId, t.sf_dir)
     if known not in _TOPICS:
-        path = source.publish(source.to_event_records(t.logs), scratch_path(t.spark, "topic"), files=FILES)
+        path = source.publish(source.to_event_records(t.logs), scratch_path(t.spark, "topic"))
         newest = t.logs.agg(F.date_format(F.max("event_time") + F.expr("interval 3 days"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
         source.publish_end(t.spark, path, newest)
         _TOPICS[known] = (path, newest)
@@ -196,7 +196,7 @@ def _(t):
 @stream_query("stream_flatmap", """
 SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word""", stored="documents")
 def _(t):
-    texts = t.spark.readStream.schema("text string").option("pathGlobFilter", "documents.parquet").parquet(t.sf_dir)
+    texts = t.spark.readStream.schema("text string").parquet(f"{t.sf_dir}/documents.parquet*")
     words = texts.select(F.explode(F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")).alias("word")).filter("word <> ''")
     return sinks.run_upsert(windows.counts_by(words, "word"), ["word"])
 

@@ -7,6 +7,9 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressbeat.storage import pieces_by_size
+
+FILE_BYTES = 64 * 1024 * 1024
 RECORD_SCHEMA = "key string, value string"
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 END_ACTION = "end-of-input"
@@ -51,11 +54,13 @@ def to_event_records(logs: DataFrame, shape: str = "nested") -> DataFrame:
     return logs.select(post.cast("string").alias("key"), F.to_json(value).alias("value"), "event_time")
 
 
-def publish(records: DataFrame, path: str, slices: int = 3, files: int = 4, order: list[int] | None = None) -> str:
+def publish(records: DataFrame, path: str, slices: int = 3, files: int | None = None, order: list[int] | None = None) -> str:
     """Append the records to a file topic in ``slices`` steps of event time.
 
+    A slice is written as one file per 64 MB of the records' estimated size, four at least, unless ``files`` says otherwise.
     ``order`` replays the slices in another order, which makes the earlier ones late.
     """
+    files = files or pieces_by_size(records, slices * FILE_BYTES)
     cuts = [i / slices for i in range(1, slices)]
     # slices - 1 numbers reach the driver
     marks = records.agg(F.percentile_approx(F.unix_micros("event_time"), cuts)).first()[0] if cuts else []

@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressbeat.storage import estimated_bytes
 
-SPREAD_BYTES = 64 * 1024 * 1024
 CORRUPT = "_corrupt_record"
 SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 FORMATS = ("parquet", "orc", "csv", "json", "text")
@@ -82,25 +80,19 @@ def write_out(
     writer.save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "append", files_per_partition: int = 8) -> None:
-    """Partitioned Parquet: rows of one partition value go to a handful of tasks, not to all and not to one.
-
-    A salt by row number keeps a partition value that holds a large part of the rows from landing in
-    one task, copies of one row included.
-    """
-    write_out(salted(df, columns, files_per_partition), path, "parquet", mode, partition_by=columns)
+def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "append") -> None:
+    """Partitioned Parquet: rows of one partition value come together, a value of many rows in several tasks."""
+    write_out(gathered(df, columns), path, "parquet", mode, partition_by=columns)
 
 
-def salted(df: DataFrame, columns: list[str], spread: int) -> DataFrame:
-    """Rows brought together by ``columns``, each value over at most ``spread`` tasks (one for small input)."""
-    spread = max(1, min(spread, estimated_bytes(df) // SPREAD_BYTES))
-    numbered = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(spread)))
-    return numbered.repartition(*columns, "_salt").drop("_salt")
+def gathered(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows brought together by ``columns``; adaptive execution splits a large value and joins small ones by their size."""
+    return df.hint("rebalance", *columns)
 
 
 def load_partitioned(df: DataFrame, path: str, derive: dict[str, Column], mode: str = "overwrite") -> None:
     """Staged rows into a table partitioned by derived columns; only the partitions present are replaced."""
-    spread = salted(df.withColumns(derive), list(derive), 8)
+    spread = gathered(df.withColumns(derive), list(derive))
     spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*derive).parquet(path)
 
 

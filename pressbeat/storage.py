@@ -52,6 +52,22 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+UNKNOWN_BYTES = 1 << 60
+
+
+def pieces_by_size(df: DataFrame, bytes_each: int, least: int = 4) -> int:
+    """How many pieces of ``bytes_each`` bytes ``df`` makes, by its estimated size and not by any setting.
+
+    The optimizer takes a join for the product of its sides, so the estimate is held to four times what the plan reads. Rows
+    that come from no stored table have no size; then the session's shuffle partitions have to do.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if any(size >= UNKNOWN_BYTES for size in sizes):
+        return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, min(estimated_bytes(df), 4 * sum(sizes)) // bytes_each)
+
+
 SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
 
 

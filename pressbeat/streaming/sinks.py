@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pressbeat.operators.rollup import replace_latest, requery
 from pressbeat.storage import scratch_path
 
-TIMEOUT_SECONDS = 3600
 BYTES_PER_STATE_PARTITION = 64 * 1024 * 1024
 
 
@@ -38,9 +37,9 @@ def sized_state(spark: SparkSession, input_bytes: int) -> Iterator[int]:
         spark.conf.set(setting, before)
 
 
-def finish(query: StreamingQuery, timeout: int = TIMEOUT_SECONDS) -> StreamingQuery:
-    """Wait for a bounded run; raises what the query raised, or on a time-out."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
+    """Wait for a bounded run, without a limit unless the caller sets one; raises what the query raised, or on a time-out."""
+    if query.awaitTermination(timeout) is False:
         query.stop()
         raise TimeoutError(f"stream still running after {timeout} s")
     return query
