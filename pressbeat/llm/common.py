@@ -63,14 +63,19 @@ def lengthy(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[
 MOST_BROADCAST = 1_000_000
 
 
+def bounded_broadcast(ids: DataFrame, label: str) -> DataFrame:
+    """One column of ids, written and counted: up to MOST_BROADCAST they are to be broadcast, more are joined by a shuffle."""
+    listed = materialize(ids, label)
+    return F.broadcast(listed) if listed.count() <= MOST_BROADCAST else listed
+
+
 def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` less the rows whose ``key`` is in the one column of ``ids``; rows without a key stay.
 
-    The ids are written and counted. Up to MOST_BROADCAST they are broadcast and no text is shuffled; more are joined by a shuffle.
+    Up to MOST_BROADCAST ids are broadcast and no text is shuffled.
     """
     gone = free_name(docs, "gone_id")
-    listed = materialize(ids.toDF(gone).filter(F.col(gone).isNotNull()).distinct(), "ids")
-    side = F.broadcast(listed) if listed.count() <= MOST_BROADCAST else listed
+    side = bounded_broadcast(ids.toDF(gone).filter(F.col(gone).isNotNull()).distinct(), "ids")
     return docs.join(side, docs[key].cast("bigint") == side[gone], "left_anti")
 
 
@@ -97,4 +102,4 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
-__all__ = ["SPACE", "SPACES", "free_name", "lengthy", "let", "map_arrow", "materialize", "numbered", "scratch_path", "ship", "table", "text_of", "without", "words_of"]
+__all__ = ["SPACE", "SPACES", "bounded_broadcast", "free_name", "lengthy", "let", "map_arrow", "materialize", "numbered", "scratch_path", "ship", "table", "text_of", "without", "words_of"]

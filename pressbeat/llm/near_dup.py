@@ -8,6 +8,10 @@ are put together in bands of ROWS. Texts that share a band are candidates; a can
 similarity, worked out from both whole texts, is at least 0.8, or the plain one of its shingle sets is. Classes are connected
 texts.
 
+Before any text is read again, a candidate pair is dropped if its totals rule it out: the weighted similarity is at most the
+ratio of the two texts' total weights, the plain one at most that of their numbers of shingles. The texts of the other candidates are
+picked by id; up to MOST_BROADCAST ids are broadcast, and no other text is shuffled.
+
 Exact copies are one text from the start. Within a bucket the texts are range-sorted by their next band and each is compared
 with the first of its run and with its neighbour, so a bucket of any size costs two comparisons a text, is spread over
 partitions, and no pairs are listed. Texts of under five words are one shingle. A null text is empty; empty texts are copies of
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pressbeat.llm.common import lengthy, map_arrow, materialize, text_of, without
+from pressbeat.llm.common import bounded_broadcast, lengthy, map_arrow, materialize, text_of, without
 
 SHINGLE, SAMPLES, ROWS, SIMILAR = 5, 16, 2, 0.8
 BANDS = SAMPLES // ROWS
@@ -154,12 +158,13 @@ def band_keys(sampled: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, weigher: Weigher) -> DataFrame:
-    """One row per document: doc_id, digest of the text, and its band keys (none without words)."""
+    """One row per document: doc_id, digest of the text, its band keys (none without words), total weight and number of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lengthy(batches, 4 << 20):
             texts = batch.column(1).to_pylist()
             bands: list = [[]] * len(texts)
+            totals = []
             held, size = [], 0
 
             def flush() -> None:
@@ -171,6 +176,7 @@ def sketches(docs: DataFrame, weigher: Weigher) -> DataFrame:
 
             for i, text in enumerate(texts):
                 codes, weights = weigher.shingles(text)
+                totals.append((float(weights.sum()), len(codes)))
                 if len(codes):
                     held.append((i, codes, weights))
                     size += len(codes)
@@ -179,16 +185,23 @@ def sketches(docs: DataFrame, weigher: Weigher) -> DataFrame:
                     held, size = [], 0
             flush()
             digest = [hashlib.md5(t.encode()).hexdigest() for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "digest", "bands"])
+            weight, n = pa.array([w for w, _ in totals], pa.float64()), pa.array([n for _, n in totals], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.string()), pa.array(bands, pa.list_(pa.int64())), weight, n], ["doc_id", "digest", "bands", "weight", "n"])
 
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return map_arrow(slim, run, "doc_id bigint, digest string, bands array<bigint>")
+    return map_arrow(slim, run, "doc_id bigint, digest string, bands array<bigint>, weight double, n bigint")
+
+
+def possible(one: tuple[str, float, int], other: tuple[str, float, int]) -> bool:
+    """Whether the totals of two texts (digest, weight, shingles) leave room for a link; rounding is given the benefit."""
+    (_, w, n), (_, v, m) = one, other
+    return min(w, v) >= (SIMILAR - 1e-6) * max(w, v) or min(n, m) >= (SIMILAR - 1e-6) * max(n, m)
 
 
 def candidates(texts: DataFrame) -> DataFrame:
     """(a, b, near): pairs of digests that share a band: each text with the first of its run, or (near) with its neighbour.
 
-    The rows of all bands are range-sorted, so a bucket of many texts is cut into runs of several tasks; the first texts of the
+    Pairs inside a task whose totals rule a link out are left away. The rows of all bands are range-sorted, so a bucket of many texts is cut into runs of several tasks; the first texts of the
     runs at the edges of tasks are paired afterwards.
     """
 
@@ -198,24 +211,28 @@ def candidates(texts: DataFrame) -> DataFrame:
         runs: list[tuple[int, str]] = []
         names = ["key", "a", "b", "near", "part"]
         kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int32()]
+
+        def rows(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names)
+
         for batch in batches:
             out = []
-            for k, digest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for k, *own in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if k != key:
-                    key, head, before = k, digest, digest
-                    runs = runs[:1] + [(k, digest)]
+                    key, head, before = k, own, own
+                    runs = runs[:1] + [(k, own[0])]
                     continue
-                out.append((k, head, digest, False, part))
-                if before != head:
-                    out.append((k, before, digest, True, part))
-                before = digest
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names)
-        edge = [(k, digest, None, False, part) for k, digest in dict.fromkeys(runs)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in edge], kind) for i, kind in enumerate(kinds)], names)
-
-    exploded = texts.select("digest", "bands", F.posexplode("bands").alias("at", "key"))
-    sortable = materialize(exploded.select("key", F.get("bands", (F.col("at") + 1) % BANDS).alias("next"), "digest"), "bands")
-    ordered = sortable.repartitionByRange("key", "next", "digest").sortWithinPartitions("key", "next", "digest").select("key", "digest")
+                if possible(head, own):
+                    out.append((k, head[0], own[0], False, part))
+                if before is not head and possible(before, own):
+                    out.append((k, before[0], own[0], True, part))
+                before = own
+            yield rows(out)
+        yield rows([(k, digest, None, False, part) for k, digest in dict.fromkeys(runs)])
+
+    exploded = texts.select("digest", "weight", "n", "bands", F.posexplode("bands").alias("at", "key"))
+    sortable = materialize(exploded.select("key", F.get("bands", (F.col("at") + 1) % BANDS).alias("next"), "digest", "weight", "n"), "bands")
+    ordered = sortable.repartitionByRange("key", "next", "digest").sortWithinPartitions("key", "next", "digest").select("key", "digest", "weight", "n")
     found = materialize(map_arrow(ordered, run, "key bigint, a string, b string, near boolean, part int"), "runs")
     # at most two rows a task
     heads = found.filter("b IS NULL").select("key", "a", F.lead("a").over(Window.partitionBy("key").orderBy("part")).alias("b")).filter("b IS NOT NULL")
@@ -265,12 +282,12 @@ def classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (the least id of its class) and kept (it is that one)."""
     weigher = Weigher(*common_words(docs))
     rows = materialize(sketches(docs, weigher), "sketches")
-    texts = materialize(rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value("bands").alias("bands")), "texts")
+    texts = materialize(rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value(F.struct("bands", "weight", "n")).alias("own")).select("digest", "first_id", "own.*"), "texts")
     pairs = materialize(candidates(texts), "pairs")
     needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct().join(texts.select("digest", "first_id"), "digest"), "needed")
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     # the texts of candidates only, one row for each text
-    picked = slim.join(needed.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    picked = slim.join(bounded_broadcast(needed.select(F.col("first_id").alias("doc_id")).filter("doc_id IS NOT NULL").distinct(), "ids"), "doc_id", "left_semi")
     orphan = slim.filter("doc_id IS NULL")
     bodies = picked.unionByName(orphan).withColumn("digest", F.md5("text")).join(needed.select("digest"), "digest", "left_semi")
     bodies = materialize(bodies.dropDuplicates(["digest"]).select("digest", "text"), "bodies")
