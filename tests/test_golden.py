@@ -10,9 +10,9 @@ from pressbeat.operators import clean, frame, joins, quality, ranking, rollup, s
 from pressbeat.sources import catalog, export, files
 
 POSTS = [
-    (1, "Spark start", "ann", 1500, 50), (2, "Spark SQL", "ann", 2800, 120), (3, "Spark tuning", "ann", 4500, 200), (4, "Hadoop core", "bob", 2300, 80),
-    (5, "Hive store", "bob", 800, 30), (6, "Flink flow", "cat", 3200, 150), (7, "Kafka queue", "cat", 1800, 60), (8, "Python data", "dan", 950, 40),
-    (9, None, "dan", None, 20), (10, "K8s work", "cat", 2600, 100),
+    (1, "Pruning roses", "mira", 410, 7), (2, "Rose soil", "mira", 1230, 18), (3, "Compost basics", "mira", 3650, 91), (4, "Winter hedges", "otto", 640, 12),
+    (5, "Compost heat", "otto", 2075, 33), (6, "Bee hotels", "otto", 150, 2), (7, "Dry beds", "pia", 2990, 77), (8, "Rose hips", "pia", 505, 9),
+    (9, None, "rolf", None, 4), (10, "Pond care", "rolf", 5120, 140),
 ]
 
 
@@ -22,30 +22,30 @@ def posts(spark):
 
 
 def test_rollup_subtotals(posts):
-    kind = F.when(F.col("title").like("%Spark%"), "Spark").when(F.col("title").like("%Hadoop%"), "Hadoop").otherwise("other")
+    kind = F.when(F.col("title").like("%Rose%"), "rose").when(F.col("title").like("%Compost%"), "compost").otherwise("other")
     rows = posts.withColumn("kind", kind).rollup("author", "kind").agg(F.sum("views").alias("v")).collect()
     got = {(r["author"], r["kind"]): r["v"] for r in rows}
-    assert got[(None, None)] == 20450
-    assert [got[(a, None)] for a in ("ann", "bob", "cat", "dan")] == [8800, 3100, 7600, 950]
-    assert (got[("bob", "Hadoop")], got[("bob", "other")], got[("dan", "other")]) == (2300, 800, 950)
+    assert got[(None, None)] == 16770
+    assert [got[(a, None)] for a in ("mira", "otto", "pia", "rolf")] == [5290, 2865, 3495, 5120]
+    assert (got[("otto", "compost")], got[("otto", "other")], got[("pia", "rose")]) == (2075, 790, 505)
     cube = posts.withColumn("kind", kind).cube("author", "kind").agg(F.sum("views").alias("v")).collect()
     assert set(map(tuple, rows)) <= set(map(tuple, cube))
 
 
 def test_clean_posts_keeps_the_valid_rows(spark):
     raw = [
-        (1, "  Spark start  ", "ann", 1500, 50, " spark, Big Data ,hadoop ", "2024-01-15"), (2, "Spark SQL", " ann", 2800, 120, " spark,sql ", "2024-02-28"),
-        (3, "Hive store", "bob", None, 30, "hive", "2024-03-10"), (4, "Python data", "dan", 950, None, None, "2024-07-30"),
-        (5, None, "dan", None, 20, "ops", "2024-08-12"), (6, "K8s work", "cat", -100, 100, "k8s", "invalid-date"), (7, "", "eve", 600, 10, "", "2024-10-01"),
-        (8, "Negative", "cat", -100, 100, "", "2024-09-01"),
+        (1, "  Rose soil  ", "mira", 1640, 18, " rose, Garden Soil ,bed ", "2023-03-04"), (2, "Dry beds", " pia", 2990, 77, " beds,dry ", "2023-05-19"),
+        (3, "Compost heat", "otto", None, 33, "compost", "2023-06-02"), (4, "Pond care", "rolf", 505, None, None, "2023-09-23"),
+        (5, None, "rolf", None, 4, "pond", "2023-09-30"), (6, "Bee hotels", "otto", -3, 2, "bees", "no-date"), (7, "", "uwe", 640, 12, "", "2023-10-11"),
+        (8, "Leaf mould", "otto", -41, 6, "", "2023-11-05"),
     ]
     df = spark.createDataFrame(raw, "id int, title string, author string, views int, likes int, tags string, publish_date string")
     got = {r["id"]: r for r in clean.clean_posts(df).collect()}
     assert sorted(got) == [1, 2, 3, 4, 8]
-    assert (got[1]["title"], got[1]["tags"], got[1]["tag_count"], got[1]["engagement"]) == ("Spark start", "spark,bigdata,hadoop", 3, 1750)
-    assert (got[2]["author"], got[3]["views"], got[4]["likes"], got[4]["tag_count"], got[8]["views"]) == ("ann", 0, 0, 0, 0)
+    assert (got[1]["title"], got[1]["tags"], got[1]["tag_count"], got[1]["engagement"]) == ("Rose soil", "rose,gardensoil,bed", 3, 1730)
+    assert (got[2]["author"], got[3]["views"], got[4]["likes"], got[4]["tag_count"], got[8]["views"]) == ("pia", 0, 0, 0, 0)
     assert (got[2]["popularity"], got[3]["popularity"], got[1]["popularity"]) == ("normal", "cold", "normal")
-    assert (got[1]["publish_date"], got[1]["year"], got[1]["month"]) == (dt.date(2024, 1, 15), 2024, 1)
+    assert (got[1]["publish_date"], got[1]["year"], got[1]["month"]) == (dt.date(2023, 3, 4), 2023, 3)
 
 
 def test_clean_logs_rejects_bad_times(spark):
@@ -163,12 +163,12 @@ def test_small_operators(spark, posts):
     clipped = posts.select("id", frame.clip(F.col("views"), 1000, 3000).alias("v")).collect()
     assert {r["id"]: r["v"] for r in clipped}[9] is None and {r["id"]: r["v"] for r in clipped}[3] == 3000
     cut = posts.select(stats.cut(F.col("views"), [0, 1000, 3000], ["low", "mid"]).alias("b")).groupBy("b").count().collect()
-    assert dict(map(tuple, cut)) == {"low": 2, "mid": 5, None: 3}
+    assert dict(map(tuple, cut)) == {"low": 4, "mid": 3, None: 3}
     sampled = frame.sample_rows(posts, 4, "id", 1).collect()
     assert len(sampled) == 4 and sampled == frame.sample_rows(posts.repartition(3), 4, "id", 1).collect()
-    mapped = frame.map_values(posts, "author", {"ann": "A"}, "m").groupBy("m").count().collect()
+    mapped = frame.map_values(posts, "author", {"mira": "A"}, "m").groupBy("m").count().collect()
     assert dict(map(tuple, mapped)) == {"A": 3, None: 7}
-    large = {f"x{i}": str(i) for i in range(1001)} | {"ann": "A"}
+    large = {f"x{i}": str(i) for i in range(1001)} | {"mira": "A"}
     assert frame.map_values(posts, "author", large, "m").filter("m = 'A'").count() == 3
     profile = catalog.profile_schema(posts).collect()
     assert [(r["rows"], r["column"], r["type"]) for r in profile][0] == (10, "id", "int")

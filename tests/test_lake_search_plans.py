@@ -13,7 +13,7 @@ from pressbeat.operators.lake import VersionedTable, expired
 from pressbeat.sources import files
 from pressbeat.storage import persisted
 
-ROWS = [(1, "a", 12580, 342, "2025-01-15"), (5, "b", 9870, 312, "2025-04-10"), (10, "c", 8900, 278, "2025-07-15"), (11, "d", 7230, 215, "2025-08-01")]
+ROWS = [(1, "a", 4812, 31, "2025-01-06"), (5, "b", 2455, 14, "2025-03-22"), (10, "c", 1290, 66, "2025-06-09"), (11, "d", 77, 3, "2025-09-27")]
 
 
 @pytest.fixture()
@@ -42,13 +42,13 @@ def state(df):
 
 
 def test_merge_updates_and_inserts(spark, lake):
-    version = merge(lake, spark, [(1, 13000, 360), (5, 10200, 330), (10, 9100, 290), (99, 7, 1)], "2026-01-04 00:00:00")
-    assert state(lake.read()) == {1: (13000, 360), 5: (10200, 330), 10: (9100, 290), 11: (7230, 215), 99: (7, 1)}
+    version = merge(lake, spark, [(1, 900, 40), (5, 500, 20), (10, 1300, 70), (99, 7, 1)], "2026-01-04 00:00:00")
+    assert state(lake.read()) == {1: (900, 40), 5: (500, 20), 10: (1300, 70), 11: (77, 3), 99: (7, 1)}
     assert state(lake.read(2)) == {r[0]: (r[2], r[3]) for r in ROWS}
     assert state(lake.read(lake.version_at("2026-01-02 10:00:00"))) == {r[0]: (r[2], r[3]) for r in ROWS[:3]}
     changes = {r["post_id"]: r["change"] for r in lake.diff(2, version).collect()}
     assert changes == {1: "changed", 5: "changed", 10: "changed", 99: "added"}
-    again = merge(lake, spark, [(1, 13000, 360)], "2026-01-05 00:00:00")
+    again = merge(lake, spark, [(1, 900, 40)], "2026-01-05 00:00:00")
     assert lake.diff(version, again).isEmpty()
 
 
@@ -73,9 +73,9 @@ def test_unfinished_commits_are_invisible_and_replaced(spark, lake):
 def test_added_columns_updates_and_compaction(spark, lake):
     lake.add_column("minutes", "int", "2026-01-04 00:00:00", after="title")
     assert lake.read().columns == ["post_id", "title", "minutes", "views", "likes", "publish_date"]
-    lake.update_where(F.col("views") > 9000, {"minutes": F.col("views") / 1000}, "2026-01-05 00:00:00")
+    lake.update_where(F.col("views") > 2000, {"minutes": F.col("views") / 1000}, "2026-01-05 00:00:00")
     lake.update_where(F.col("post_id") == 1, {"minutes": F.lit(0)}, "2026-01-06 00:00:00")
-    expected = {1: 0, 5: 9, 10: None, 11: None}
+    expected = {1: 0, 5: 2, 10: None, 11: None}
     assert {r["post_id"]: r["minutes"] for r in lake.read().collect()} == expected
     lake.compact("2026-01-07 00:00:00")
     assert {r["post_id"]: r["minutes"] for r in lake.read().collect()} == expected
