@@ -294,3 +294,17 @@ def test_pipeline_by_stages(spark, sf, docs, odd):
     assert {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, sf).collect()} == want
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, odd, sf).collect()
+
+
+def test_totals_never_rule_out_a_link():
+    rng = np.random.default_rng(3)
+    links = 0
+    for _ in range(2000):
+        n, cut, own = rng.integers(1, 60), rng.integers(0, 12), rng.integers(0, 12)
+        weights = rng.random(n + own) * rng.choice([0.1, 1, 50], n + own) + 1e-3
+        a, b = np.arange(n + own) < n, np.arange(n + own) >= min(cut, n - 1)
+        weighted, plain = weights[a & b].sum() / weights[a | b].sum(), (a & b).sum() / (a | b).sum()
+        if max(weighted, plain) >= near_dup.SIMILAR - 1e-9:
+            links += 1
+            assert near_dup.possible(("a", weights[a].sum(), a.sum()), ("b", weights[b].sum(), b.sum()))
+    assert links > 100 and not near_dup.possible(("a", 10.0, 10), ("b", 5.0, 5))
