@@ -26,6 +26,8 @@ from pressbeat.llm.common import lengthy, map_arrow, text_of
 NEVER = 1 << 62
 SHIFT = 32
 PLACE = (1 << SHIFT) - 1
+BITS = 20
+NONE = (1 << BITS) - 1  # stands after the last byte; no pair has it
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -33,54 +35,52 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge_pairs(data: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of two or more bytes: merge the leftmost lowest-ranked pair of neighbours until none has a rank.
+def load_pairs(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Every pair of ids whose bytes together are an id: ``first << BITS | second`` to ``id << SHIFT``. Bounded by the rank file."""
+    get = ranks.get
+    splits = ((get(token[:k]), get(token[k:]), rank) for token, rank in ranks.items() for k in range(1, len(token)))
+    return {a << BITS | b: rank << SHIFT for a, b, rank in splits if a is not None and b is not None}
+
+
+def merge_pairs(ids: list[int], pairs: dict[int, int]) -> list[int]:
+    """The ids of a match of two or more bytes, given as its bytes' ids: merge the leftmost lowest-ranked pair until none has a rank.
 
     ``levels`` is a segment tree over the byte places with 16 children a node: a leaf holds ``rank << SHIFT | place`` of the pair
     that starts there, a node the lowest of its children, so that the root is the next merge. Vanished places and pairs without
-    a rank hold ``NEVER``. A merge writes three leaves and the nodes above them.
+    a rank hold ``NEVER`` or more. A merge writes three leaves and the nodes above them.
     """
-    n = len(data)
-    get = ranks.get
-    parts = [data[i : i + 1] for i in range(n)]
+    n = len(ids)
+    get = pairs.get
+    ids = [*ids, NONE]
     after = list(range(1, n + 1))
     before = list(range(-1, n))
-    leaves = [NEVER if (rank := get(data[i : i + 2])) is None else rank << SHIFT | i for i in range(n - 1)]
+    leaves = [get(ids[i] << BITS | ids[i + 1], NEVER) | i for i in range(n - 1)]
     levels = [leaves]
     while len(level := levels[-1]) > 16:
         levels.append([min(level[i : i + 16]) for i in range(0, len(level), 16)])
-    while (key := min(levels[-1])) != NEVER:
+    root, deep = levels[-1], len(levels) > 1
+    while (key := min(root)) < NEVER:
         at = key & PLACE
         gone = after[at]
-        parts[at] = part = parts[at] + parts[gone]
+        ids[at] = merged = key >> SHIFT
         after[at] = follower = after[gone]
         before[follower] = at
         if gone < n - 1:
             leaves[gone] = NEVER
-        leaves[at] = NEVER if follower == n or (rank := get(part + parts[follower])) is None else rank << SHIFT | at
+        leaves[at] = get(merged << BITS | ids[follower], NEVER) | at
         if (left := before[at]) >= 0:
-            leaves[left] = NEVER if (rank := get(parts[left] + part)) is None else rank << SHIFT | left
-        if len(levels) > 1:
+            leaves[left] = get(ids[left] << BITS | merged, NEVER) | left
+        if deep:
             places = {at >> 4, min(gone, n - 2) >> 4, max(left, 0) >> 4}
             for lower, upper in zip(levels, levels[1:]):
                 for place in places:
                     upper[place] = min(lower[place << 4 : (place + 1) << 4])
                 places = {place >> 4 for place in places}
-    ids, at = [], 0
+    out, at = [], 0
     while at < n:
-        ids.append(ranks[parts[at]])
+        out.append(ids[at])
         at = after[at]
-    return ids
-
-
-def merge(data: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """The ids of one match."""
-    whole = ranks.get(data)
-    if whole is not None:
-        return (whole,)
-    if len(data) < 2:
-        return tuple(ranks[data[i : i + 1]] for i in range(len(data)))
-    return tuple(merge_pairs(data, ranks))
+    return out
 
 
 class Matches(dict):
@@ -90,12 +90,23 @@ class Matches(dict):
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
+        if max(ranks.values(), default=0) >= NONE:
+            raise ValueError(f"ids must be below {NONE}")
         self.ranks = ranks
+        self.pairs = load_pairs(ranks)
+        self.bytes = [ranks[bytes([b])] for b in range(256)]
+
+    def merge(self, data: bytes) -> list[int]:
+        """The ids of one match."""
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return [whole]
+        return merge_pairs([self.bytes[b] for b in data], self.pairs)
 
     def __missing__(self, match: str) -> bytes:
         if len(self) > self.MOST:
             self.clear()
-        self[match] = found = array("i", merge(match.encode(), self.ranks)).tobytes()
+        self[match] = found = array("i", self.merge(match.encode())).tobytes()
         return found
 
 
