@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressbeat.operators.frame import small_set
 from pressbeat.storage import estimated_bytes, materialize
 
 
@@ -45,23 +44,38 @@ def dimension_join(facts: DataFrame, dimension: DataFrame, key: str, hot_share:
     return often.unionByName(rarely)
 
 
-def contains_join(left: DataFrame, text: str, right: DataFrame, needle: str, how: str = "inner", key: str | None = None, max_lengths: int = 1000) -> DataFrame:
-    """Rows of ``right`` whose needle occurs in the text of a row of ``left``.
+#: Lengths of the leading pieces that texts and needles meet by: a needle uses the longest that fits in it.
+SEED_LENGTHS = tuple(1 << i for i in range(7))
 
-    Instead of comparing every pair, each text is cut into its distinct pieces of the lengths that
-    needles have, and pieces meet needles in an equi join. Empty needles match no text. A left join needs the unique ``key`` of
-    ``left``.
+
+def contains_join(left: DataFrame, text: str, right: DataFrame, needle: str, key: str, how: str = "inner") -> DataFrame:
+    """Rows of ``right`` whose needle occurs in the text of a row of ``left``; ``key`` is unique in ``left``.
+
+    Instead of comparing every pair, each needle is found by its seed, its first 1, 2, 4, … or 64 characters. Only
+    (key, piece) of the texts' distinct pieces of these lengths meet the seeds; the texts come back by key and are searched for the
+    whole needle. Both small sides are written, so a broadcast is decided by their true size. Empty needles match no text.
     """
-    if how not in ("inner", "left") or (how == "left" and key is None):
-        raise ValueError("how must be inner, or left with a key")
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    length = F.lit(SEED_LENGTHS[0])
+    for n in SEED_LENGTHS[1:]:
+        length = F.when(F.length(needle) >= n, F.lit(n)).otherwise(length)
     usable = right.filter(F.length(needle) > 0)
-    lengths = small_set(usable, F.length(needle), max_lengths)
-    fitting = F.filter("_lengths", lambda n: n <= F.length(text))
-    pieces = F.array_distinct(
-        F.flatten(F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda at: F.substr(F.col(text), at, n))))
-    )
-    cut = left.withColumn("_lengths", lengths).withColumn("_piece", F.explode(pieces))
-    found = cut.join(usable, F.col("_piece") == F.col(needle)).drop("_piece", "_lengths")
+    seeds = usable.select(needle).distinct().withColumn("_seed", F.substr(F.col(needle), F.lit(1), length))
+    seeds = materialize(seeds, "seeds")
+    used = [r[0] for r in seeds.select(F.length("_seed")).distinct().collect()]  # at most as many as SEED_LENGTHS
+
+    def cut(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.length(text) - n + 1)
+        pieces = F.transform(places, lambda at: F.substr(F.col(text), at, F.lit(n)))
+        return F.when(F.length(text) >= n, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
+
+    pieces = left.select(key, F.explode(F.concat(*map(cut, used or SEED_LENGTHS[:1]))).alias("_seed"))
+    # an explode is estimated at the size of its input, so the pieces must never be chosen for a broadcast
+    seeds = F.broadcast(seeds) if fits_broadcast(seeds) else seeds.hint("merge")
+    met = materialize(pieces.join(seeds, "_seed").select(key, F.col(needle).alias("_needle")), "met")
+    found = left.join(met, key).filter(F.contains(F.col(text), F.col("_needle")))
+    found = found.join(usable, F.col("_needle") == usable[needle]).drop("_needle")
     if how == "inner":
         return found
     missing = left.join(found.select(key).distinct(), key, "left_anti")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressbeat.sources.files import gathered
+from pressbeat.storage import materialize
 
 CHANGE = "_change"
 SNAPSHOT = "snapshot_id"
@@ -174,15 +175,16 @@ class VersionedTable:
         """Matched rows take ``sets``, unmatched source rows are added with ``inserts``.
 
         Expressions name target columns plainly and source columns as ``source.<name>``. Several source
-        rows for one key are an error.
+        rows for one key are an error. The source is written first, so that its true size decides the joins; the table is
+        reduced to the source's keys, and its other rows are not shuffled while these keys can be broadcast.
         """
         self._check_settable(sets)
-        target = self.read()
+        target, source = self.read(), materialize(source, "merge-source")
         repeated = source.groupBy(*self.key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
         if repeated.count():
             raise ValueError("several source rows have the same key")
         packed = source.select(*self.key, F.struct(*source.columns).alias("source"))
-        present = target.withColumn("_present", F.lit(True))
+        present = target.join(source.select(*self.key), self.key, "left_semi").withColumn("_present", F.lit(True))
         joined = packed.join(present, self.key, "left")
         columns = []
         for field in target.schema.fields:

@@ -7,21 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressbeat.operators.traffic import action_count
+from pressbeat.operators.traffic import action_count, with_city
 
 DAY_KEYS = ("event_date", "city", "device")
 POST_KEYS = ("post_id", "event_date")
 
 
-def day_rollup(logs: DataFrame) -> DataFrame:
-    """Additive daily counters per city and device; ``uv`` is additive only within one delta."""
-    return logs.groupBy(*DAY_KEYS).agg(
+def day_rollup(logs: DataFrame, users: DataFrame) -> DataFrame:
+    """Additive daily counters per city and device; ``uv`` is additive only within one delta.
+
+    The log is reduced to one row per day, device and user before it meets the users; visitors are then rows.
+    """
+    per_user = logs.filter(F.col("user_id").isNotNull()).groupBy("event_date", "device", "user_id").agg(
         F.count(F.lit(1)).alias("pv"),
-        F.count_distinct("user_id").alias("uv"),
         action_count("comment").alias("comments"),
         action_count("like").alias("likes"),
         action_count("share").alias("shares"),
     )
+    return with_city(per_user, users).groupBy(*DAY_KEYS).agg(
+        F.sum("pv").alias("pv"),
+        F.count(F.lit(1)).alias("uv"),
+        F.sum("comments").alias("comments"),
+        F.sum("likes").alias("likes"),
+        F.sum("shares").alias("shares"),
+    )
 
 
 def post_rollup(logs: DataFrame) -> DataFrame:

@@ -53,14 +53,14 @@ def needles(t):
 @query("join_contains", f"SELECT post_id, needle FROM articles JOIN {NEEDLES} ON contains(upper(title) || title, needle)", "articles")
 def _(t):
     texts = t.articles.select("post_id", F.concat(F.upper("title"), "title").alias("text"))
-    return ops.contains_join(texts, "text", needles(t), "needle").select("post_id", "needle")
+    return ops.contains_join(texts, "text", needles(t), "needle", "post_id").select("post_id", "needle")
 
 
 @query("join_contains_left", """
 SELECT post_id, needle FROM articles LEFT JOIN (SELECT DISTINCT lower(p_type) AS needle FROM part) ON contains(title, needle)""", "articles")
 def _(t):
     types = t.raw("part").select(F.lower("p_type").alias("needle")).distinct()
-    return ops.contains_join(t.articles.select("post_id", "title"), "title", types, "needle", "left", key="post_id").select("post_id", "needle")
+    return ops.contains_join(t.articles.select("post_id", "title"), "title", types, "needle", "post_id", "left").select("post_id", "needle")
 
 
 @query("combine_first", """

@@ -237,6 +237,18 @@ def _(t):
     )
 
 
+@query("import_rejects", """
+SELECT 'imported' AS result, count(*) AS "rows" FROM logs WHERE action <> 'share' UNION ALL SELECT 'rejected', count(*) FROM logs WHERE action = 'share'""", "logs")
+def _(t):
+    """Every share is written with a number no integer column takes; the import sets those rows aside and counts both halves."""
+    out, target = scratch_path(t.spark, "bad-csv"), scratch_path(t.spark, "checked-logs")
+    post = F.when(F.col("action") == "share", F.lit("not a number")).otherwise(F.col("post_id").cast("string"))
+    facts = t.logs.select("log_id", "user_id", post.alias("post_id"), "action", "ip", "device", "event_time")
+    files.write_out(facts, out, "csv", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    imports.import_logs(t.spark, out, target)
+    return imports.import_counts(t.spark, target)
+
+
 @query("object_inventory")
 def _(t):
     return files.list_objects(t.spark, t.sf_dir).select("name", "bytes", "modified")

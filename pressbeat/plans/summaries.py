@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pressbeat.operators import quality, rollup, traffic
+from pressbeat.operators import quality, rollup
 from pressbeat.plans.base import query
 
 CUT = "2024-01-16"
@@ -18,8 +18,8 @@ def halves(t, df):
 
 
 def day_rollup(t):
-    old, new = halves(t, traffic.with_city(t.logs.filter("user_id IS NOT NULL"), t.users))
-    return rollup.rollup_merge(rollup.day_rollup(old), rollup.day_rollup(new), rollup.DAY_KEYS)
+    old, new = halves(t, t.logs)
+    return rollup.rollup_merge(rollup.day_rollup(old, t.users), rollup.day_rollup(new, t.users), rollup.DAY_KEYS)
 
 
 def post_rollup(t):

@@ -34,10 +34,15 @@ def read_csv_infer(spark: SparkSession, path, sep=",", quote='"', escape="\\", n
 
 
 def split_corrupt(df: DataFrame, corrupt_column: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows)."""
+    """(good rows, quarantined rows), whatever columns are used later.
+
+    A CSV scan judges only the columns it reads. The second condition holds for every row; it keeps all columns in the scan.
+    """
+    whole = F.xxhash64(*df.columns) >= F.lit(-(2**63)).cast("bigint")
+    judged = df.filter(whole)
     return (
-        df.filter(F.col(corrupt_column).isNull()).drop(corrupt_column),
-        df.filter(F.col(corrupt_column).isNotNull()),
+        judged.filter(F.col(corrupt_column).isNull()).drop(corrupt_column),
+        judged.filter(F.col(corrupt_column).isNotNull()),
     )
 
 

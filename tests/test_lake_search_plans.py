@@ -52,6 +52,14 @@ def test_merge_updates_and_inserts(spark, lake):
     assert lake.diff(version, again).isEmpty()
 
 
+def test_merge_broadcasts_the_source_keys(spark, lake, monkeypatch):
+    plans = []
+    commit = lake._commit
+    monkeypatch.setattr(lake, "_commit", lambda rows, *rest: (plans.append(plan_of(rows)), commit(rows, *rest))[1])
+    merge(lake, spark, [(1, 900, 40)], "2026-01-04 00:00:00")
+    assert re.search(r"BroadcastHashJoin \[post_id#\d+\], \[post_id#\d+\], LeftSemi", plans[0])
+
+
 def test_merge_rejects_repeated_source_keys(spark, lake):
     with pytest.raises(ValueError, match="same key"):
         merge(lake, spark, [(1, 1, 1), (1, 2, 2)], "2026-01-04 00:00:00")
