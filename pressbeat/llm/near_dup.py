@@ -13,8 +13,11 @@ ratio of the two texts' total weights, the plain one at most that of their numbe
 picked by id; up to MOST_BROADCAST ids are broadcast, and no other text is shuffled.
 
 Exact copies are one text from the start. Within a bucket the texts are range-sorted by their next band and each is compared
-with the first of its run and with its neighbour, so a bucket of any size costs two comparisons a text, is spread over
-partitions, and no pairs are listed. Texts of under five words are one shingle. A null text is empty; empty texts are copies of
+with the first of its run and with its neighbour, so a bucket of near copies costs two comparisons a text and is spread over
+partitions. Buckets that still hold several classes go on in rounds: a growing number of their texts (those of most and of fewest
+links first) meet every text of another class that is left, then leave; a bucket is done when what is left is one class. So every
+pair of a bucket is compared, or of one class, or ruled out by its totals. A star costs few comparisons a text; a large bucket of
+texts of similar totals that do not link costs the square of its size. Texts of under five words are one shingle. A null text is empty; empty texts are copies of
 each other. A null id takes part but never names a class unless all its ids are null. Repeated rows are copies. Only the id
 and the text are read, so extra columns may have any name.
 """
@@ -25,6 +28,7 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,7 @@ BANDS = SAMPLES // ROWS
 RARE = 1000
 TABLE = 1 << 16
 AT_ONCE = 20_000
+PIVOTS, MOST_PIVOTS = 4, 512
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -198,7 +203,13 @@ def possible(one: tuple[str, float, int], other: tuple[str, float, int]) -> bool
     return min(w, v) >= (SIMILAR - 1e-6) * max(w, v) or min(n, m) >= (SIMILAR - 1e-6) * max(n, m)
 
 
-def candidates(texts: DataFrame) -> DataFrame:
+def band_rows(texts: DataFrame) -> DataFrame:
+    """key, next (the key of the next band), digest, weight, n: one row per text and band."""
+    exploded = texts.select("digest", "weight", "n", "bands", F.posexplode("bands").alias("at", "key"))
+    return materialize(exploded.select("key", F.get("bands", (F.col("at") + 1) % BANDS).alias("next"), "digest", "weight", "n"), "bands")
+
+
+def candidates(sortable: DataFrame) -> DataFrame:
     """(a, b, near): pairs of digests that share a band: each text with the first of its run, or (near) with its neighbour.
 
     Pairs inside a task whose totals rule a link out are left away. The rows of all bands are range-sorted, so a bucket of many texts is cut into runs of several tasks; the first texts of the
@@ -230,8 +241,6 @@ def candidates(texts: DataFrame) -> DataFrame:
             yield rows(out)
         yield rows([(k, digest, None, False, part) for k, digest in dict.fromkeys(runs)])
 
-    exploded = texts.select("digest", "weight", "n", "bands", F.posexplode("bands").alias("at", "key"))
-    sortable = materialize(exploded.select("key", F.get("bands", (F.col("at") + 1) % BANDS).alias("next"), "digest", "weight", "n"), "bands")
     ordered = sortable.repartitionByRange("key", "next", "digest").sortWithinPartitions("key", "next", "digest").select("key", "digest", "weight", "n")
     found = materialize(map_arrow(ordered, run, "key bigint, a string, b string, near boolean, part int"), "runs")
     # at most two rows a task
@@ -278,13 +287,53 @@ def components(links: DataFrame) -> DataFrame:
         roots = after.select("node", "root")
 
 
+def crowds(sortable: DataFrame) -> DataFrame:
+    """The band rows of buckets of more than two texts; in smaller ones the first comparisons are all pairs."""
+    large = sortable.groupBy("key").agg(F.count("*").alias("m")).filter("m > 2").select("key")
+    return materialize(sortable.join(bounded_broadcast(large, "crowded"), "key", "left_semi").select("key", "digest", "weight", "n"), "crowds")
+
+
+def further_links(crowd: DataFrame, pairs: DataFrame, links: DataFrame, roots: DataFrame, bodies: DataFrame, weigher: Weigher) -> list[DataFrame]:
+    """The links that ``pairs`` leaves out: rounds over the buckets of ``crowd`` until the texts left in each are of one class."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("degree"))
+    left = crowd.join(roots.withColumnRenamed("node", "digest"), "digest", "left").join(degree, "digest", "left")
+    left = left.select("key", "digest", "weight", "n", F.coalesce("root", "digest").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    compared, found, width = pairs.select("a", "b"), [], PIVOTS
+    while True:
+        left = materialize(left, "left")
+        mixed = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+        left = materialize(left.join(bounded_broadcast(mixed, "mixed"), "key", "left_semi"), "left")
+        if left.isEmpty():
+            return found
+
+        def first(*order) -> DataFrame:
+            return left.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order))).filter(F.col("rank") <= width).drop("rank")
+
+        pivots = materialize(first(F.desc("degree"), "digest").unionByName(first(F.asc("degree"), "digest")).distinct(), "pivots")
+        met = left.join(pivots.selectExpr("key", "digest AS other", "weight AS v", "n AS m", "root AS other_root"), "key").filter("root <> other_root")
+        bound = SIMILAR - 1e-6  # as in possible()
+        met = met.filter((F.least("weight", "v") >= bound * F.greatest("weight", "v")) | (F.least("n", "m") >= bound * F.greatest("n", "m")))
+        ends = F.when(F.col("digest") < F.col("other"), F.struct(F.col("digest").alias("a"), F.col("other").alias("b"), F.col("root").alias("root_a"), F.col("other_root").alias("root_b")))
+        ends = ends.otherwise(F.struct(F.col("other").alias("a"), F.col("digest").alias("b"), F.col("other_root").alias("root_a"), F.col("root").alias("root_b")))
+        meeting = materialize(met.select(ends.alias("e")).select("e.*").dropDuplicates(["a", "b"]).join(compared, ["a", "b"], "left_anti"), "meeting")
+        more = materialize(verified(meeting, bodies, weigher), "links")
+        compared, width = compared.unionByName(meeting.select("a", "b")), min(4 * width, MOST_PIVOTS)
+        left = left.join(pivots.select("key", "digest"), ["key", "digest"], "left_anti")
+        if not more.isEmpty():
+            found.append(more)
+            joined = components(meeting.join(more, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+            left = left.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+            left = left.select("key", "digest", "weight", "n", F.coalesce("top", "root").alias("root"), "degree")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (the least id of its class) and kept (it is that one)."""
     weigher = Weigher(*common_words(docs))
     rows = materialize(sketches(docs, weigher), "sketches")
     texts = materialize(rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value(F.struct("bands", "weight", "n")).alias("own")).select("digest", "first_id", "own.*"), "texts")
-    pairs = materialize(candidates(texts), "pairs")
-    needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct().join(texts.select("digest", "first_id"), "digest"), "needed")
+    sortable = band_rows(texts)
+    pairs, crowd = materialize(candidates(sortable), "pairs"), crowds(sortable)
+    needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("digest")).unionByName(crowd.select("digest")).distinct().join(texts.select("digest", "first_id"), "digest"), "needed")
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     # the texts of candidates only, one row for each text
     picked = slim.join(bounded_broadcast(needed.select(F.col("first_id").alias("doc_id")).filter("doc_id IS NOT NULL").distinct(), "ids"), "doc_id", "left_semi")
@@ -299,7 +348,11 @@ def classes(docs: DataFrame) -> DataFrame:
     apart = pairs.filter("near").join(side["a"], "a", "left").join(side["b"], "b", "left").filter("NOT (root_a <=> root_b) OR root_a IS NULL").select("a", "b")
     more = materialize(verified(apart, bodies, weigher), "links")
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        links = links.unionByName(more)
+        roots = components(links)
+    found = further_links(crowd, pairs, links, roots, bodies, weigher)
+    if found:
+        roots = components(reduce(DataFrame.unionByName, found, links))
 
     named = texts.select("digest", "first_id").join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "first_id", F.coalesce("root", "digest").alias("root"))
     named = materialize(named, "named")

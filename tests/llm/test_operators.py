@@ -255,6 +255,42 @@ def test_near_duplicates(spark, docs, odd):
     assert near_dup.one_of_each(odd).columns == odd.columns and near_dup.classes(odd.limit(0)).collect() == []
 
 
+def test_stars_and_shared_passages(spark):
+    """Copies that are similar to one original only, and texts that share most of a passage: every pair of a bucket is settled."""
+    rng = random.Random(12)
+    rows = []
+    for star in range(2):
+        base = [f"s{star}w{k}" for k in range(100)]
+        rows.append((star * 1000 + 500, " ".join(base)))
+        for c in range(300):
+            words = list(base)
+            for at in rng.sample(range(5, 95), 2):
+                words[at] = f"edit{star}x{c}x{at}"
+            rows.append((star * 1000 + (c if c < 500 else c + 1), " ".join(words)))
+    passage = [f"p{k}" for k in range(70)]
+    for c in range(120):
+        own = [f"own{c // 3}x{k}" for k in range(30)]
+        own[rng.randrange(30)] = f"other{c}"
+        rows.append((5000 + c, " ".join(passage + own)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    weigher = near_dup.Weigher(*near_dup.common_words(docs))
+    shingles = {i: weigher.shingles(text) for i, text in rows}
+    root = {i: i for i, _ in rows}
+    buckets = defaultdict(list)
+    for r in near_dup.sketches(docs, weigher).collect():
+        for key in r.bands:
+            buckets[key].append(r.doc_id)
+    for a, b in sorted({(a, b) for own in buckets.values() for a in own for b in own if a < b}):
+        (x, p), (y, q) = shingles[a], shingles[b]
+        _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+        least = np.minimum(p[i], q[j]).sum()
+        if max(least / (p.sum() + q.sum() - least), len(i) / (len(x) + len(y) - len(i))) >= 0.8 and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if v == high else v for k, v in root.items()}
+    found = {r.doc_id: r.class_id for r in near_dup.classes(docs).collect()}
+    assert found == root and sum(v == 0 for v in root.values()) > 290 and sum(v == 1000 for v in root.values()) > 290
+
+
 def test_samples_agree_as_often_as_sets_are_similar():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 1 << 62, 400).astype(np.uint64)
