@@ -7,8 +7,12 @@ Matches on one diagonal that follow each other make a run. A run of MIN_RUN toke
 placeholders stand for one value each is a leak. A run of WINDOW + STRIDE - 1 tokens cannot slip between the strides, and no
 shorter one counts, so the first join loses nothing.
 
-Items of fewer than WINDOW + STRIDE - 1 tokens match nothing; windows with fewer than LITERALS words that are not placeholders do
-not count. A null text or item is empty and matches nothing. A document without an id cannot be named: it is never reported and
+A window with fewer than LITERALS words that are not placeholders counts where its values are the same, or where it lies in a
+longer stretch of one template, from its first token on or up to its last, that holds LITERALS such words. Runs over such windows
+add the pairs that the other windows alone do not give (the SQL states those alone); without such windows in the items nothing of
+this is run. A stretch is at most as long as the longest item, so none is missed.
+
+Items of fewer than WINDOW + STRIDE - 1 tokens match nothing. A null text or item is empty and matches nothing. A document without an id cannot be named: it is never reported and
 never removed. Rows of one id are one document for the report; repeated rows change nothing. Other columns are not read.
 """
 
@@ -64,27 +68,48 @@ def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
     return found.select(*keys, "w.place", "w.tokens", F.array_join(F.transform("w.tokens", template), " ").alias("gram"))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per (doc_id, item_id) that leaks: run_tokens, item_tokens, n_slots, reworded (some slot has another value)."""
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), tokens(text_of("text")).alias("words"))
-    items = items.filter(F.size("words") >= WINDOW + STRIDE - 1).withColumn("item_tokens", F.size("words"))
-    grams = windows(items, ["item_id", "item_tokens"])
-    literal = F.filter("tokens", lambda t: F.substring(t, -1, 1) != CLOSE)
-    grams = materialize(grams.filter(F.size(literal) >= LITERALS), "grams").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
-    slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).filter(F.col("doc_id").isNotNull())
+def is_word(token: Column) -> Column:
+    return F.substring(token, -1, 1) != CLOSE
 
-    # the written set of item windows has a known size: a small one is broadcast, a large one is shuffled with the windows
-    known = materialize(grams.select(F.xxhash64(F.split("gram", " ")).alias("code")).distinct(), "codes")
 
-    def codes(words):
-        forms = F.transform(words, template)
-        return let(forms, lambda w: F.transform(window_starts(w, STRIDE), lambda i: F.xxhash64(F.slice(w, i, WINDOW))))
+def sparse_windows(words: Column, longest: Column) -> Column:
+    """place, size and gram of the windows of few plain words: by their values, and stretched right or left to LITERALS words."""
+    kind = "array<struct<place:int,size:int>>"
+    n = F.size(words)
 
-    seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), codes)).alias("code"))
-    able = materialize(seen.join(known, "code", "left_semi").select("doc_id").distinct(), "able")
+    def stretches(at: Column) -> Column:
+        def fill(known: Column, low: Column, high: Column, span) -> Column:
+            return F.when(known.isNotNull() & (low <= high), F.transform(F.sequence(low, high), span).cast(kind)).otherwise(F.array().cast(kind))
 
-    rows = slim.join(able, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("words"))
-    met = windows(rows, ["doc_id", "version"]).join(grams, "gram")
+        def right(k: Column) -> Column:
+            end = F.get(at, k + (LITERALS - 1))
+            low = F.greatest(F.coalesce(F.get(at, k - 1), F.lit(0)) + 1, end - longest + 1)
+            return fill(end, low, F.least(F.get(at, k), end - WINDOW), lambda i: F.struct(i.alias("place"), (end - i + 1).alias("size")))
+
+        def left(k: Column) -> Column:
+            start = F.get(at, k - (LITERALS - 1))
+            high = F.least(F.coalesce(F.get(at, k + 1), n + 1) - 1, start + longest - 1)
+            return fill(start, F.greatest(F.get(at, k), start + WINDOW), high, lambda j: F.struct(start.alias("place"), (j - start + 1).alias("size")))
+
+        order = F.when(F.size(at) > 0, F.sequence(F.lit(0), F.size(at) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.concat(F.flatten(F.transform(order, right)), F.flatten(F.transform(order, left))))
+
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    plain = F.filter(places, lambda i: is_word(F.get(words, i - 1)))
+    long = F.transform(let(plain, stretches), lambda s: F.struct(s["place"].alias("place"), s["size"].alias("size"), F.concat(F.lit("T "), F.array_join(F.transform(F.slice(words, s["place"], s["size"]), template), " ")).alias("gram")))
+    few = F.filter(window_starts(words, 1), lambda i: F.size(F.filter(F.slice(words, i, WINDOW), is_word)) < LITERALS)
+    same = F.transform(few, lambda i: F.struct(i.alias("place"), F.lit(WINDOW).alias("size"), F.concat(F.lit("V "), F.array_join(F.slice(words, i, WINDOW), " ")).alias("gram")))
+    full = "array<struct<place:int,size:int,gram:string>>"
+    return F.concat(long.cast(full), same.cast(full))
+
+
+def sparse_rows(rows: DataFrame, keys: list[str], longest: int) -> DataFrame:
+    found = rows.select(*keys, "words", F.explode(let(F.col("words"), lambda w: sparse_windows(w, F.lit(longest)))).alias("w"))
+    return found.select(*keys, "w.place", "w.gram", F.expr("slice(words, w.place, w.size)").alias("tokens"))
+
+
+def reported(met: DataFrame) -> DataFrame:
+    """The leaks that the matched windows make: place, tokens, item_place and item_words of a document version and an item."""
     pairs = F.zip_with("item_words", "tokens", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
     line = ["doc_id", "version", "item_id", "item_tokens", "diagonal"]
     met = met.select("*", (F.col("place") - F.col("item_place")).alias("diagonal"), F.filter(pairs, lambda p: F.substring(p["item"], -1, 1) == CLOSE).alias("slots"))
@@ -105,6 +130,47 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     )
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per (doc_id, item_id) that leaks: run_tokens, item_tokens, n_slots, reworded (some slot has another value)."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), tokens(text_of("text")).alias("words"))
+    items = items.filter(F.size("words") >= WINDOW + STRIDE - 1).withColumn("item_tokens", F.size("words"))
+    grams_of_items = windows(items, ["item_id", "item_tokens"])
+    literal = F.filter("tokens", is_word)
+    grams = materialize(grams_of_items.filter(F.size(literal) >= LITERALS), "grams").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
+    slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).filter(F.col("doc_id").isNotNull())
+
+    # the written set of item windows has a known size: a small one is broadcast, a large one is shuffled with the windows
+    known = materialize(grams.select(F.xxhash64(F.split("gram", " ")).alias("code")).distinct(), "codes")
+
+    def codes(words):
+        forms = F.transform(words, template)
+        return let(forms, lambda w: F.transform(window_starts(w, STRIDE), lambda i: F.xxhash64(F.slice(w, i, WINDOW))))
+
+    seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), codes)).alias("code"))
+    able = materialize(seen.join(known, "code", "left_semi").select("doc_id").distinct(), "able")
+
+    rows = slim.join(able, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("words"))
+    met = windows(rows, ["doc_id", "version"]).join(grams, "gram")
+    found = reported(met)
+
+    poor = grams_of_items.filter(F.size(literal) < LITERALS)
+    if poor.isEmpty():
+        return found
+    found = materialize(found, "found")
+    longest = items.agg(F.max("item_tokens")).first()[0]
+    sparse = materialize(sparse_rows(items, ["item_id", "item_tokens"], longest), "sparse").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
+    known = materialize(sparse.select(F.xxhash64("gram").alias("code")).distinct(), "codes")
+    codes_of = let(tokens(F.col("text")), lambda w: F.transform(sparse_windows(w, F.lit(longest)), lambda s: F.xxhash64(s["gram"])))
+    able = materialize(slim.select("doc_id", F.explode(codes_of).alias("code")).join(known, "code", "left_semi").select("doc_id").distinct(), "able")
+    rows = slim.join(able, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("words"))
+    wide = sparse_rows(rows, ["doc_id", "version"], longest).join(sparse, "gram")
+    wide = wide.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - WINDOW)).alias("k"))
+    cut = ["doc_id", "version", "item_id", "item_tokens", (F.col("place") + F.col("k")).alias("place"), (F.col("item_place") + F.col("k")).alias("item_place")]
+    wide = wide.select(*cut, *(F.slice(c, F.col("k") + 1, WINDOW).alias(c) for c in ("tokens", "item_words")))
+    both = windows(rows, ["doc_id", "version"]).join(grams, "gram").select(wide.columns).unionByName(wide)
+    return found.unionByName(reported(both).join(found, ["doc_id", "item_id"], "left_anti"))
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage."""
     return without(docs, leaks(docs, benchmark).select("doc_id"))

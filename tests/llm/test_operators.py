@@ -78,6 +78,18 @@ def test_templates_find_reworded_items(spark):
     assert templates.without_leaks(docs.limit(0), bench).columns == docs.columns
 
 
+def test_templates_find_items_of_few_plain_words(spark):
+    mean = "Compute the mean of 3 5 7 9 11 13 15 17 19 21"
+    last = "1 2 3 4 5 6 7 8 9 sum them all"
+    sums = "30 + 41 + 52 + 63 + 74 + 85 + 96 + 107 + 118 + 129"
+    moved = mean.translate(str.maketrans("3579", "4682"))
+    rows = [(1, f"before. {mean} after"), (2, f"x {moved} y"), (3, f"see {sums} there"), (4, "take " + sums.replace("74", "75")), (5, f"and {last}"), (6, "and 21 22 23 24 25 26 27 28 29 sum them all"), (7, "Compute the sum of 3 5 7 9 11"), (8, "the mean of 3 5 7 9"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, mean), (2, sums), (3, last)], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.reworded for r in templates.leaks(docs, bench).collect()}
+    assert found == {(1, 1): False, (2, 1): True, (3, 2): False, (5, 3): False, (6, 3): True}
+
+
 def test_quality_edges(spark, odd):
     found = quality.verdicts(odd).collect()
     assert len(found) == odd.count() and not any(r.kept for r in found)
