@@ -1,7 +1,7 @@
 """Every registered query against its SQL on the smallest data set."""
 
 import pytest
-from conftest import SF_DIR
+from table_paths import SF_DIR
 
 from __spark_entry__ import oracle_sql, queries
 from check import compare, connect

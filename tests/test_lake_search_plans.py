@@ -4,7 +4,7 @@ import math
 import re
 
 import pytest
-from conftest import SF_DIR
+from table_paths import SF_DIR
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
