@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressbeat.storage import materialize, scratch_path
+from pressbeat.storage import materialize, scratch_path, scratch_root
 
 #: ASCII white space, the word separator of every operator here.
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -50,6 +50,17 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that materialize() wrote and no later step reads."""
+    spark = df.sparkSession
+    root = scratch_root(spark)
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if root.split(":", 1)[-1].rstrip("/") + "/" not in folder:
+            raise ValueError(f"not a scratch table: {folder}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lengthy(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``most`` bytes, or one row that is longer."""
     for batch in batches:
@@ -102,4 +113,4 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
-__all__ = ["SPACE", "SPACES", "bounded_broadcast", "free_name", "lengthy", "let", "map_arrow", "materialize", "numbered", "scratch_path", "ship", "table", "text_of", "without", "words_of"]
+__all__ = ["SPACE", "SPACES", "bounded_broadcast", "discard", "free_name", "lengthy", "let", "map_arrow", "materialize", "numbered", "scratch_path", "ship", "table", "text_of", "without", "words_of"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressbeat.llm import bpe, chat, hmm, html_blocks, near_dup, pii, quality, templates, token_store, toxicity
+from pressbeat.llm import bpe, chat, hmm, html_blocks, kmeans, merkle, near_dup, pii, quality, shards, templates, token_store, toxicity
 from pressbeat.llm.common import materialize, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,18 @@ def op10_weighted_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.reports(table(spark, sf_dir, "documents"))
+
+
+def op13_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +95,9 @@ QUERIES: dict[str, Query] = {
         op8_bootstrapped_pii,
         op9_byte_bpe,
         op10_weighted_near_dup,
+        op11_merkle_manifest,
+        op12_external_shuffle,
+        op13_ns_kmeans,
     )
 }
 #: The others learn, sample or merge in ways SQL cannot state; their tests compare them with brute force.
