@@ -1,52 +1,61 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
 A text's shingles are runs of five words; a shingle weighs its count in the text times the mean inverse document frequency of its
-words. Word frequencies are counted over all documents; a frequency below one thousandth of the documents counts as that, so
-the table of common words that every task holds has at most a thousand times the mean number of distinct words of a document.
-SAMPLES consistent weighted samples per text (two texts agree on one with the probability of their weighted Jaccard similarity)
-are put together in bands of ROWS. Texts that share a band are candidates; a candidate pair is a link if its weighted Jaccard
-similarity, worked out from both whole texts, is at least 0.8, or the plain one of its shingle sets is. Classes are connected
-texts.
-
-Before any text is read again, a candidate pair is dropped if its totals rule it out: the weighted similarity is at most the
-ratio of the two texts' total weights, the plain one at most that of their numbers of shingles. The texts of the other candidates are
-picked by id; up to MOST_BROADCAST ids are broadcast, and no other text is shuffled.
-
-Exact copies are one text from the start. Within a bucket the texts are range-sorted by their next band and each is compared
-with the first of its run and with its neighbour, so a bucket of near copies costs two comparisons a text and is spread over
-partitions. Buckets that still hold several classes go on in rounds: a growing number of their texts (those of most and of fewest
-links first) meet every text of another class that is left, then leave; a bucket is done when what is left is one class. So every
-pair of a bucket is compared, or of one class, or ruled out by its totals. A star costs few comparisons a text; a large bucket of
-texts of similar totals that do not link costs the square of its size. Texts of under five words are one shingle. A null text is empty; empty texts are copies of
-each other. A null id takes part but never names a class unless all its ids are null. Repeated rows are copies. Only the id
-and the text are read, so extra columns may have any name.
+words. Document frequencies are counted over all documents in SLOTS hashed counters, so every task holds a table of fixed size; a
+frequency below one thousandth of the documents counts as that. Of each text SAMPLES consistent weighted samples are drawn: two
+texts agree on one with the probability of their weighted Jaccard similarity. Bands are the lines of the affine plane of order
+four: 20 sets of four samples, any two samples in exactly one of them. Two texts at 0.8 that agree in no band disagree on 7 of 16 samples or more
+and those 7 meet all 20 lines. Texts that share a band are candidates; a link is a pair whose weighted Jaccard similarity, worked
+out from both whole texts, is at least 0.8. Classes are the connected texts.
+
+Every candidate pair is compared, or of one class already, or ruled out by a bound that no link passes:
+
+1. In each bucket every text meets the head, the text that shares most buckets with others, so a group of copies around one
+   original is settled by one comparison a text.
+2. The texts of buckets that still hold several classes are posted under their rarest shingles. In any order that all texts share, the first common shingle
+   of a link lies, for the lighter text, among the first ninth of its weight and for the heavier one among the first fifth (or else
+   too little is left to share). The rarest come first, so a passage that many texts share posts only the texts that are little
+   besides it. Weight in shingles that no other text has cannot be shared, which bounds the similarity of a pair once more.
+3. Posts that hold several classes go on in rounds: a growing number of heads meet every text of another class, then leave. A
+   pair meets in its first common post only. What is left of a post after its classes are merged costs one comparison for each pair of different classes
+   that the bounds allow.
+
+Exact copies are one text from the start. Texts of under five words are one shingle. A null text is empty; empty texts are copies
+of each other. A null id takes part but never names a class unless all its ids are null. Repeated rows are copies. A text of any length is
+read whole. Only the id and the text are read, so extra columns may have any name. An empty table has no classes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pressbeat.llm.common import bounded_broadcast, lengthy, map_arrow, materialize, text_of, without
+from pressbeat.llm.common import bounded_broadcast, free_name, lengthy, map_arrow, materialize, text_of
 
-SHINGLE, SAMPLES, ROWS, SIMILAR = 5, 16, 2, 0.8
-BANDS = SAMPLES // ROWS
+SHINGLE, SAMPLES, SIMILAR = 5, 16, 0.8
 RARE = 1000
+SLOT_BITS = 17
+SLOTS = 1 << SLOT_BITS
 TABLE = 1 << 16
-AT_ONCE = 20_000
-PIVOTS, MOST_PIVOTS = 4, 512
+AT_ONCE = 4_000
+HEADS, MORE = 2, 4
+#: Shingles of a text's post that are looked at to see whether a pair has met before.
+FIRST = 32
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Multiplication in the field of four elements.
+FIELD = ((0, 0, 0, 0), (0, 1, 2, 3), (0, 2, 3, 1), (0, 3, 1, 2))
+LINES = [[4 * x + (FIELD[m][x] ^ b) for x in range(4)] for m in range(4) for b in range(4)] + [[4 * x + y for y in range(4)] for x in range(4)]
+#: Rounding is given the benefit in every bound.
+SLACK = 1e-6
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -60,64 +69,80 @@ def words_in(text: str) -> list[str]:
     return text.lower().split()
 
 
-def common_words(docs: DataFrame, flush: int = 200_000) -> tuple[dict[str, int], int]:
-    """Document frequencies of the words in at least one of RARE documents, and the number of documents."""
+class Words:
+    """64-bit codes of words, kept while they are few: the table is cleared between texts, never inside one."""
+
+    MOST = 500_000
+
+    def __init__(self):
+        self.slots: dict[str, int] = {}
+        self.codes = np.zeros(1 << 16, np.uint64)
+
+    def of(self, text: str) -> np.ndarray:
+        words = words_in(text)
+        if len(self.slots) >= self.MOST:
+            self.slots.clear()
+        slots, get = self.slots, self.slots.get
+        at = []
+        for word in words:
+            k = get(word)
+            if k is None:
+                k = slots[word] = len(slots)
+                if k >= len(self.codes):
+                    self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
+                self.codes[k] = xxhash.xxh64_intdigest(word)
+            at.append(k)
+        return self.codes[at]
+
+
+def slots_of(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def common_words(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """The number of documents that hold a word of each slot, and the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        seen, words, n = np.zeros(SLOTS, np.int64), Words(), 0
         for batch in lengthy(batches):
             for text in batch.column(0).to_pylist():
-                seen.update(set(words_in(text)))
-            if len(seen) > flush:
-                yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-                seen.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+                seen[np.unique(slots_of(words.of(text)))] += 1
+                n += 1
+        used = np.flatnonzero(seen)
+        at, count = np.append(used, -1), np.append(seen[used], n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(count, pa.int64())], ["slot", "n"])
 
-    total = docs.count()
-    counted = map_arrow(docs.select(text_of().alias("text")), run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return {r.word: r.n for r in counted.filter(F.col("n") * RARE > total).collect()}, total
+    counted = map_arrow(docs.select(text_of().alias("text")), run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    frequency, total = np.zeros(SLOTS, np.int64), 0
+    for part in counted.toArrow().to_batches():  # at most SLOTS + 1 rows
+        slot, n = part.column("slot").to_numpy(), part.column("n").to_numpy()
+        total += int(n[slot < 0].sum())
+        frequency[slot[slot >= 0]] = n[slot >= 0]
+    return frequency, total
 
 
 class Weigher:
     """The weighted shingles of texts: 64-bit shingle codes and weights."""
 
-    MOST = 1_000_000
-
-    def __init__(self, frequency: dict[str, int], total: int):
-        self.frequency, self.total, self.slots = frequency, max(total, 1), {}
-        self.codes = np.zeros(1 << 16, np.uint64)
-        self.weights = np.zeros(1 << 16)
+    def __init__(self, frequency: np.ndarray, total: int):
+        total = max(total, 1)
+        self.weights = 1 + np.log(total / np.maximum(frequency, total / RARE))
+        self.words = Words()
 
     def __getstate__(self):
-        return self.frequency, self.total
+        return self.weights
 
     def __setstate__(self, state):
-        self.__init__(*state)
-
-    def slot(self, word: str) -> int:
-        if len(self.slots) >= self.MOST:
-            self.slots.clear()
-        at = len(self.slots)
-        if at >= len(self.codes):
-            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-            self.weights = np.concatenate([self.weights, np.zeros_like(self.weights)])
-        self.slots[word] = at
-        self.codes[at] = xxhash.xxh64_intdigest(word)
-        self.weights[at] = 1 + math.log(self.total / max(self.frequency.get(word, 0), self.total / RARE))
-        return at
+        self.weights, self.words = state, Words()
 
     def shingles(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingle codes, ascending, and their weights."""
-        words = words_in(text)
-        if not words:
+        code = self.words.of(text)
+        if not len(code):
             return np.zeros(0, np.uint64), np.zeros(0)
-        if len(self.slots) + len(words) >= self.MOST:
-            self.slots.clear()
-        get, make = self.slots.get, self.slot
-        at = np.array([s if (s := get(w)) is not None else make(w) for w in words])
-        code, weight = self.codes[at], self.weights[at]
-        width = min(SHINGLE, len(words))
-        n = len(words) - width + 1
+        weight = self.weights[slots_of(code)]
+        width = min(SHINGLE, len(code))
+        n = len(code) - width + 1
         mixed = np.full(n, width, np.uint64)
         total = np.zeros(n)
         for k in range(width):
@@ -135,53 +160,44 @@ def random_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 STEP, LOG_C, SHIFT = random_tables()
-SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * MIX[0])
+SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * MIX[0]) | np.uint64(1)
 LOW = np.uint64(TABLE - 1)
 
 
 def samples(codes: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Consistent weighted samples of the sets that begin at ``starts`` of the flat arrays: one row of SAMPLES codes a set."""
-    key = mix(codes[:, None] ^ SEEDS[None, :])
-    r = STEP[(key & LOW).astype(np.int64)]
-    shift = SHIFT[(key >> np.uint64(16) & LOW).astype(np.int64)]
-    t = np.floor(np.log(weights)[:, None] / r + shift)
-    value = LOG_C[(key >> np.uint64(32) & LOW).astype(np.int64)] - r * (t - shift + 1)
-    least = np.minimum.reduceat(value, starts, axis=0)
-    sizes = np.diff(np.append(starts, len(codes)))
-    hit = value == np.repeat(least, sizes, axis=0)
-    drawn = mix(key + t.astype(np.int64).astype(np.uint64) * MIX[0])
-    drawn[~hit] = np.uint64(0xFFFFFFFFFFFFFFFF)  # of equal values the least code counts
-    return np.minimum.reduceat(drawn, starts, axis=0)
-
-
-def band_keys(sampled: np.ndarray) -> np.ndarray:
-    """One signed 64-bit key per set and band."""
-    keys = np.repeat(mix(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :], len(sampled), 0)
-    for k in range(ROWS):
-        keys = mix(keys * MIX[0] ^ sampled[:, k::ROWS])
-    return keys.astype(np.int64)
+    key = codes[None, :] * SEEDS[:, None]
+    key ^= key >> np.uint64(32)
+    r = STEP[(key >> np.uint64(48)).astype(np.int64)]
+    shift = SHIFT[(key >> np.uint64(32) & LOW).astype(np.int64)]
+    t = np.floor(np.log(weights)[None, :] / r + shift)
+    value = LOG_C[(key >> np.uint64(16) & LOW).astype(np.int64)] - r * (t - shift + 1)
+    least = np.minimum.reduceat(value, starts, axis=1)
+    hit = np.nonzero(value == np.repeat(least, np.diff(np.append(starts, len(codes))), axis=1))
+    drawn = np.full(value.shape, np.uint64(0xFFFFFFFFFFFFFFFF))  # of equal values the least code counts
+    drawn[hit] = mix(key[hit] + t[hit].astype(np.int64).astype(np.uint64) * MIX[0])
+    return np.minimum.reduceat(drawn, starts, axis=1).T
 
 
 def sketches(docs: DataFrame, weigher: Weigher) -> DataFrame:
-    """One row per document: doc_id, digest of the text, its band keys (none without words), total weight and number of shingles."""
+    """One row per document: doc_id, digest of the text, its samples (none without words) and total weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lengthy(batches, 4 << 20):
             texts = batch.column(1).to_pylist()
-            bands: list = [[]] * len(texts)
-            totals = []
-            held, size = [], 0
+            drawn: list = [[]] * len(texts)
+            totals, held, size = [], [], 0
 
             def flush() -> None:
                 if held:
                     starts = np.cumsum([0] + [len(c) for _, c, _ in held[:-1]])
-                    keys = band_keys(samples(np.concatenate([c for _, c, _ in held]), np.concatenate([w for _, _, w in held]), starts))
-                    for (i, _, _), own in zip(held, keys):
-                        bands[i] = own
+                    found = samples(np.concatenate([c for _, c, _ in held]), np.concatenate([w for _, _, w in held]), starts)
+                    for (i, _, _), own in zip(held, found.astype(np.int64)):
+                        drawn[i] = own
 
             for i, text in enumerate(texts):
                 codes, weights = weigher.shingles(text)
-                totals.append((float(weights.sum()), len(codes)))
+                totals.append(float(weights.sum()))
                 if len(codes):
                     held.append((i, codes, weights))
                     size += len(codes)
@@ -189,87 +205,62 @@ def sketches(docs: DataFrame, weigher: Weigher) -> DataFrame:
                     flush()
                     held, size = [], 0
             flush()
-            digest = [hashlib.md5(t.encode()).hexdigest() for t in texts]
-            weight, n = pa.array([w for w, _ in totals], pa.float64()), pa.array([n for _, n in totals], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.string()), pa.array(bands, pa.list_(pa.int64())), weight, n], ["doc_id", "digest", "bands", "weight", "n"])
+            digest = [hashlib.md5(t.encode()).digest() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(digest, pa.binary()), pa.array(drawn, pa.list_(pa.int64())), pa.array(totals, pa.float64())], ["doc_id", "digest", "samples", "weight"]
+            )
 
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return map_arrow(slim, run, "doc_id bigint, digest string, bands array<bigint>, weight double, n bigint")
+    return map_arrow(slim, run, "doc_id bigint, digest binary, samples array<bigint>, weight double")
 
 
-def possible(one: tuple[str, float, int], other: tuple[str, float, int]) -> bool:
-    """Whether the totals of two texts (digest, weight, shingles) leave room for a link; rounding is given the benefit."""
-    (_, w, n), (_, v, m) = one, other
-    return min(w, v) >= (SIMILAR - 1e-6) * max(w, v) or min(n, m) >= (SIMILAR - 1e-6) * max(n, m)
+def shared_bands(texts: DataFrame) -> DataFrame:
+    """(key, node, weight, n): the bands of each text that n texts have, n being 2 or more."""
+    keys = F.array(*(F.xxhash64(F.lit(i), *(F.get("samples", k) for k in line)) for i, line in enumerate(LINES)))
+    bands = texts.filter(F.size("samples") > 0).select("node", "weight", F.explode(keys).alias("key"))
+    counted = materialize(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
+    return materialize(bands.join(counted, "key").select("key", "node", "weight", "n"), "bands")
 
 
-def band_rows(texts: DataFrame) -> DataFrame:
-    """key, next (the key of the next band), digest, weight, n: one row per text and band."""
-    exploded = texts.select("digest", "weight", "n", "bands", F.posexplode("bands").alias("at", "key"))
-    return materialize(exploded.select("key", F.get("bands", (F.col("at") + 1) % BANDS).alias("next"), "digest", "weight", "n"), "bands")
+def may_link(weight: Column, own: Column, other_weight: Column, other_own: Column) -> Column:
+    """Whether totals, and the weights in shingles that only one text has, leave room for a link.
 
+    What a text shares is at most its weight w less its own part o, so a link to weight v needs w - o >= 0.8 (v + o).
+    """
+    room = lambda w, o, v: w - o >= SIMILAR * (v + o) - SLACK * w
+    return room(weight, own, other_weight) & room(other_weight, other_own, weight)
 
-def candidates(sortable: DataFrame) -> DataFrame:
-    """(a, b, near): pairs of digests that share a band: each text with the first of its run, or (near) with its neighbour.
 
-    Pairs inside a task whose totals rule a link out are left away. The rows of all bands are range-sorted, so a bucket of many texts is cut into runs of several tasks; the first texts of the
-    runs at the edges of tasks are paired afterwards.
-    """
+def met_heads(members: DataFrame) -> DataFrame:
+    """(a, b): the head of each bucket with every other text of it that could be a link."""
+    mass = members.groupBy("node").agg(F.sum("n").alias("mass"))
+    ranked = members.join(mass, "node")
+    heads = ranked.groupBy("key").agg(F.max_by(F.struct(F.col("node").alias("a"), F.col("weight").alias("v")), F.struct("mass", "node")).alias("head")).select("key", "head.*")
+    none = F.lit(0.0)
+    met = members.join(heads, "key").filter(F.col("node") != F.col("a")).filter(may_link(F.col("weight"), none, F.col("v"), none))
+    return met.select("a", F.col("node").alias("b")).distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        key = head = before = None
-        runs: list[tuple[int, str]] = []
-        names = ["key", "a", "b", "near", "part"]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int32()]
-
-        def rows(out: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names)
-
-        for batch in batches:
-            out = []
-            for k, *own in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if k != key:
-                    key, head, before = k, own, own
-                    runs = runs[:1] + [(k, own[0])]
-                    continue
-                if possible(head, own):
-                    out.append((k, head[0], own[0], False, part))
-                if before is not head and possible(before, own):
-                    out.append((k, before[0], own[0], True, part))
-                before = own
-            yield rows(out)
-        yield rows([(k, digest, None, False, part) for k, digest in dict.fromkeys(runs)])
-
-    ordered = sortable.repartitionByRange("key", "next", "digest").sortWithinPartitions("key", "next", "digest").select("key", "digest", "weight", "n")
-    found = materialize(map_arrow(ordered, run, "key bigint, a string, b string, near boolean, part int"), "runs")
-    # at most two rows a task
-    heads = found.filter("b IS NULL").select("key", "a", F.lead("a").over(Window.partitionBy("key").orderBy("part")).alias("b")).filter("b IS NOT NULL")
-    pairs = found.filter("b IS NOT NULL").select("a", "b", "near").unionByName(heads.select("a", "b", F.lit(False).alias("near")))
-    return pairs.filter("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.bool_and("near").alias("near"))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, weigher: Weigher) -> DataFrame:
-    """The pairs (a, b) whose whole texts are similar."""
+
+def verified(pairs: DataFrame, bodies: DataFrame, weigher: Weigher) -> DataFrame:
+    """The rows (a, b, ...) of ``pairs`` whose whole texts are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple = (None, None)
         for batch in lengthy(batches, 4 << 20):
             kept = []
-            for i, (a, first, second) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)))):
+            for i, (a, first, second) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("a", "first", "second")))):
                 if known[0] != a:
                     known = a, weigher.shingles(first)
                 (codes, weights), (others, more) = known[1], weigher.shingles(second)
                 _, x, y = np.intersect1d(codes, others, assume_unique=True, return_indices=True)
                 shared = np.minimum(weights[x], more[y]).sum()
-                weighted = shared / max(weights.sum() + more.sum() - shared, 1e-12)
-                if max(weighted, len(x) / max(len(codes) + len(others) - len(x), 1)) >= SIMILAR - 1e-9:
+                if shared >= (SIMILAR - 1e-9) * (weights.sum() + more.sum() - shared):
                     kept.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+            yield batch.drop_columns(["first", "second"]).take(pa.array(kept, pa.int64()))
 
-    right = pairs.select("a", "b").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("second")), "b")
-    both = right.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("first")), "a").select("a", "b", "first", "second")
-    return map_arrow(both, run, "a string, b string")
+    right = pairs.join(bodies.select(F.col("node").alias("b"), F.col("text").alias("second")), "b")
+    both = right.join(bodies.select(F.col("node").alias("a"), F.col("text").alias("first")), "a").select(*pairs.columns, "first", "second")
+    return map_arrow(both, run, pairs.schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -287,80 +278,131 @@ def components(links: DataFrame) -> DataFrame:
         roots = after.select("node", "root")
 
 
-def crowds(sortable: DataFrame) -> DataFrame:
-    """The band rows of buckets of more than two texts; in smaller ones the first comparisons are all pairs."""
-    large = sortable.groupBy("key").agg(F.count("*").alias("m")).filter("m > 2").select("key")
-    return materialize(sortable.join(bounded_broadcast(large, "crowded"), "key", "left_semi").select("key", "digest", "weight", "n"), "crowds")
+def crowd_of(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, weight, root, mass) of the texts of buckets of three or more that hold several classes; in smaller ones all pairs have met."""
+    rooted = members.join(roots, "node", "left").select("key", "node", "weight", "n", F.coalesce("root", "node").alias("root"))
+    mixed = rooted.filter("n > 2").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    inside = rooted.join(mixed, "key", "left_semi")
+    return materialize(inside.groupBy("node").agg(F.first("weight").alias("weight"), F.first("root").alias("root"), F.sum("n").alias("mass")), "crowd")
+
 
+def posts(crowd: DataFrame, bodies: DataFrame, weigher: Weigher) -> DataFrame:
+    """(shingle, place, light, node, weight, root, mass, own, first): the texts of ``crowd`` under their rarest shared shingles.
 
-def further_links(crowd: DataFrame, pairs: DataFrame, links: DataFrame, roots: DataFrame, bodies: DataFrame, weigher: Weigher) -> list[DataFrame]:
-    """The links that ``pairs`` leaves out: rounds over the buckets of ``crowd`` until the texts left in each are of one class."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count("*").alias("degree"))
-    left = crowd.join(roots.withColumnRenamed("node", "digest"), "digest", "left").join(degree, "digest", "left")
-    left = left.select("key", "digest", "weight", "n", F.coalesce("root", "digest").alias("root"), F.coalesce("degree", F.lit(0)).alias("degree"))
-    compared, found, width = pairs.select("a", "b"), [], PIVOTS
+    ``light`` marks the shingles that the lighter text of a link would share, ``own`` is the weight in shingles no other text of the crowd has,
+    ``first`` lists the text's first FIRST posts and ``place`` counts them from 1.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in lengthy(batches, 1 << 20):
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                codes, weights = weigher.shingles(text)
+                for at in range(0, len(codes), 100_000):
+                    part = slice(at, at + 100_000)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(codes[part]), node), pa.int64()), pa.array(codes[part].astype(np.int64)), pa.array(weights[part], pa.float64())], ["node", "shingle", "w"]
+                    )
+
+    held = map_arrow(bodies.join(crowd.select("node"), "node", "left_semi").select("node", "text"), run, "node bigint, shingle bigint, w double")
+    held = materialize(held, "shingles")
+    often = held.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1")
+    # one text's shingles at a time
+    line = Window.partitionBy("node").orderBy("often", "shingle")
+    whole = Window.partitionBy("node")
+    shared = held.join(often, "shingle").join(crowd, "node")
+    shared = shared.withColumn("own", F.greatest(F.col("weight") - F.sum("w").over(whole), F.lit(0.0)))
+    shared = shared.withColumn("ahead", F.col("own") + F.sum("w").over(line) - F.col("w")).withColumn("place", F.row_number().over(line))
+    fifth = F.col("ahead") <= (1 - SIMILAR + SLACK) * F.col("weight")
+    ninth = F.col("ahead") <= ((1 - SIMILAR) / (1 + SIMILAR) + SLACK) * F.col("weight")
+    rows = materialize(shared.filter(fifth).select("shingle", "place", ninth.alias("light"), "node", "weight", "root", "mass", "own"), "posts")
+    first = rows.filter(F.col("place") <= FIRST).groupBy("node").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "shingle"))), lambda x: x["shingle"]).alias("first"))
+    return mixed_posts(rows).join(first, "node")
+
+
+def mixed_posts(rows: DataFrame) -> DataFrame:
+    """The rows of posts that hold several classes and a text that could be the lighter one of a link."""
+    mixed = rows.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("light").alias("any")).filter("low <> high AND any").select("shingle")
+    return rows.join(mixed, "shingle", "left_semi")
+
+
+def further_links(left: DataFrame, bodies: DataFrame, weigher: Weigher) -> list[DataFrame]:
+    """The links between texts of one post: rounds over posts until the texts left in each are of one class."""
+    found, width = [], HEADS
     while True:
-        left = materialize(left, "left")
-        mixed = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-        left = materialize(left.join(bounded_broadcast(mixed, "mixed"), "key", "left_semi"), "left")
+        left = materialize(mixed_posts(left), "left")
         if left.isEmpty():
             return found
-
-        def first(*order) -> DataFrame:
-            return left.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order))).filter(F.col("rank") <= width).drop("rank")
-
-        pivots = materialize(first(F.desc("degree"), "digest").unionByName(first(F.asc("degree"), "digest")).distinct(), "pivots")
-        met = left.join(pivots.selectExpr("key", "digest AS other", "weight AS v", "n AS m", "root AS other_root"), "key").filter("root <> other_root")
-        bound = SIMILAR - 1e-6  # as in possible()
-        met = met.filter((F.least("weight", "v") >= bound * F.greatest("weight", "v")) | (F.least("n", "m") >= bound * F.greatest("n", "m")))
-        ends = F.when(F.col("digest") < F.col("other"), F.struct(F.col("digest").alias("a"), F.col("other").alias("b"), F.col("root").alias("root_a"), F.col("other_root").alias("root_b")))
-        ends = ends.otherwise(F.struct(F.col("other").alias("a"), F.col("digest").alias("b"), F.col("other_root").alias("root_a"), F.col("root").alias("root_b")))
-        meeting = materialize(met.select(ends.alias("e")).select("e.*").dropDuplicates(["a", "b"]).join(compared, ["a", "b"], "left_anti"), "meeting")
-        more = materialize(verified(meeting, bodies, weigher), "links")
-        compared, width = compared.unionByName(meeting.select("a", "b")), min(4 * width, MOST_PIVOTS)
-        left = left.join(pivots.select("key", "digest"), ["key", "digest"], "left_anti")
+        rank = F.row_number().over(Window.partitionBy("shingle").orderBy(F.desc("mass"), "node"))
+        heads = materialize(left.filter("light").withColumn("rank", rank).filter(F.col("rank") <= width).drop("rank"), "heads")
+        other = heads.select("shingle", *(F.col(c).alias(f"head_{c}") for c in ("node", "place", "weight", "own", "root", "first")))
+        before = lambda first, place: F.slice(first, F.lit(1), F.least(F.col(place) - 1, F.lit(FIRST)))
+        met = left.join(other, "shingle").filter(F.col("root") != F.col("head_root"))
+        met = met.filter(may_link(F.col("weight"), F.col("own"), F.col("head_weight"), F.col("head_own")))
+        met = met.filter(~F.arrays_overlap(before("first", "place"), before("head_first", "head_place")))
+        ends = F.when(F.col("node") < F.col("head_node"), F.struct(F.col("node").alias("a"), F.col("head_node").alias("b"), F.col("root").alias("root_a"), F.col("head_root").alias("root_b")))
+        ends = ends.otherwise(F.struct(F.col("head_node").alias("a"), F.col("node").alias("b"), F.col("head_root").alias("root_a"), F.col("root").alias("root_b")))
+        more = materialize(verified(met.select(ends.alias("e")).select("e.*").distinct(), bodies, weigher), "links")
+        left, width = left.join(heads.select("shingle", "node"), ["shingle", "node"], "left_anti"), MORE * width
         if not more.isEmpty():
-            found.append(more)
-            joined = components(meeting.join(more, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-            left = left.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
-            left = left.select("key", "digest", "weight", "n", F.coalesce("top", "root").alias("root"), "degree")
+            found.append(more.select("a", "b"))
+            joined = components(more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            left = left.join(joined, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id (the least id of its class) and kept (it is that one)."""
+def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents (doc_id, digest) and their texts (digest, first_id, root): texts of one class have one root."""
     weigher = Weigher(*common_words(docs))
     rows = materialize(sketches(docs, weigher), "sketches")
-    texts = materialize(rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value(F.struct("bands", "weight", "n")).alias("own")).select("digest", "first_id", "own.*"), "texts")
-    sortable = band_rows(texts)
-    pairs, crowd = materialize(candidates(sortable), "pairs"), crowds(sortable)
-    needed = materialize(pairs.select(F.explode(F.array("a", "b")).alias("digest")).unionByName(crowd.select("digest")).distinct().join(texts.select("digest", "first_id"), "digest"), "needed")
+    grouped = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.any_value(F.struct("samples", "weight")).alias("own"))
+    texts = materialize(grouped.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "own.*"), "texts")
+    members = shared_bands(texts)
+
+    needed = materialize(members.select("node").distinct().join(texts.select("node", "digest", "first_id"), "node"), "needed")
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     # the texts of candidates only, one row for each text
     picked = slim.join(bounded_broadcast(needed.select(F.col("first_id").alias("doc_id")).filter("doc_id IS NOT NULL").distinct(), "ids"), "doc_id", "left_semi")
     orphan = slim.filter("doc_id IS NULL")
-    bodies = picked.unionByName(orphan).withColumn("digest", F.md5("text")).join(needed.select("digest"), "digest", "left_semi")
-    bodies = materialize(bodies.dropDuplicates(["digest"]).select("digest", "text"), "bodies")
-
-    links = materialize(verified(pairs.filter("NOT near"), bodies, weigher), "links")
-    roots = components(links)
-    # neighbours whose class the first comparison has settled need no second one
-    side = {s: roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"}
-    apart = pairs.filter("near").join(side["a"], "a", "left").join(side["b"], "b", "left").filter("NOT (root_a <=> root_b) OR root_a IS NULL").select("a", "b")
-    more = materialize(verified(apart, bodies, weigher), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        roots = components(links)
-    found = further_links(crowd, pairs, links, roots, bodies, weigher)
-    if found:
-        roots = components(reduce(DataFrame.unionByName, found, links))
-
-    named = texts.select("digest", "first_id").join(roots.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "first_id", F.coalesce("root", "digest").alias("root"))
-    named = materialize(named, "named")
+    bodies = picked.unionByName(orphan).withColumn("digest", F.unhex(F.md5("text"))).join(needed.select("digest", "node"), "digest")
+    bodies = materialize(bodies.dropDuplicates(["node"]).select("node", "text"), "bodies")
+
+    links = [materialize(verified(met_heads(members), bodies, weigher), "links")]
+    roots = components(links[0])
+    crowd = crowd_of(members, roots)
+    if not crowd.isEmpty():
+        more = further_links(posts(crowd, bodies, weigher), bodies, weigher)
+        if more:
+            links += more
+            roots = components(reduce(DataFrame.unionByName, links))
+    named = texts.join(roots, "node", "left").select("digest", "first_id", F.coalesce("root", "node").alias("root"))
+    return rows.select("doc_id", "digest"), materialize(named, "named")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, class_id (the least id of its class) and kept (it is that one)."""
+    rows, named = linked(docs)
     least = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
     ids = materialize(named.join(least, "root").select("digest", "class_id"), "classes")
-    return rows.select("doc_id", "digest").join(ids, "digest").select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return rows.join(ids, "digest").select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their class; rows of one id stay or go together, rows without an id stay."""
-    return without(docs, classes(docs).filter("doc_id <> class_id").select("doc_id"))
+    """One row of each class: that of the least id and, of one id's texts, of the least digest; of repeated rows of it any one."""
+    rows, named = linked(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "digest")
+    known = materialize(rows.join(named.select("digest", "root"), "digest"), "known")
+    best = known.groupBy("root").agg(F.min(place).alias("best"))
+    kept = known.join(best, "root").select("doc_id", "digest", (place == F.col("best")).alias("kept"))
+    marks = materialize(kept.groupBy("doc_id", "digest").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")), "marks")
+    gone, again = marks.filter("NOT kept"), marks.filter("kept AND n > 1")
+    key, mark = free_name(docs, "near_dup_key"), free_name(docs, "near_dup_id")
+    named_docs = docs.withColumns({key: F.unhex(F.md5(text_of())), mark: F.col("doc_id").cast("bigint")})
+
+    def among(some: DataFrame) -> tuple[DataFrame, Column]:
+        side = bounded_broadcast(some.select(F.col("doc_id").alias("marked_id"), F.col("digest").alias("marked_digest")), "marked")
+        return side, named_docs[mark].eqNullSafe(side["marked_id"]) & (named_docs[key] == side["marked_digest"])
+
+    left = named_docs.join(*among(gone), "left_anti")
+    if not again.isEmpty():  # few rows, unless a table repeats its rows
+        repeated = among(again)
+        left = left.join(*repeated, "left_anti").unionByName(left.join(*repeated, "left_semi").dropDuplicates([mark, key]))
+    return left.select(*docs.columns)
