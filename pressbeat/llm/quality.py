@@ -2,9 +2,10 @@
 
 A sketch is a count per bucket of a whole-number measure; sketches merge by adding counts, so tasks, sources and languages combine
 in any order with the same result. Measures below 256 have a bucket each, larger ones keep eight leading bits, which bounds a
-sketch's size and its relative error. Of each (language, source) the quartiles give an upper fence; a group of few documents
-uses the sketch of its language, a language of few documents the sketch of all. The fences are joined to the documents, and a
-document above any fence, or failing the base rules, is not kept.
+sketch's size and its relative error. Of each (language, source) the quartiles give an upper fence. Its sketch is blended with those of its language
+and of all documents, each scaled to PRIOR documents, so fences change steadily with the size of a group. The fences are joined to the documents, and a
+document above any fence, or failing the base rules, is not kept. A measure that most documents have nothing of has quartiles of zero; there SLACK,
+the least spread of each measure, sets the fence.
 
 A null text has no words and fails; an empty text too. A null language or source counts as the empty name. Equal rows get equal
 verdicts, ties at a fence are kept, an empty table gives an empty result. Only the named columns of the input are read, so
@@ -21,10 +22,10 @@ from pressbeat.llm.common import SPACES, free_name, let, materialize, text_of, w
 
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: measure -> what the upper quartile may be exceeded by at least; shares in thousandths, word length in tenths.
+#: measure -> the least spread above the upper quartile; shares in thousandths, word length in tenths.
 SLACK = {"symbol_share": 50, "dup_line_share": 300, "capital_share": 200, "word_length": 40}
 SPREADS = 4
-MIN_ROWS = 200
+PRIOR, UNIT = 50, 1000
 
 
 def repeated_words(words: Column) -> Column:
@@ -93,25 +94,33 @@ def sketches(docs: DataFrame, text: str = "text", lang: str = "lang", source: st
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """One row per (lang, source) with a fence for each measure."""
-
-    def fence(level: DataFrame, keys: list[str]) -> DataFrame:
-        # a sketch has a bounded number of buckets, so a window over one holds a bounded number of rows
-        order = Window.partitionBy(*keys, "measure").orderBy("bucket")
-        run = level.select(*keys, "measure", "bucket", F.sum("n").over(order).alias("upto"), F.sum("n").over(Window.partitionBy(*keys, "measure")).alias("rows"))
-        quarter = {q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("bucket"))) for q in (1, 3)}
-        slack = F.element_at(F.create_map(*(F.lit(x) for k, v in SLACK.items() for x in (k, v))), F.col("measure"))
-        edges = run.groupBy(*keys, "measure", "rows").agg(quarter[1].alias("q1"), quarter[3].alias("q3"))
-        return edges.select(*keys, "measure", F.col("rows"), (F.col("q3") + F.greatest(slack, (F.col("q3") - F.col("q1")) * SPREADS)).alias("fence"))
+    """One row per (lang, source) with a fence for each measure, from the quartiles of its blended sketch.
 
+    The blend is the group's own sketch, that of its language scaled to PRIOR documents, and that of all scaled likewise; counts are kept in
+    whole units of a UNIT-th document. So a group of few documents has nearly the fences of its language, and they become its own steadily as it grows.
+    """
     by_lang = sketch.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n"))
     overall = by_lang.groupBy("measure", "bucket").agg(F.sum("n").alias("n"))
-    own = fence(sketch, ["lang", "source"])
-    lang = fence(by_lang, ["lang"]).select("lang", "measure", F.col("rows").alias("lang_rows"), F.col("fence").alias("lang_fence"))
-    every = fence(overall, []).select("measure", F.col("fence").alias("all_fence"))
-    chosen = F.when(F.col("rows") >= MIN_ROWS, F.col("fence")).when(F.col("lang_rows") >= MIN_ROWS, F.col("lang_fence")).otherwise(F.col("all_fence"))
-    joined = own.join(lang, ["lang", "measure"]).join(every, "measure").select("lang", "source", "measure", chosen.alias("fence"))
-    return joined.groupBy("lang", "source").agg(*(F.max(F.when(F.col("measure") == k, F.col("fence"))).alias(f"{k}_fence") for k in SLACK))
+
+    def scaled(level: DataFrame, keys: list[str]) -> DataFrame:
+        rows = F.sum("n").over(Window.partitionBy(*keys))
+        return level.withColumn("rows", rows).select(*keys, "bucket", F.expr(f"n * {PRIOR * UNIT} div rows").alias("weight"))
+
+    groups = sketch.select("lang", "source", "measure").distinct()
+    parts = [
+        sketch.select("lang", "source", "measure", "bucket", (F.col("n") * UNIT).alias("weight")),
+        groups.join(scaled(by_lang, ["lang", "measure"]), ["lang", "measure"]).select("lang", "source", "measure", "bucket", "weight"),
+        groups.join(scaled(overall, ["measure"]), "measure").select("lang", "source", "measure", "bucket", "weight"),
+    ]
+    keys = ["lang", "source", "measure"]
+    blend = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy(*keys, "bucket").agg(F.sum("weight").alias("weight"))
+    # a sketch has a bounded number of buckets, so a window over one holds a bounded number of rows
+    run = blend.withColumns({"upto": F.sum("weight").over(Window.partitionBy(*keys).orderBy("bucket")), "rows": F.sum("weight").over(Window.partitionBy(*keys))})
+    quarter = {q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("bucket"))) for q in (1, 3)}
+    slack = F.element_at(F.create_map(*(F.lit(x) for k, v in SLACK.items() for x in (k, v))), F.col("measure"))
+    edges = run.groupBy(*keys).agg(quarter[1].alias("q1"), quarter[3].alias("q3"))
+    limits = edges.select("lang", "source", "measure", (F.col("q3") + F.greatest(slack, (F.col("q3") - F.col("q1")) * SPREADS)).alias("fence"))
+    return limits.groupBy("lang", "source").agg(*(F.max(F.when(F.col("measure") == k, F.col("fence"))).alias(f"{k}_fence") for k in SLACK))
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -172,14 +181,16 @@ c AS (SELECT l.r, doc_id, lang, source, len(w) AS n_words, word_chars, n_symbols
   n_capitals * 1000 // greatest(word_chars, 1) AS capital_share, word_chars * 10 // greatest(len(w), 1) AS word_length FROM l LEFT JOIN p USING (r)),
 m AS (SELECT r, lang, source, unnest([{", ".join(f"'{k}'" for k in SLACK)}]) AS measure, unnest([{", ".join(SLACK)}]) AS v FROM c),
 b AS (SELECT *, v >> greatest(length(bin(v)) - 8, 0) << greatest(length(bin(v)) - 8, 0) AS bucket FROM m),
-s AS (SELECT 0 AS level, lang, source, measure, bucket, count(*) AS n FROM b GROUP BY ALL
-  UNION ALL SELECT 1, lang, '', measure, bucket, count(*) FROM b GROUP BY ALL
-  UNION ALL SELECT 2, '', '', measure, bucket, count(*) FROM b GROUP BY ALL),
-u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY level, lang, source, measure) AS tot FROM s),
-q AS (SELECT level, lang, source, measure, tot, min(bucket) FILTER (upto * 4 >= tot) AS q1, min(bucket) FILTER (upto * 4 >= tot * 3) AS q3 FROM u GROUP BY ALL),
-f AS (SELECT *, q3 + greatest(CASE measure {" ".join(f"WHEN '{k}' THEN {v}" for k, v in SLACK.items())} END, (q3 - q1) * {SPREADS}) AS fence FROM q),
-x AS (SELECT o.lang, o.source, o.measure, CASE WHEN o.tot >= {MIN_ROWS} THEN o.fence WHEN g.tot >= {MIN_ROWS} THEN g.fence ELSE a.fence END AS fence
-  FROM f o JOIN f g ON o.level = 0 AND g.level = 1 AND o.lang = g.lang AND o.measure = g.measure JOIN f a ON a.level = 2 AND o.measure = a.measure),
+s AS (SELECT lang, source, measure, bucket, count(*) AS n FROM b GROUP BY ALL),
+s1 AS (SELECT *, sum(n) OVER (PARTITION BY lang, measure) AS tot FROM (SELECT lang, measure, bucket, sum(n) AS n FROM s GROUP BY ALL)),
+s2 AS (SELECT *, sum(n) OVER (PARTITION BY measure) AS tot FROM (SELECT measure, bucket, sum(n) AS n FROM s GROUP BY ALL)),
+g0 AS (SELECT DISTINCT lang, source, measure FROM s),
+e AS (SELECT lang, source, measure, bucket, sum(k) AS n FROM (SELECT lang, source, measure, bucket, n * {UNIT} AS k FROM s
+  UNION ALL SELECT g0.lang, source, g0.measure, bucket, n * {PRIOR * UNIT} // tot FROM g0 JOIN s1 USING (lang, measure)
+  UNION ALL SELECT lang, source, g0.measure, bucket, n * {PRIOR * UNIT} // tot FROM g0 JOIN s2 USING (measure)) GROUP BY ALL),
+u AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, source, measure) AS tot FROM e),
+q AS (SELECT lang, source, measure, min(bucket) FILTER (upto * 4 >= tot) AS q1, min(bucket) FILTER (upto * 4 >= tot * 3) AS q3 FROM u GROUP BY ALL),
+x AS (SELECT lang, source, measure, q3 + greatest(CASE measure {" ".join(f"WHEN '{k}' THEN {v}" for k, v in SLACK.items())} END, (q3 - q1) * {SPREADS}) AS fence FROM q),
 z AS (SELECT b.r, bool_and(b.v <= x.fence) AS within FROM b JOIN x USING (lang, source, measure) GROUP BY b.r),
 verdicts AS (SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND within AS kept FROM c JOIN z USING (r))

@@ -107,6 +107,17 @@ def test_quality_fences_follow_the_data(spark):
     assert all(kept[i] for i in range(300)) and not any(kept[1000 + i] for i in range(30)) and all(kept[2000 + i] for i in range(300))
 
 
+@pytest.mark.parametrize("n", [60, 199, 200, 201])
+def test_quality_has_no_switch_at_a_size(spark, n):
+    """A source of one loud kind beside plain ones is kept as a whole from some size on, the same just below and above any round number."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(80)) for _ in range(600)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(1000 + i, t.replace(" ", "### "), "en", "code") for i, t in enumerate(texts[:n])]
+    rows += [(5000 + i, t.replace(" ", "### "), "en", "few") for i, t in enumerate(texts[:8])]
+    kept = {r.doc_id: r.kept for r in quality.verdicts(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    assert all(kept[i] for i in range(600)) and all(kept[1000 + i] for i in range(n)) and not any(kept[5000 + i] for i in range(8))
+
+
 def test_chat_round_trip():
     rng = random.Random(2)
     bits = [*chat.CONTROLS, "\\", "x", "y", " ", "<", "[", "é", "\n", ""]
