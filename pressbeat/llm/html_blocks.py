@@ -5,8 +5,9 @@ words and four measures. A bidirectional LSTM in numpy reads the blocks of the w
 everything before and after it. It is trained on a bounded sample of the given pages whose labels come from their semantic
 tags, and on the same texts laid out anew in other page plans, so that it does not hang on one plan.
 
-Null or empty html gives an empty text. Broken markup never fails: what is not a tag is text. Scripts, styles, templates and
-comments are never text. Repeated rows give repeated results; other columns of the input are not read.
+Null or empty html gives an empty text. Broken markup never fails: what is not a tag is text. Scripts, styles, templates, form controls and
+comments are never text. Pages of any length are read whole, in time and memory that grow with their length. Repeated rows give repeated results, an empty
+table gives an empty result; other columns of the input are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -23,15 +24,10 @@ from pyspark.sql import functions as F
 
 from pressbeat.llm.common import lengthy, map_arrow
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
-    r"|[^<]+|<",
-    re.S,
-)
+MARK = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*))", re.S)
+SPECIAL = re.compile(r"[>\"']")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-UNSEEN = frozenset("script style template noscript svg math iframe object head select textarea button".split())
+UNSEEN = frozenset("script style template head select textarea button".split())
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -48,69 +44,206 @@ INSIDE = frozenset("article main".split())
 
 PATH, WORDS, MEASURES, HIDDEN = 64, 32, 4, 16
 WIDTH = PATH + WORDS + MEASURES
+#: Elements that an open one of the same name ends.
+SIBLINGS = frozenset("li tr td th dt dd option".split())
+
+
+class Path:
+    """The names on a tag path, as hashed sums and flags; a path and the paths below it share what is above them."""
+
+    __slots__ = ("sums", "leaf", "inside", "outside", "below", "vector")
+    made = 0
+
+    def __init__(self, above: Path | None = None, names: tuple[str, ...] = ()):
+        Path.made += 1
+        self.sums = np.zeros(PATH, np.int32) if above is None else above.sums.copy()
+        self.leaf = above.leaf if above is not None and not names else names[-1] if names else ""
+        self.inside = (above is not None and above.inside) or any(n in INSIDE for n in names)
+        self.outside = (above is not None and above.outside) or any(n in OUTSIDE for n in names)
+        self.below: dict[tuple[str, ...], Path] = {}
+        self.vector: np.ndarray | None = None
+        for name in names:
+            self.add(self.sums, name)
+
+    @staticmethod
+    def add(sums: np.ndarray, name: str) -> None:
+        code = zlib.crc32(f"<{name}".encode("utf-8", "replace"))
+        sums[code % PATH] += 1 if code >> 20 & 1 else -1
+
+    def under(self, names: tuple[str, ...]) -> Path:
+        known = self.below.get(names)
+        if known is None:
+            known = self.below[names] = Path(self, names)
+        return known
+
+    def features(self) -> np.ndarray:
+        """The sums with the innermost name once more, as the leaf, at length 3."""
+        if self.vector is None:
+            total = self.sums.astype(float)
+            if self.leaf:
+                self.add(total, f"leaf {self.leaf}")
+            self.vector = 3.0 * total / max(np.linalg.norm(total), 1)
+        return self.vector
+
+
+#: Paths that a worker keeps from page to page.
+KEPT_PATHS = 50_000
+ROOT = Path()
+
+
+def root_path() -> Path:
+    if Path.made > KEPT_PATHS:
+        Path.made = 0
+        ROOT.below.clear()
+    return ROOT
 
 
-def parse(html: str) -> list[tuple[str, tuple[str, ...], int]]:
-    """The leaf blocks of a page in order: (text, names on the tag path, characters inside links)."""
-    blocks: list[tuple[str, tuple[str, ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+class Ends:
+    """Where tags end: at the next > outside quotes or, if quotes never close, at the next > at all.
+
+    A place from which the quotes were found not to lead to an end is not tried again, so all tags of a page cost one look at it.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in ">\"'"}
+        self.dead: set[int] = set()
+
+    def of(self, at: int) -> int:
+        """The place of the > that ends the tag whose attributes begin at ``at``, or -1."""
+        if at > self.last[">"]:
+            return -1
+        seen, here = [], at
+        while here <= self.last[">"]:
+            found = SPECIAL.search(self.html, here)
+            place = found.start()
+            if found[0] == ">":
+                return place
+            if place in self.dead or place == self.last[found[0]]:
+                break
+            seen.append(place)
+            here = self.html.find(found[0], place + 1) + 1
+        self.dead.update(seen)
+        return self.html.find(">", at)
+
+
+class Open:
+    """The open elements, with counts that tell without a search whether a name is open in the current scope."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, Path]] = []
+        self.scopes: list[dict[str, int]] = [{}]
+        self.named: dict[str, int] = {}
+        self.hidden = self.anchors = 0
+
+    @property
+    def path(self) -> Path:
+        return self.stack[-1][1] if self.stack else root_path()
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.stack.append((tag, self.path if tag in INLINE else self.path.under((tag, *names))))
+        self.hidden += tag in UNSEEN
+        self.anchors += tag == "a"
+        self.named[tag] = self.named.get(tag, 0) + 1
+        if tag in SCOPES:
+            self.scopes.append({})
+        else:
+            self.scopes[-1][tag] = self.scopes[-1].get(tag, 0) + 1
+
+    def pop(self) -> str:
+        tag, _ = self.stack.pop()
+        self.hidden -= tag in UNSEEN
+        self.anchors -= tag == "a"
+        self.named[tag] -= 1
+        if tag in SCOPES:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][tag] -= 1
+        return tag
+
+    def holds(self, tag: str) -> bool:
+        """Whether an end tag of this name closes something; only the end of a scope reaches beyond the current one."""
+        return bool(self.named.get(tag) if tag in SCOPES else self.scopes[-1].get(tag))
+
+    def close(self, tag: str) -> None:
+        while self.pop() != tag:
+            pass
+
+    def make_room(self, tag: str) -> None:
+        """What the start of a block ends: an open paragraph, or an item before it."""
+        scope = self.scopes[-1]
+        outer = len(self.scopes) > 1 and tag in SIBLINGS and tag in SCOPES and self.stack and self.scope_tag() == tag
+        if scope.get("p") or (tag in SIBLINGS and scope.get(tag)) or outer:
+            while (closed := self.pop()) != "p" and closed != tag:
+                pass
+
+    def scope_tag(self) -> str:
+        """The name of the innermost scope."""
+        at = len(self.stack) - 1 - sum(self.scopes[-1].values())
+        return self.stack[at][0]
+
+
+def parse(html: str) -> list[tuple[str, Path, int]]:
+    """The leaf blocks of a page in order: (text, tag path, characters inside links). Time and memory grow with the page, however it is nested."""
+    blocks: list[tuple[str, Path, int]] = []
     parts: list[str] = []
-    state = {"links": 0}
-    hidden = anchors = 0
+    links = 0
+    opened, ends = Open(), Ends(html)
+
+    def say(piece: str) -> None:
+        nonlocal links
+        if piece and not opened.hidden:
+            parts.append(piece)
+            if opened.anchors:
+                links += len(piece)
 
     def flush() -> None:
+        nonlocal links
         if parts:
             text = "".join(parts)
             parts.clear()
             text = " ".join((entities.unescape(text) if "&" in text else text).split())
             if text:
-                path = tuple([n for tag, names in stack if tag not in INLINE for n in (tag, *names)])
-                blocks.append((text, path, min(state["links"], len(text))))
-        state["links"] = 0
-
-    def close(at: int) -> None:
-        nonlocal hidden, anchors
-        for tag, _ in stack[at:]:
-            hidden -= tag in UNSEEN
-            anchors -= tag == "a"
-        del stack[at:]
+                blocks.append((text, opened.path, min(links, len(text))))
+        links = 0
 
     at, size = 0, len(html)
     while at < size:
-        found = TOKEN.match(html, at)
-        at = found.end()
-        tag = found["tag"] or found["tag2"]
+        mark = html.find("<", at)
+        if mark < 0:
+            mark = size
+        say(html[at:mark])
+        at = mark
+        if at == size:
+            break
+        found = MARK.match(html, at)
+        if found is None:
+            say("<")
+            at += 1
+            continue
+        tag = found["tag"]
         if tag is None:
-            piece = found[0]
-            if not hidden and not (piece.startswith(("<!", "<?"))):
-                parts.append(piece)
-                if anchors:
-                    state["links"] += len(piece)
+            at = found.end()
             continue
-        tag = tag.lower()
+        stop = ends.of(found.end())
+        if stop < 0:
+            say("<")
+            at += 1
+            continue
+        attrs, at, tag = html[found.end() : stop], stop + 1, tag.lower()
         if tag == "br":
             parts.append(" ")
             continue
         block = tag not in INLINE
-        if found["end"] or found["end2"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if block:
-                        flush()
-                    close(i)
-                    break
-                if stack[i][0] in SCOPES and tag not in SCOPES:
-                    break
+        if found["end"]:
+            if opened.holds(tag):
+                if block:
+                    flush()
+                opened.close(tag)
             continue
-        attrs = found["attrs"] if found["tag"] else found["attrs2"]
         if block:
             flush()
-            for i in range(len(stack) - 1, -1, -1):  # an open paragraph ends here; an item ends the item before it
-                if stack[i][0] == "p" or stack[i][0] == tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
-                    close(i)
-                    break
-                if stack[i][0] in SCOPES:
-                    break
+            opened.make_room(tag)
         if tag in VOID or attrs.endswith("/"):
             continue
         names: tuple[str, ...] = ()
@@ -119,20 +252,18 @@ def parse(html: str) -> list[tuple[str, tuple[str, ...], int]]:
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
             stop = end.start() if end else size
-            if tag == "title" and not hidden and stack and stack[-1][0] != "head":
+            if tag == "title" and not opened.hidden and opened.stack and opened.stack[-1][0] != "head":
                 parts.append(html[at:stop])
             at = end.end() if end else size
             continue
-        stack.append((tag, names))
-        hidden += tag in UNSEEN
-        anchors += tag == "a"
+        opened.push(tag, names)
     flush()
     return blocks
 
 
-def taught(path: tuple[str, ...]) -> bool:
+def taught(path: Path) -> bool:
     """The teacher's label: inside an article or main element and below nothing that is named as furniture."""
-    return any(n in INSIDE for n in path) and not any(n in OUTSIDE for n in path)
+    return path.inside and not path.outside
 
 
 class Slots(dict):
@@ -145,20 +276,10 @@ class Slots(dict):
         return code
 
 
-class Paths(dict):
-    """Hash codes of the names on a tag path, the innermost name twice: as any other and as the leaf."""
-
-    def __missing__(self, path: tuple[str, ...]) -> list[int]:
-        if len(self) > 50_000:
-            self.clear()
-        self[path] = codes = [zlib.crc32(f"<{n}".encode("utf-8", "replace")) for n in (*path, *(f"leaf {n}" for n in path[-1:]))]
-        return codes
-
-
-SLOTS, PATHS = Slots(), Paths()
+SLOTS = Slots()
 
 
-def vectors(pages: list[list[tuple[str, tuple[str, ...], int]]]) -> np.ndarray:
+def vectors(pages: list[list[tuple[str, Path, int]]]) -> np.ndarray:
     """One row per block of all the pages."""
     blocks = [b for page in pages for b in page]
     out = np.zeros((len(blocks), WIDTH), np.float32)
@@ -173,12 +294,7 @@ def vectors(pages: list[list[tuple[str, tuple[str, ...], int]]]) -> np.ndarray:
         total = np.bincount(row * width + code % width, sign, len(blocks) * width).reshape(len(blocks), width)
         out[:, start : start + width] = scale * total / np.maximum(np.linalg.norm(total, axis=1), 1)[:, None]
 
-    codes, counts = [], []
-    for _, path, _ in blocks:
-        own = PATHS[path]
-        codes += own
-        counts.append(len(own))
-    add(codes, counts, 0, PATH, 3.0)
+    out[:, :PATH] = [path.features() for _, path, _ in blocks]
     codes, counts = [], []
     for text, _, _ in blocks:
         words = text.lower().split(" ")
@@ -372,13 +488,16 @@ def replanned(rng: np.random.Generator, bodies: list[list[str]], asides: list[st
     return "<html><body>" + "".join(part for part, _ in pieces) + "</body></html>", labels
 
 
-def train(pages: DataFrame, sample: int = 300, plans: int = 600, epochs: int = 7, html: str = "html") -> Labeller:
-    """A labeller fitted on at most ``sample`` pages, taken by the order of their hashes, and ``plans`` pages laid out anew.
+def train(pages: DataFrame, sample: int = 300, plans: int = 600, epochs: int = 7, html: str = "html", longest: int = 200_000) -> Labeller:
+    """A labeller fitted on at most ``sample`` different pages of up to ``longest`` characters, taken by the order of their hashes, and ``plans`` pages laid out anew.
 
-    The bound is what the classifier needs, not what is labelled: every page of the table is labelled later.
+    The bounds are what the classifier needs, not what is labelled: every page of the table is labelled later, whatever its length.
     """
-    drawn = pages.select(F.col(html).cast("string").alias("html")).filter("html IS NOT NULL AND length(html) BETWEEN 1 AND 200000")
-    rows = drawn.orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    drawn = pages.select(F.col(html).cast("string").alias("html")).filter(F.length("html").between(1, longest))
+    marked = drawn.select(F.xxhash64("html").alias("mark"), "html")
+    marks = [r.mark for r in marked.select("mark").distinct().orderBy("mark").limit(sample).collect()]
+    chosen = marked.filter(F.col("mark").isin(marks)).groupBy("mark").agg(F.min("html").alias("html"))
+    rows = sorted(chosen.collect()) if marks else []  # at most ``sample`` pages leave the tasks, copies of one reduced before
     parsed, labels, bodies, asides = [], [], [], []
     for row in rows:
         blocks = parse(row.html)
