@@ -1,13 +1,14 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
 Base entities (email, ip, card, phone) are leftmost non-overlapping matches. They are the seeds. Each occurrence of a seed, or of
-another token with a digit or an at sign, has lexical patterns: the two words before it, and the word on either side. Patterns and
+another token with a digit or an at sign, has lexical patterns: the two words before it, and the word on either side, whole words of any length.
+Groups of digits with single spaces between them are one token, so identifiers written in groups are found whole. Patterns and
 instances form a graph. In each round a pattern's confidence in a kind is the weight of its instances of that kind over all its
 instances, plus one; an unlabelled instance that has the looks of a kind takes the kind from its confident patterns, and counts as
 evidence in the next round. Instances above the limit are added wherever they occur outside base spans. Counts are over distinct
 instances, so copies of a document are no evidence.
 
-Positions are code points, the end exclusive. A null text is empty. Rows are told apart by a row number, so repeated rows and
+Positions are code points, the end exclusive. Time grows with the length of a text and the number of its tokens, not with their product. A null text is empty. Rows are told apart by a row number, so repeated rows and
 repeated or null ids are handled each for itself. An empty table gives an empty result. Other columns are kept where the whole
 row is returned, whatever their names.
 """
@@ -18,8 +19,9 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from pressbeat.llm.common import free_name, let, materialize, numbered, text_of
+from pressbeat.llm.common import free_name, let, materialize, numbered, text_of, words_of
 
 KINDS = ("email", "ip", "card", "phone")
 GAP = r"\x20\x09-\x0D"
@@ -32,17 +34,44 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-TOKEN = rf"(?<![^{GAP}])[^{GAP}0-9@]*+[0-9@][^{GAP}]*+"
+#: Groups of two to five digits, a space between them; or any word with a digit or an at sign.
+TOKEN = rf"(?<![^{GAP}])(?:\(?[0-9]{{2,5}}+\)?(?: [0-9]{{2,5}}+){{1,4}}+(?:-[0-9]{{2,5}}+){{0,2}}+(?![^{GAP}.,;:!?)])|[^{GAP}0-9@]*+[0-9@][^{GAP}]*+)"
 #: What an added instance of a kind must look like.
 LOOKS = {
     "email": r"^[^@]+@[^@]+$|^[^@]+(?:\(at\)|\[at\])[^@]+$",
     "ip": r"^[0-9]{1,3}(?:[.,:-][0-9]{1,3}){3}$",
-    "card": r"^(?:[0-9][.-]?){12,19}$",
-    "phone": r"^[(+]?(?:[0-9][().-]{0,2}){7,15}$",
+    "card": r"^(?:[0-9][ .-]?){12,19}$",
+    "phone": r"^[(+]?(?:[0-9][ ().-]{0,2}){7,15}$",
 }
-NEAR = 40
 ROUNDS, MIN_SEEDS, MIN_PATTERN, MIN_INSTANCE = 3, 3, 0.7, 0.8
-SPAN = "array<struct<kind: string, start: int, end: int, value: string>>"
+SPAN = "array<struct<kind: string, start: int, end: int, value: string, before: string, after: string>>"
+BLOCK = 128
+CHUNK = 1024
+
+
+def scanned(n: Column, first: Column, step) -> Column:
+    """The items of ``step(state, i)``, a struct of the next state and an item, for i from 0 to n - 1.
+
+    The list grows in blocks, since each append copies what it appends to.
+    """
+
+    def numbers(low: Column, high: Column) -> Column:
+        return F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    def block(state: Column, b: Column) -> Column:
+        none = F.struct(state.alias("state"), F.slice(F.array(step(state, F.lit(0))["item"]), 1, 0).alias("items"))
+
+        def add(acc: Column, i: Column) -> Column:
+            return let(step(acc["state"], i), lambda x: F.struct(x["state"].alias("state"), F.concat(acc["items"], F.array(x["item"])).alias("items")))
+
+        return F.aggregate(numbers(b * BLOCK, F.least(n, (b + 1) * BLOCK) - 1), none, add)
+
+    empty = F.struct(first.alias("state"), F.slice(F.array(F.array(step(first, F.lit(0))["item"])), 1, 0).alias("blocks"))
+
+    def join(acc: Column, b: Column) -> Column:
+        return let(block(acc["state"], b), lambda x: F.struct(x["state"].alias("state"), F.concat(acc["blocks"], F.array(x["items"])).alias("blocks")))
+
+    return F.aggregate(numbers(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), empty, join, lambda acc: F.flatten(acc["blocks"]))
 
 
 def luhn(value: Column) -> Column:
@@ -68,19 +97,33 @@ def fits(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def last_words(text: Column, n: int) -> Column:
+    """The last ``n`` words of a text, a space between them; one that reaches the end of the text is a word too."""
+    return let(words_of(text), lambda w: F.array_join(F.slice(w, F.greatest(F.size(w) - n + 1, F.lit(1)), n), " "))
+
+
+def first_word(text: Column) -> Column:
+    return F.coalesce(F.get(words_of(text), F.lit(0)), F.lit(""))
+
+
 def found(text: Column, pattern: str, kind: str) -> Column:
-    """The matches of a pattern with their places, from the matches and the pieces between them."""
+    """The matches of a pattern with their places and the words around them, from the matches and the pieces between them."""
 
     def placed(matches, pieces):
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+        def at(parts, i):
+            return F.coalesce(F.get(parts, i), F.lit(""))
 
-        def step(acc, i):
-            begin = acc["at"] + F.length(F.get(pieces, i))
+        def step(state, i):
+            begin = state + F.length(F.get(pieces, i))
             end = begin + F.length(F.get(matches, i))
-            span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), F.get(matches, i).alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+            # enough of the text around a match for two words before it and one after it, unless two matches are nearer
+            before = F.concat(at(matches, i - 2), at(pieces, i - 1), at(matches, i - 1), F.get(pieces, i))
+            after = F.concat(at(pieces, i + 1), at(matches, i + 1))
+            words = F.struct(last_words(before, 2).alias("before"), first_word(after).alias("after"))
+            span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), F.get(matches, i).alias("value"), words["before"].alias("before"), words["after"].alias("after"))
+            return F.struct(end.alias("state"), span.alias("item"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step, lambda acc: acc["out"])
+        return scanned(F.size(matches), F.lit(0), step)
 
     def located(matches):
         none = F.array().cast(SPAN)
@@ -103,33 +146,44 @@ def base_spans(text: Column) -> Column:
     return F.concat(*parts)
 
 
-def other_tokens(text: Column, base: Column) -> Column:
-    """Tokens with a digit or an at sign outside base spans, without the signs around them."""
+def other_tokens(text: Column) -> Column:
+    """Tokens with a digit or an at sign, without the signs around them."""
 
     def bare(s):
-        lead = F.length(s["value"]) - F.length(F.regexp_replace(s["value"], r"^[^\p{L}\p{N}+(]++", ""))
-        core = F.regexp_replace(F.regexp_replace(s["value"], r"^[^\p{L}\p{N}+(]++", ""), r"(?<=[\p{L}\p{N})])[^\p{L}\p{N})]++$", "")
-        return F.struct(F.lit("").alias("kind"), (s["start"] + lead).alias("start"), (s["start"] + lead + F.length(core)).alias("end"), core.alias("value"))
+        lead = F.regexp_extract(s["value"], r"^[^\p{L}\p{N}+(]*+", 0)
+        rest = F.regexp_replace(s["value"], r"^[^\p{L}\p{N}+(]++", "")
+        tail = F.regexp_extract(rest, r"(?<=[\p{L}\p{N})])[^\p{L}\p{N})]++$", 0)
+        core = F.regexp_replace(rest, r"(?<=[\p{L}\p{N})])[^\p{L}\p{N})]++$", "")
+        start = s["start"] + F.length(lead)
+        before = F.when(lead == "", s["before"]).otherwise(last_words(F.concat(s["before"], F.lit(" "), lead), 2))
+        after = F.when(tail == "", s["after"]).otherwise(tail)
+        return F.struct(F.lit("").alias("kind"), start.alias("start"), (start + F.length(core)).alias("end"), core.alias("value"), before.alias("before"), after.alias("after"))
 
-    cores = F.transform(found(text, TOKEN, ""), bare)
-    apart = F.filter(cores, lambda c: (F.length(c["value"]) > 3) & ~F.exists(base, lambda b: (c["start"] < b["end"]) & (c["end"] > b["start"])))
-    return F.when(text.rlike("[0-9@]"), apart).otherwise(F.array().cast(SPAN))
+    cores = F.filter(F.transform(found(text, TOKEN, ""), bare), lambda c: F.length(c["value"]) > 3)
+    return F.when(text.rlike("[0-9@]"), cores).otherwise(F.array().cast(SPAN))
 
 
-def contexts(text: Column, spans: Column) -> Column:
+def contexts(spans: Column) -> Column:
     """Each span with its two lexical patterns; a side without a word counts as an edge."""
 
     def patterns(s):
-        before = F.lower(F.call_function("substring", text, F.greatest(s["start"] - NEAR + 1, F.lit(1)), F.least(s["start"], F.lit(NEAR))))
-        after = F.lower(F.call_function("substring", text, s["end"] + 1, F.lit(NEAR)))
-        near, far = rf"([^{GAP}]*)[{GAP}]*$", rf"([^{GAP}]*)[{GAP}]+[^{GAP}]+[{GAP}]*$"
-        left, second, right = F.regexp_extract(before, near, 1), F.regexp_extract(before, far, 1), F.regexp_extract(after, rf"^[^{GAP}]*?[{GAP}]*([^{GAP}]*)", 1)
-        both = F.array(F.concat(F.lit("before "), second, F.lit(" "), left), F.concat(F.lit("around "), left, F.lit(" _ "), right))
+        before, after = F.lower(s["before"]), F.lower(s["after"])
+        two = F.when(F.contains(before, F.lit(" ")), before).otherwise(F.concat(F.lit(" "), before))
+        both = F.array(F.concat(F.lit("before "), two), F.concat(F.lit("around "), F.substring_index(before, " ", -1), F.lit(" _ "), after))
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lower(s["value"]).alias("value"), both.alias("patterns"))
 
     return F.transform(spans, patterns)
 
 
+def apart(occurrences: DataFrame) -> DataFrame:
+    """The occurrences without the tokens that overlap a base span of their row; the spans of one text meet in one window."""
+    upto = Window.partitionBy("row").orderBy("start", F.desc("kind"), "end").rowsBetween(Window.unboundedPreceding, 0)
+    on = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind"), "end").rowsBetween(Window.unboundedPreceding, 0)
+    base = F.col("kind") != ""
+    seen = occurrences.withColumns({"reach": F.max(F.when(base, F.col("end"))).over(upto), "next": F.min(F.when(base, F.col("start"))).over(on)})
+    return seen.filter(base | (F.coalesce(F.col("reach") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("next") >= F.col("end"), F.lit(True)))).drop("reach", "next")
+
+
 def learned(occurrences: DataFrame) -> DataFrame:
     """(value, kind): unlabelled instances that confident patterns name, after ROUNDS rounds over the pattern-instance graph."""
     edges = materialize(occurrences.select("value", F.explode("patterns").alias("pattern"), "kind").groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "edges")
@@ -154,12 +208,12 @@ def annotated(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]
     row, base, more = (free_name(docs, n) for n in ("row_of_spans", "base_spans", "added_spans"))
     own = text_of(text)
     first = docs.withColumn(base, base_spans(own))
-    first = first.withColumn(more, F.concat(contexts(own, F.col(base)), contexts(own, other_tokens(own, F.col(base)))))
+    first = first.withColumn(more, F.concat(contexts(F.col(base)), contexts(other_tokens(own))))
     held = numbered(first, row, "spans")
-    occurrences = held.select(F.col(row).alias("row"), F.explode(more).alias("o")).select("row", "o.*")
+    occurrences = materialize(apart(held.select(F.col(row).alias("row"), F.explode(more).alias("o")).select("row", "o.*")), "occurrences")
     names = learned(occurrences).withColumnRenamed("kind", "found")
     hits = occurrences.filter("kind = ''").select("row", "value", "start", "end").join(names, "value")
-    spans = hits.groupBy("row").agg(F.collect_list(F.struct(F.col("found").alias("kind"), "start", "end", "value")).alias("added"))
+    spans = hits.groupBy("row").agg(F.collect_list(F.struct(F.col("found").alias("kind"), "start", "end", "value", F.lit("").alias("before"), F.lit("").alias("after"))).alias("added"))
     spans = materialize(spans, "added").select(F.col("row").alias("row_of_added"), "added")
     joined = held.join(spans, held[row] == spans["row_of_added"], "left")
     added = F.coalesce(spans["added"], F.array().cast(SPAN)).alias(more)
@@ -188,15 +242,27 @@ def redacted(docs: DataFrame) -> DataFrame:
     spans = F.sort_array(F.transform(F.concat(base, more), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     own = F.col("text")
 
+    def cut(chunks, low, high):
+        """The code points from ``low`` to ``high``, from the chunks they lie in."""
+
+        def part(c):
+            begin = F.greatest(low - c * CHUNK, F.lit(0))
+            return F.call_function("substring", F.get(chunks, c), begin + 1, F.least(high - c * CHUNK, F.lit(CHUNK)) - begin)
+
+        first, last = F.floor(low / CHUNK).cast("int"), F.floor((high - 1) / CHUNK).cast("int")
+        return F.when(high > low, F.array_join(F.transform(F.sequence(first, F.greatest(first, last)), part), "")).otherwise(F.lit(""))
+
     def rebuilt(ordered):
-        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        def over(chunks):
+            def step(state, i):
+                s = F.get(ordered, i)
+                mark = F.when(s["start"] >= state, F.concat(cut(chunks, state, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(F.lit(""))
+                return F.struct(F.greatest(state, s["end"]).alias("state"), mark.alias("item"))
 
-        def step(acc, s):
-            between = F.call_function("substring", own, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-            mark = F.when(s["start"] >= acc["at"], F.concat(between, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(F.lit(""))
-            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], mark).alias("out"))
+            rest = cut(chunks, F.array_max(F.transform(ordered, lambda s: s["end"])), F.length(own))
+            return F.concat(F.array_join(scanned(F.size(ordered), F.lit(0), step), ""), rest)
 
-        return F.aggregate(ordered, start, step, lambda acc: F.concat(acc["out"], F.call_function("substring", own, acc["at"] + 1, F.length(own))))
+        return let(F.regexp_extract_all(own, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), over)
 
     text = F.when(F.size(F.concat(base, more)) == 0, own).otherwise(let(spans, rebuilt))
     changed = rows.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns))

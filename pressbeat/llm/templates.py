@@ -1,19 +1,22 @@
 """Benchmark decontamination by templates: passages that differ from a benchmark item in numbers, names or units are found too.
 
-Numbers, units after a number and capitalised names inside a sentence become typed placeholders; the rest is lower-cased and cut
-into runs of letters and digits. Windows of WINDOW template tokens are hash-joined: first every STRIDE-th window of each document
-against the set of all item windows, which leaves the documents that can match; then all windows of those against the items.
-Matches on one diagonal that follow each other make a run. A run of MIN_RUN tokens (or the whole item, if it is shorter) whose
-placeholders stand for one value each is a leak. A run of WINDOW + STRIDE - 1 tokens cannot slip between the strides, and no
-shorter one counts, so the first join loses nothing.
+Numbers, units after a number and capitalised names become typed placeholders; the rest is lower-cased and cut into runs of letters
+and digits. A capitalised word inside a sentence is a name. One that begins a text, a sentence or a line may be a name or not, so
+every text is read in two forms, in one of which such words are plain and in the other names; runs lie within one form. Windows of WINDOW template
+tokens are hash-joined: first every STRIDE-th window of each document against the set of all item windows, which leaves the documents
+that can match; then all windows of those against the items. Matches on one diagonal that follow each other make a run. A run of MIN_RUN
+tokens (or the whole item, if it is shorter) whose placeholders stand for one value each is a leak. A run of WINDOW + STRIDE - 1
+tokens cannot slip between the strides, and no shorter one counts, so the first join loses nothing.
 
 A window with fewer than LITERALS words that are not placeholders counts where its values are the same, or where it lies in a
 longer stretch of one template, from its first token on or up to its last, that holds LITERALS such words. Runs over such windows
-add the pairs that the other windows alone do not give (the SQL states those alone); without such windows in the items nothing of
-this is run. A stretch is at most as long as the longest item, so none is missed.
+add the pairs that the other windows alone do not give; without such windows in the items nothing of this is run. A stretch is at
+most as long as the longest item, so none is missed. Items of SHORTEST to WINDOW + STRIDE - 2 tokens are met whole: by their template if they hold
+LITERALS plain words, else by their values. Items of one or two tokens are not passages and match nothing.
 
-Items of fewer than WINDOW + STRIDE - 1 tokens match nothing. A null text or item is empty and matches nothing. A document without an id cannot be named: it is never reported and
-never removed. Rows of one id are one document for the report; repeated rows change nothing. Other columns are not read.
+A null text or item is empty and matches nothing. A text of any length is read whole. A document without an id cannot be named: it is never
+reported and never removed. Rows of one id are one document for the report; repeated rows change nothing. An empty table gives an empty
+report. Other columns are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -24,30 +27,54 @@ from pyspark.sql.window import Window
 
 from pressbeat.llm.common import let, materialize, text_of, without
 
-WINDOW, STRIDE, MIN_RUN, LITERALS = 6, 3, 10, 3
-NUMBER, UNIT, NAME, CLOSE = "\ue001", "\ue002", "\ue003", "\ue000"  # private-use characters, removed from texts beforehand
+WINDOW, STRIDE, MIN_RUN, LITERALS, SHORTEST = 6, 3, 10, 3, 3
+LONG = WINDOW + STRIDE - 1
+# private-use characters, removed from texts beforehand; MAYBE is a name or the plain word that begins a sentence
+NUMBER, UNIT, NAME, MAYBE, CLOSE = "\ue001", "\ue002", "\ue003", "\ue004", "\ue000"
 UNITS = (
     "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mile|miles|ft|feet|inch|inches|meter|meters|metre|metres|liter|liters|litre|litres|ml|"
     "s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|month|months|year|years|"
     "dollar|dollars|euro|euros|pound|pounds|cent|cents|percent|degrees|mph|kmh|gb|mb|kb"
 )
 # the same patterns twice: possessive for Java, whose plain group repeats recurse, and plain for the SQL statement
-J_NAME = r"([\p{Ll}\p{N},;]) (\p{Lu}\p{L}*+(?: \p{Lu}\p{L}*+)*+)"
-S_NAME = r"([\p{Ll}\p{N},;]) (\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+J_CAPITALS = r"(^|[^\p{L}\p{N}])(\p{Lu}\p{L}*+(?: \p{Lu}\p{L}*+)*+)"
+S_CAPITALS = r"(^|[^\p{L}\p{N}])(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+P_NAME = f"([\\p{{Ll}}\\p{{N}},;]) {MAYBE}"
 J_NUMBER = r"([0-9]++(?:[.,][0-9]++)*+)"
 S_NUMBER = r"([0-9]+(?:[.,][0-9]+)*)"
 P_UNIT = f"({NUMBER}[^{CLOSE}]*{CLOSE}) +({UNITS})([^\\p{{L}}\\p{{N}}]|$)"
-P_TOKEN = f"[{NUMBER}-{NAME}][^{CLOSE}]*{CLOSE}|[\\p{{L}}\\p{{N}}]+"
+P_TOKEN = f"[{NUMBER}-{MAYBE}][^{CLOSE}]*{CLOSE}|[\\p{{L}}\\p{{N}}]+"
 
 
 def tokens(text: Column) -> Column:
     """The tokens of a text; a placeholder carries its value between its sign and CLOSE."""
-    clean = F.translate(text, CLOSE + NUMBER + UNIT + NAME, "")
-    named = F.lower(F.regexp_replace(clean, J_NAME, f"$1 {NAME}$2{CLOSE}"))
+    clean = F.translate(text, CLOSE + NUMBER + UNIT + NAME + MAYBE, "")
+    marked = F.regexp_replace(clean, J_CAPITALS, f"$1{MAYBE}$2{CLOSE}")
+    named = F.lower(F.regexp_replace(marked, P_NAME, f"$1 {NAME}"))
     numbered = F.when(named.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(named, J_NUMBER, f" {NUMBER}$1{CLOSE} "), P_UNIT, f"$1 {UNIT}$2{CLOSE}$3")).otherwise(named)
     return F.regexp_extract_all(numbered, F.lit(P_TOKEN), F.lit(0))
 
 
+def is_maybe(token: Column) -> Column:
+    return F.substring(token, 1, 1) == MAYBE
+
+
+def as_plain(words: Column) -> Column:
+    """The form in which words that begin a sentence are plain."""
+    return F.flatten(F.transform(words, lambda t: F.when(is_maybe(t), F.split(F.substring(t, F.lit(2), F.length(t) - 2), " ")).otherwise(F.array(t))))
+
+
+def as_names(words: Column) -> Column:
+    """The form in which they are names."""
+    return F.transform(words, lambda t: F.when(is_maybe(t), F.concat(F.lit(NAME), F.substring(t, F.lit(2), F.length(t)))).otherwise(t))
+
+
+def in_forms(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys``, form and words: two rows of each text."""
+    forms = let(tokens(F.col(text)), lambda w: F.array(F.struct(F.lit("plain").alias("form"), as_plain(w).alias("words")), F.struct(F.lit("names").alias("form"), as_names(w).alias("words"))))
+    return rows.select(*keys, F.explode(forms).alias("f")).select(*keys, "f.*")
+
+
 def template(token: Column) -> Column:
     return F.when(F.substring(token, -1, 1) == CLOSE, F.substring(token, 1, 1)).otherwise(token)
 
@@ -111,7 +138,7 @@ def sparse_rows(rows: DataFrame, keys: list[str], longest: int) -> DataFrame:
 def reported(met: DataFrame) -> DataFrame:
     """The leaks that the matched windows make: place, tokens, item_place and item_words of a document version and an item."""
     pairs = F.zip_with("item_words", "tokens", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
-    line = ["doc_id", "version", "item_id", "item_tokens", "diagonal"]
+    line = ["doc_id", "version", "form", "item_id", "item_tokens", "diagonal"]
     met = met.select("*", (F.col("place") - F.col("item_place")).alias("diagonal"), F.filter(pairs, lambda p: F.substring(p["item"], -1, 1) == CLOSE).alias("slots"))
     # a line is no longer than its item; repeated rows of a document share their ranks
     rank = F.dense_rank().over(Window.partitionBy(*line).orderBy("item_place"))
@@ -130,11 +157,65 @@ def reported(met: DataFrame) -> DataFrame:
     )
 
 
+def short_codes(words: Column, sizes: list[int]) -> Column:
+    """place, size and gram of all windows of ``sizes`` tokens: by their template if they hold LITERALS plain words, else by their values."""
+
+    def at(size: int) -> Column:
+        last = F.size(words) - size + 1
+        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+
+        def one(i: Column) -> Column:
+            cut = F.slice(words, i, size)
+            rich = F.size(F.filter(cut, is_word)) >= LITERALS
+            return F.struct(i.alias("place"), F.lit(size).alias("size"), F.when(rich, F.concat(F.lit("S "), F.array_join(F.transform(cut, template), " "))).otherwise(F.concat(F.lit("W "), F.array_join(cut, " "))).alias("gram"))
+
+        return F.transform(starts, one)
+
+    return F.concat(*(at(size) for size in sizes))
+
+
+def consistent(pairs: Column) -> Column:
+    """Whether each placeholder value of the item stands for one value."""
+    return F.size(F.array_distinct(F.transform(pairs, lambda s: s["item"]))) == F.size(pairs)
+
+
+def short_leaks(slim: DataFrame, items: DataFrame) -> DataFrame:
+    """The leaks of items that are met whole."""
+    sizes = sorted(r[0] for r in items.select(F.size("words")).distinct().collect())  # at most WINDOW + STRIDE - 1 - SHORTEST sizes
+    own = items.select("item_id", "form", F.col("words").alias("item_words"), F.explode(short_codes(F.col("words"), sizes)).alias("w"))
+    own = materialize(own.select("item_id", "form", "item_words", "w.size", "w.gram").filter(F.size("item_words") == F.col("size")), "short")
+    known = materialize(own.select(F.xxhash64("gram").alias("code")).distinct(), "codes")
+
+    def codes(words):
+        return F.transform(short_codes(words, sizes), lambda s: F.xxhash64(s["gram"]))
+
+    seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), lambda w: F.concat(let(as_plain(w), codes), let(as_names(w), codes)))).alias("code"))
+    able = materialize(seen.join(known, "code", "left_semi").select("doc_id").distinct(), "able")
+    rows = in_forms(slim.join(able, "doc_id", "left_semi"), ["doc_id"])
+    met = rows.select("doc_id", "form", "words", F.explode(let(F.col("words"), lambda w: short_codes(w, sizes))).alias("w"))
+    met = met.select("doc_id", "form", "w.gram", F.expr("slice(words, w.place, w.size)").alias("tokens")).join(own, ["gram", "form"])
+    pairs = F.zip_with("item_words", "tokens", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    slots = F.array_distinct(F.filter(pairs, lambda p: F.substring(p["item"], -1, 1) == CLOSE))
+    fit = met.select("doc_id", "item_id", F.size("item_words").cast("bigint").alias("n"), slots.alias("slots")).filter(consistent(F.col("slots")))
+    changed = F.exists("slots", lambda s: s["item"] != s["doc"])
+    return fit.groupBy("doc_id", "item_id").agg(F.max("n").alias("run_tokens"), F.max("n").alias("item_tokens"), F.max(F.size("slots").cast("bigint")).alias("n_slots"), F.bool_or(changed).alias("reworded"))
+
+
+def merged(parts: list[DataFrame]) -> DataFrame:
+    """One row per (doc_id, item_id) of several reports."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("run_tokens", "item_tokens", "n_slots")), F.bool_or("reworded").alias("reworded"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per (doc_id, item_id) that leaks: run_tokens, item_tokens, n_slots, reworded (some slot has another value)."""
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), tokens(text_of("text")).alias("words"))
-    items = items.filter(F.size("words") >= WINDOW + STRIDE - 1).withColumn("item_tokens", F.size("words"))
-    grams_of_items = windows(items, ["item_id", "item_tokens"])
+    every = in_forms(benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text_of("text").alias("text")), ["item_id"]).withColumn("item_tokens", F.size("words"))
+    every = materialize(every.filter(F.col("item_tokens") >= SHORTEST), "items")
+    items = every.filter(F.col("item_tokens") >= LONG)
+    item_keys, doc_keys = ["item_id", "form", "item_tokens"], ["doc_id", "version", "form"]
+    grams_of_items = windows(items, item_keys)
     literal = F.filter("tokens", is_word)
     grams = materialize(grams_of_items.filter(F.size(literal) >= LITERALS), "grams").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
     slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).filter(F.col("doc_id").isNotNull())
@@ -146,29 +227,39 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         forms = F.transform(words, template)
         return let(forms, lambda w: F.transform(window_starts(w, STRIDE), lambda i: F.xxhash64(F.slice(w, i, WINDOW))))
 
-    seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), codes)).alias("code"))
+    def both(words):
+        return F.when(F.exists(words, is_maybe), F.concat(codes(as_plain(words)), codes(as_names(words)))).otherwise(codes(words))
+
+    seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), both)).alias("code"))
     able = materialize(seen.join(known, "code", "left_semi").select("doc_id").distinct(), "able")
 
-    rows = slim.join(able, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("words"))
-    met = windows(rows, ["doc_id", "version"]).join(grams, "gram")
-    found = reported(met)
-
-    poor = grams_of_items.filter(F.size(literal) < LITERALS)
-    if poor.isEmpty():
-        return found
-    found = materialize(found, "found")
-    longest = items.agg(F.max("item_tokens")).first()[0]
-    sparse = materialize(sparse_rows(items, ["item_id", "item_tokens"], longest), "sparse").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
-    known = materialize(sparse.select(F.xxhash64("gram").alias("code")).distinct(), "codes")
-    codes_of = let(tokens(F.col("text")), lambda w: F.transform(sparse_windows(w, F.lit(longest)), lambda s: F.xxhash64(s["gram"])))
-    able = materialize(slim.select("doc_id", F.explode(codes_of).alias("code")).join(known, "code", "left_semi").select("doc_id").distinct(), "able")
-    rows = slim.join(able, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("version"), tokens(F.col("text")).alias("words"))
-    wide = sparse_rows(rows, ["doc_id", "version"], longest).join(sparse, "gram")
-    wide = wide.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - WINDOW)).alias("k"))
-    cut = ["doc_id", "version", "item_id", "item_tokens", (F.col("place") + F.col("k")).alias("place"), (F.col("item_place") + F.col("k")).alias("item_place")]
-    wide = wide.select(*cut, *(F.slice(c, F.col("k") + 1, WINDOW).alias(c) for c in ("tokens", "item_words")))
-    both = windows(rows, ["doc_id", "version"]).join(grams, "gram").select(wide.columns).unionByName(wide)
-    return found.unionByName(reported(both).join(found, ["doc_id", "item_id"], "left_anti"))
+    def forms_of(ids: DataFrame) -> DataFrame:
+        return in_forms(slim.join(ids, "doc_id", "left_semi").withColumn("version", F.xxhash64("text")), ["doc_id", "version"])
+
+    found = [reported(windows(forms_of(able), doc_keys).join(grams, ["gram", "form"]))]
+
+    if not grams_of_items.filter(F.size(literal) < LITERALS).isEmpty():
+        found = [materialize(found[0], "found")]
+        longest = items.agg(F.max("item_tokens")).first()[0]
+        sparse = materialize(sparse_rows(items, item_keys, longest), "sparse").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
+        known = materialize(sparse.select(F.xxhash64("gram").alias("code")).distinct(), "codes")
+
+        def poor_codes(words):
+            return let(words, lambda w: F.transform(sparse_windows(w, F.lit(longest)), lambda s: F.xxhash64(s["gram"])))
+
+        codes_of = let(tokens(F.col("text")), lambda w: F.concat(poor_codes(as_plain(w)), poor_codes(as_names(w))))
+        able = materialize(slim.select("doc_id", F.explode(codes_of).alias("code")).join(known, "code", "left_semi").select("doc_id").distinct(), "able")
+        rows = forms_of(able)
+        wide = sparse_rows(rows, doc_keys, longest).join(sparse, ["gram", "form"])
+        wide = wide.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - WINDOW)).alias("k"))
+        cut = [*doc_keys, "item_id", "item_tokens", (F.col("place") + F.col("k")).alias("place"), (F.col("item_place") + F.col("k")).alias("item_place")]
+        wide = wide.select(*cut, *(F.slice(c, F.col("k") + 1, WINDOW).alias(c) for c in ("tokens", "item_words")))
+        whole = windows(rows, doc_keys).join(grams, ["gram", "form"]).select(wide.columns).unionByName(wide)
+        found.append(reported(whole))
+    short = every.filter(F.col("item_tokens") < LONG)
+    if not short.isEmpty():
+        found.append(short_leaks(slim, short))
+    return merged(found) if len(found) > 1 else found[0]
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -176,31 +267,52 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return without(docs, leaks(docs, benchmark).select("doc_id"))
 
 
-def _words(source: str, keys: str) -> str:
-    clean = f"translate(coalesce(text, ''), '{CLOSE}{NUMBER}{UNIT}{NAME}', '')"
-    named = f"lower(regexp_replace({clean}, '{S_NAME}', '\\1 {NAME}\\2{CLOSE}', 'g'))"
+def _forms(source: str, keys: str) -> str:
+    clean = f"translate(coalesce(text, ''), '{CLOSE}{NUMBER}{UNIT}{NAME}{MAYBE}', '')"
+    marked = f"regexp_replace({clean}, '{S_CAPITALS}', '\\1{MAYBE}\\2{CLOSE}', 'g')"
+    named = f"lower(regexp_replace({marked}, '{P_NAME}', '\\1 {NAME}', 'g'))"
     numbered = f"regexp_replace({named}, '{S_NUMBER}', ' {NUMBER}\\1{CLOSE} ', 'g')"
     units = f"regexp_replace({numbered}, '{P_UNIT}', '\\1 {UNIT}\\2{CLOSE}\\3', 'g')"
-    return f"SELECT {keys}, regexp_extract_all({units}, '{P_TOKEN}') AS words FROM {source}"
+    own = f"(SELECT {keys}, regexp_extract_all({units}, '{P_TOKEN}') AS raw FROM {source})"
+    plain = f"flatten(list_transform(raw, lambda t: CASE WHEN t[1] = '{MAYBE}' THEN string_split(t[2:-2], ' ') ELSE [t] END))"
+    names = f"list_transform(raw, lambda t: CASE WHEN t[1] = '{MAYBE}' THEN '{NAME}' || t[2:] ELSE t END)"
+    return f"SELECT *, 'plain' AS form, {plain} AS words FROM {own} UNION ALL SELECT *, 'names', {names} FROM {own}"
 
 
-_WINDOWS = f"""SELECT * EXCLUDE (words), list_slice(words, place, place + {WINDOW - 1}) AS tokens,
-  list_aggregate(list_transform(list_slice(words, place, place + {WINDOW - 1}), lambda t: CASE WHEN t[-1] = '{CLOSE}' THEN t[1] ELSE t END), 'string_agg', ' ') AS gram
-  FROM (SELECT *, unnest(range(1, len(words) - {WINDOW} + 2)) AS place FROM {{source}})"""
+_TOKENS = f"""SELECT * EXCLUDE (raw, words), words[place] AS word, words[place][-1] <> '{CLOSE}' AS plain,
+  CASE WHEN words[place][-1] = '{CLOSE}' THEN words[place][1] ELSE words[place] END AS kind FROM (SELECT *, unnest(range(1, len(words) + 1)) AS place FROM {{source}})"""
+#: Tokens of one kind that follow each other on a diagonal are a stretch. A window of it counts if it holds enough plain words, has the same values,
+#: or has enough plain words from its first token to the end of the stretch or from the beginning of the stretch to its last token.
 LEAK_SQL = f"""
-items AS ({_words("benchmark", "item_id")}),
-grams AS ({_WINDOWS.format(source=f"(SELECT *, len(words) AS item_tokens FROM items WHERE len(words) >= {WINDOW + STRIDE - 1})")}),
-texts AS ({_words("{docs}", "doc_id, coalesce(text, '') AS version")} WHERE doc_id IS NOT NULL),
-places AS ({_WINDOWS.format(source="(SELECT * FROM texts)")}),
-met AS (SELECT p.doc_id, p.version, g.item_id, g.item_tokens, p.place - g.place AS diagonal, g.place AS item_place, g.tokens AS item_words, p.tokens AS words
-  FROM places p JOIN grams g USING (gram) WHERE len(list_filter(g.tokens, lambda t: t[-1] <> '{CLOSE}')) >= {LITERALS}),
-ranked AS (SELECT *, item_place - dense_rank() OVER (PARTITION BY doc_id, version, item_id, diagonal ORDER BY item_place) AS run FROM met),
-runs AS (SELECT doc_id, version, item_id, item_tokens, diagonal, run, max(item_place) - min(item_place) + {WINDOW} AS run_tokens FROM ranked GROUP BY ALL),
-slots AS (SELECT DISTINCT doc_id, version, item_id, diagonal, run, item_words[k] AS a, words[k] AS b FROM (SELECT *, unnest(range(1, {WINDOW + 1})) AS k FROM ranked)
-  WHERE item_words[k][-1] = '{CLOSE}'),
-filled AS (SELECT doc_id, version, item_id, diagonal, run, count(*) AS n_pairs, count(DISTINCT a) AS n_slots, bool_or(a <> b) AS reworded FROM slots GROUP BY ALL),
-leaks AS (SELECT doc_id, item_id, max(run_tokens) AS run_tokens, max(item_tokens) AS item_tokens, max(coalesce(n_slots, 0)) AS n_slots,
-  bool_or(coalesce(reworded, false)) AS reworded FROM runs LEFT JOIN filled USING (doc_id, version, item_id, diagonal, run)
-  WHERE run_tokens >= least({MIN_RUN}, item_tokens) AND coalesce(n_pairs = n_slots, true) GROUP BY doc_id, item_id)
+item_words AS ({_forms("benchmark", "item_id")}),
+item_tokens AS ({_TOKENS.format(source="(SELECT *, len(words) AS item_tokens FROM item_words)")}),
+doc_words AS ({_forms("(SELECT DISTINCT doc_id, text FROM {docs} WHERE doc_id IS NOT NULL)", "doc_id, coalesce(text, '') AS version")}),
+doc_tokens AS ({_TOKENS.format(source="(SELECT * FROM doc_words WHERE len(words) > 0)")}),
+met AS (SELECT d.doc_id, d.version, form, i.item_id, i.item_tokens, d.place - i.place AS diagonal, i.place AS k, i.word AS a, d.word AS b, i.plain::INT AS plain
+  FROM doc_tokens d JOIN item_tokens i USING (form, kind) WHERE i.item_tokens >= {SHORTEST}),
+places AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, version, form, item_id, diagonal ORDER BY k) AS stretch FROM met),
+sizes AS (SELECT doc_id, version, form, item_id, diagonal, stretch, count(*) AS n FROM places GROUP BY ALL),
+long AS (SELECT p.*, n FROM places p JOIN sizes USING (doc_id, version, form, item_id, diagonal, stretch) WHERE n >= least({WINDOW}, item_tokens)),
+sums AS (SELECT *, sum(plain) OVER up AS upto, sum((a <> b)::INT) OVER up AS other, sum(plain) OVER (PARTITION BY doc_id, version, form, item_id, diagonal, stretch) AS whole,
+  max(k) OVER (PARTITION BY doc_id, version, form, item_id, diagonal, stretch) AS last FROM long
+  WINDOW up AS (PARTITION BY doc_id, version, form, item_id, diagonal, stretch ORDER BY k)),
+ends AS (SELECT doc_id, version, form, item_id, item_tokens, diagonal, stretch, k, whole, upto - plain AS before, other - (a <> b)::INT AS other_before,
+  lead(upto, {WINDOW - 1}) OVER step AS upto_end, lead(other, {WINDOW - 1}) OVER step AS other_end FROM sums
+  WINDOW step AS (PARTITION BY doc_id, version, form, item_id, diagonal, stretch ORDER BY k)),
+good AS (SELECT *, upto_end - before >= {LITERALS} AS rich FROM ends WHERE item_tokens >= {LONG} AND upto_end IS NOT NULL
+  AND (upto_end - before >= {LITERALS} OR other_end = other_before OR whole - before >= {LITERALS} OR upto_end >= {LITERALS})),
+ranked AS (SELECT *, k - row_number() OVER (PARTITION BY path, doc_id, version, form, item_id, diagonal ORDER BY k) AS run
+  FROM (SELECT *, 'rich' AS path FROM good WHERE rich UNION ALL SELECT *, 'all' FROM good)),
+runs AS (SELECT doc_id, version, form, item_id, item_tokens, diagonal, min(k) AS low, max(k) + {WINDOW - 1} AS high FROM ranked
+  GROUP BY path, doc_id, version, form, item_id, item_tokens, diagonal, run
+  UNION ALL SELECT doc_id, version, form, item_id, any_value(item_tokens), diagonal, 1, any_value(item_tokens) FROM sums
+  WHERE item_tokens < {LONG} AND last - n = 0 AND n = item_tokens GROUP BY doc_id, version, form, item_id, diagonal, stretch
+  HAVING any_value(whole) >= {LITERALS} OR max(other) = 0),
+slots AS (SELECT DISTINCT r.doc_id, r.version, r.form, r.item_id, r.diagonal, low, high, a, b FROM runs r JOIN met m USING (doc_id, version, form, item_id, diagonal)
+  WHERE k BETWEEN low AND high AND plain = 0),
+filled AS (SELECT doc_id, version, form, item_id, diagonal, low, high, count(*) AS n_pairs, count(DISTINCT a) AS n_slots, bool_or(a <> b) AS reworded FROM slots GROUP BY ALL),
+leaks AS (SELECT doc_id, item_id, max(high - low + 1) AS run_tokens, max(item_tokens) AS item_tokens, max(coalesce(n_slots, 0)) AS n_slots,
+  bool_or(coalesce(reworded, false)) AS reworded FROM runs LEFT JOIN filled USING (doc_id, version, form, item_id, diagonal, low, high)
+  WHERE high - low + 1 >= least({MIN_RUN}, item_tokens) AND coalesce(n_pairs = n_slots, true) GROUP BY doc_id, item_id)
 """
 SQL = f"WITH {LEAK_SQL.replace('{docs}', 'documents')} SELECT * FROM leaks"

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -62,6 +63,18 @@ def test_elias_fano_select(seed):
     assert [coded.select(i) for i in range(len(values))] == values.tolist()
 
 
+def template_leaks(docs, bench):
+    """The report, after a look at whether the SQL gives the same."""
+    found = templates.leaks(docs, bench).collect()
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toArrow())
+    con.register("benchmark", bench.select("item_id", "text").toArrow())
+    told = con.execute(templates.SQL)
+    names = [d[0] for d in told.description]
+    assert sorted(tuple(r[n] for n in names) for r in found) == sorted(told.fetchall())
+    return {(r.doc_id, r.item_id): r for r in found}
+
+
 def test_templates_find_reworded_items(spark):
     item = "A train leaves Boston at 7 hours and travels 120 km before it meets the other train from Boston near the old bridge"
     moved = item.replace("120", "345").replace("Boston", "Paris Nord")
@@ -70,14 +83,24 @@ def test_templates_find_reworded_items(spark):
     rows = [(1, f"Some words before. {item} and after"), (2, f"words {moved} more"), (3, f"words {mixed}"), (6, f"words {both}"), (4, "A train leaves and nothing else is the same here at all"), (5, None), (None, item)]
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, item_id int")
     bench = spark.createDataFrame([(9, item), (8, pair), (10, None), (11, "too short"), (12, "")], "item_id bigint, text string")
-    found = {r.doc_id: r for r in templates.leaks(docs, bench).collect()}
+    found = {d: r for (d, _), r in template_leaks(docs, bench).items()}
     assert set(found) == {1, 2, 6}  # in 3 one name stands for two
-    assert found[2].reworded and not found[1].reworded and found[1].n_slots == 4
-    # the longest run begins after the one window of two plain words: hours, 120, km, Boston
+    assert found[2].reworded and not found[1].reworded and found[1].n_slots == 6
     assert {r.doc_id for r in templates.without_leaks(docs, bench).collect()} == {3, 4, 5, None}
     assert templates.without_leaks(docs.limit(0), bench).columns == docs.columns
 
 
+def test_templates_find_names_that_begin_sentences(spark):
+    item = "Tom has 5 red apples. Mary has 3 green ones. Together they give 2 to Tom. How many are left?"
+    other = "Ann Lee has 7 red apples. Sue has 4 green ones. Together they give 1 to Ann Lee. How many are left?"
+    start = "Robert walks to the old market every day and buys six fresh rolls there"
+    rows = [(1, f"Quiz.\n{other}"), (3, f'"{item}"'), (4, start.replace("Robert", "Linda")), (5, "see: " + start), (6, "they say Robert walks to the old market every day and buys six fresh rolls there"), (7, start.lower()), (8, "Tom has 5 red apples. Nothing else."), (9, item.upper())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, item), (2, start)], "item_id bigint, text string")
+    found = {k: r.reworded for k, r in template_leaks(docs, bench).items()}
+    assert found == {(1, 1): True, (3, 1): False, (4, 2): True, (5, 2): False, (6, 2): False, (7, 2): False}
+
+
 def test_templates_find_items_of_few_plain_words(spark):
     mean = "Compute the mean of 3 5 7 9 11 13 15 17 19 21"
     last = "1 2 3 4 5 6 7 8 9 sum them all"
@@ -86,10 +109,20 @@ def test_templates_find_items_of_few_plain_words(spark):
     rows = [(1, f"before. {mean} after"), (2, f"x {moved} y"), (3, f"see {sums} there"), (4, "take " + sums.replace("74", "75")), (5, f"and {last}"), (6, "and 21 22 23 24 25 26 27 28 29 sum them all"), (7, "Compute the sum of 3 5 7 9 11"), (8, "the mean of 3 5 7 9"), (9, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, mean), (2, sums), (3, last)], "item_id bigint, text string")
-    found = {(r.doc_id, r.item_id): r.reworded for r in templates.leaks(docs, bench).collect()}
+    found = {k: r.reworded for k, r in template_leaks(docs, bench).items()}
     assert found == {(1, 1): False, (2, 1): True, (3, 2): False, (5, 3): False, (6, 3): True}
 
 
+def test_templates_find_short_items(spark):
+    items = [(1, "What is 12 times 11 then?"), (2, "Who wrote the book Emma?"), (3, "3 + 4 + 5"), (4, "Hot day"), (5, "one two three four five six seven")]
+    rows = [(1, "x what is 30 times 20 then y"), (2, "What is 12 times 11 now"), (3, "so who wrote the book Persuasion? nobody"), (4, "sum 3 + 4 + 5 = 12"), (5, "sum 3 + 4 + 6 = 13"), (6, "a hot day"), (7, "zero one two three four five six seven eight"), (8, "one two three four five six eight"), (9, ""), (10, "one two three four five six seven " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {k: (r.reworded, r.run_tokens) for k, r in template_leaks(docs, spark.createDataFrame(items, "item_id bigint, text string")).items()}
+    assert found == {(1, 1): (True, 6), (3, 2): (True, 5), (4, 3): (False, 3), (7, 5): (False, 7), (10, 5): (False, 7)}
+    assert templates.leaks(docs.limit(0), spark.createDataFrame(items, "item_id bigint, text string")).collect() == []
+    assert templates.leaks(docs, spark.createDataFrame([], "item_id bigint, text string")).collect() == []
+
+
 def test_quality_edges(spark, odd):
     found = quality.verdicts(odd).collect()
     assert len(found) == odd.count() and not any(r.kept for r in found)
@@ -219,6 +252,37 @@ def test_contexts_discover_identifiers(spark, odd):
     assert pii.redacted(odd).columns == odd.columns and pii.redacted(odd).count() == odd.count() and pii.reports(odd.limit(0)).collect() == []
 
 
+def test_identifiers_in_groups_and_long_words(spark):
+    """Numbers written in groups are found whole, in contexts learned from seeds; words of contexts are whole."""
+    word = "extraordinarily" * 5
+    seeds = [(i, f"Please call me at +1 (323) 555-{1000 + i} tomorrow.") for i in range(30)] + [(50 + i, f"My {word} number +49 30 555 {1000 + i} is new.") for i in range(10)]
+    rows = [(90, "Please call me at (415) 555-0199 tomorrow."), (91, "Please call me at 415 555 0199, tomorrow."), (92, f"My {word} number 030 555 4321 is new."), (93, "My " + "x" * 75 + " number 040 555 9999 was it."), (94, "call me at 12 tomorrow"), (95, "The years 415 555 0100 went by.")]
+    docs = spark.createDataFrame(seeds + rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in pii.reports(docs).collect()}
+    assert found[90] == "phone:18:32" and found[91] == "phone:18:30" and found[92] == f"phone:{11 + len(word)}:{23 + len(word)}" and not found[93] and not found[94] and not found[95]
+    clean = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    assert clean[90] == "Please call me at [PHONE] tomorrow." and clean[91] == "Please call me at [PHONE], tomorrow."
+
+
+def test_time_grows_with_the_tokens_of_a_text(spark):
+    """Texts of thousands of identifiers: spans by brute force, redaction by position, the time in step with the number."""
+    import time
+
+    def run(n):
+        text = " ".join(f"user{k}@mail.org é 10.0.{k % 256}.7, x{k}" for k in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        start = time.perf_counter()
+        found = pii.reports(docs).collect()[0]
+        clean = pii.redacted(docs).collect()[0].text
+        seconds = time.perf_counter() - start
+        assert found.n_email == found.n_ip == n and found.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base_entities(text)).encode()).hexdigest()
+        assert clean == " ".join(f"[EMAIL] é [IP], x{k}" for k in range(n))
+        return seconds
+
+    run(10)
+    assert run(16_000) < 8 * run(2_000) + 10
+
+
 def test_byte_pairs(spark, sf, odd):
     import tiktoken
 
