@@ -3,10 +3,11 @@
 Tokens are the words of a text, A-Z in lower case, and one end. The OWN most frequent words are symbols of their own, all others
 share HASHED symbols by a hash, the end is the last symbol. A word of a shared symbol has its smoothed share of that symbol's
 count, so every word, seen or not, has a probability. Baum-Welch expectations are summed in each task, added up across
-partitions and collected as one value per model parameter, which is a bounded number. Training covers every token of the training
-texts in pieces of PIECE tokens; the likelihood of a text is exact: a scaled forward recursion over the whole sequence.
+partitions and collected as one value per model parameter, which is a bounded number. Training and likelihoods are over whole texts: the
+scaled forward state is kept at every PIECE-th token, and the backward pass works its way from the last piece to the first, each piece's forward states
+made anew, so memory holds one piece of the texts at hand.
 
-Counts of all words stay distributed. The TOP most frequent are looked up in the task; the rest of a text's words meet their
+Counts of all words stay distributed. The words above a count that at most TOP words reach, found from a histogram of the counts, are looked up in the task; the rest of a text's words meet their
 counts in a join of (row, word, n), from which the frequent words, and so the skew, are gone.
 
 A null text is empty and has one token, the end. A null id is in training. Repeated rows are scored each for itself, by a written
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 
 from pressbeat.llm.common import lengthy, map_arrow, materialize, numbered, text_of
 
-STATES, OWN, HASHED, TOP, PIECE, ROUNDS, STAY = 6, 2048, 512, 65536, 256, 5, 0.95
+STATES, OWN, HASHED, TOP, PIECE, ROUNDS, STAY = 6, 2048, 512, 65536, 512, 5, 0.95
+#: Texts of more tokens wait for each other, so that a step of the recursion covers several of them.
+LENGTHY, HELD = 2048, 250_000
 END = ""
 SYMBOLS = OWN + HASHED + 1
 LAST = SYMBOLS - 1
@@ -82,11 +85,24 @@ class Vocabulary(NamedTuple):
         return OWN + zlib.crc32(word.encode()) % HASHED if found is None else found
 
 
+def least_count(counts: DataFrame, most: int = TOP) -> int:
+    """The least count, of those with eight leading binary digits, that at most ``most`` words reach."""
+    shift = F.greatest(F.length(F.bin("c")) - 8, F.lit(0))
+    low = F.call_function("shiftleft", F.call_function("shiftright", F.col("c"), shift), shift)
+    reached, least = 0, 1 << 62
+    for r in counts.groupBy(low.alias("low")).agg(F.count("*").alias("v")).orderBy(F.desc("low")).collect():  # under 8,000 rows
+        reached += r.v
+        if reached > most:
+            break
+        least = r.low
+    return least
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(size.n or 0), int(size.v)
-    rows = counts.orderBy(F.desc("c"), "word").limit(TOP + 1).collect()
-    top = {r.word: r.c for r in rows if r.word != END}
+    rows = counts.filter(F.col("c") >= least_count(counts.filter(F.col("word") != END))).filter(F.col("word") != END).collect()  # at most TOP
+    top = {r.word: r.c for r in sorted(rows, key=lambda r: (-r.c, r.word))}
     own = {word: i for i, word in enumerate(list(top)[:OWN])}
     groups = counts.filter(F.col("word") != END).groupBy((F.crc32("word") % HASHED).alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
     mass, kinds = np.zeros(HASHED), np.zeros(HASHED)
@@ -127,13 +143,6 @@ class Model(NamedTuple):
         emit = emit.reshape(SYMBOLS, STATES) + 10.0 * share[:, None]
         return cls(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
-    def usual(self) -> np.ndarray:
-        """The distribution of states far from the start, for pieces that begin inside a text."""
-        state = self.start
-        for _ in range(50):
-            state = state @ self.move
-        return state
-
 
 def active(sequences: list[np.ndarray]) -> tuple[np.ndarray, list[int], np.ndarray]:
     """Order of falling length, how many sequences are longer than t, and their symbols side by side (step by step)."""
@@ -166,43 +175,52 @@ def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     return out
 
 
-def expectations(sequences: list[np.ndarray], begins: np.ndarray, model: Model) -> np.ndarray:
-    """Expected starts, moves and emissions of pieces; ``begins`` tells which pieces begin a text."""
-    order, longer, steps = active(sequences)
-    first = np.where(begins[order][:, None], model.start, model.usual())
-    alphas, emits, scales = [], [], []
-    state, at = first, 0
-    for t, n in enumerate(longer):
-        emit = model.emit[steps[at : at + n]]
-        state = (state[:n] if t == 0 else state[:n] @ model.move) * emit
-        scale = state.sum(1, keepdims=True)
-        state = state / scale
-        alphas.append(state)
-        emits.append(emit)
-        scales.append(scale)
-        at += n
-    moved = np.zeros((STATES, STATES))
-    gammas = [np.empty(0)] * len(longer)
+def expectations(sequences: list[np.ndarray], model: Model) -> np.ndarray:
+    """Expected starts, moves and emissions of whole sequences."""
+    _, longer, steps = active(sequences)
+    offsets = np.concatenate([[0], np.cumsum(longer)])
+
+    def forward(state: np.ndarray, low: int, high: int) -> tuple[list, list, list]:
+        """The scaled states, emissions and scales of the steps from ``low`` to ``high``, after ``state``."""
+        states, emits, scales = [], [], []
+        for t in range(low, high):
+            n = longer[t]
+            emit = model.emit[steps[offsets[t] : offsets[t] + n]]
+            state = (state[:n] if t == 0 else state[:n] @ model.move) * emit
+            scale = state.sum(1, keepdims=True)
+            state = state / scale
+            states.append(state)
+            emits.append(emit)
+            scales.append(scale)
+        return states, emits, scales
+
+    cuts = list(range(0, len(longer), PIECE))
+    marks = [np.repeat(model.start[None, :], len(sequences), 0)]
+    for low, high in zip(cuts, cuts[1:]):
+        marks.append(forward(marks[-1], low, high)[0][-1])
+    moved, emitted = np.zeros((STATES, STATES)), np.zeros((SYMBOLS, STATES))
+    started = np.zeros(STATES)
     ahead = np.ones((0, STATES))
     back = model.move.T.copy()
-    for t in range(len(longer) - 1, -1, -1):
-        beta = np.ones((longer[t], STATES))
-        m = len(ahead)
-        if m:
-            beta[:m] = ahead @ back
-            moved += alphas[t][:m].T @ ahead
-        gammas[t] = alphas[t] * beta
-        ahead = emits[t] * beta / scales[t]
-    flat = np.concatenate(gammas)
-    emitted = np.stack([np.bincount(steps, flat[:, k], SYMBOLS) for k in range(STATES)], 1)
-    started = gammas[0][begins[order]].sum(0) if longer else np.zeros(STATES)
+    for low, mark in zip(reversed(cuts), reversed(marks)):
+        high = min(low + PIECE, len(longer))
+        states, emits, scales = forward(mark, low, high)
+        gammas = [np.empty(0)] * (high - low)
+        for t in range(high - low - 1, -1, -1):
+            beta = np.ones((longer[low + t], STATES))
+            m = len(ahead)
+            if m:
+                beta[:m] = ahead @ back
+                moved += states[t][:m].T @ ahead
+            gammas[t] = states[t] * beta
+            ahead = emits[t] * beta / scales[t]
+        flat, own = np.concatenate(gammas), steps[offsets[low] : offsets[high]]
+        emitted += np.stack([np.bincount(own, flat[:, k], SYMBOLS) for k in range(STATES)], 1)
+        if low == 0:
+            started = gammas[0].sum(0)
     return np.concatenate([started, (moved * model.move).ravel(), emitted.ravel()])
 
 
-def pieces(sequence: np.ndarray) -> list[np.ndarray]:
-    return [sequence[i : i + PIECE] for i in range(0, len(sequence), PIECE)]
-
-
 def trained(encoded: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over the training rows of ``encoded``; each round is one pass and one sum per parameter."""
     model = Model.first(share)
@@ -211,21 +229,23 @@ def trained(encoded: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> Mode
 
         def run(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
             total = np.zeros(STATES + STATES * STATES + SYMBOLS * STATES)
-            held: list[np.ndarray] = []
-            begins: list[bool] = []
-            size = 0
+            waiting: dict[bool, list[np.ndarray]] = {False: [], True: []}
+            size = {False: 0, True: 0}
+
+            def flush(long: bool) -> np.ndarray | int:
+                some, waiting[long], size[long] = waiting[long], [], 0
+                return expectations(some, model) if some else 0
+
             for batch in lengthy(batches, 1 << 20):
                 for data in batch.column(0).to_pylist():
-                    own = pieces(np.frombuffer(data, "<u2"))
-                    for i, piece in enumerate(own):
-                        held.append(piece)
-                        begins.append(i == 0)
-                        size += len(piece)
-                        if size > 250_000:
-                            total += expectations(held, np.array(begins), model)
-                            held, begins, size = [], [], 0
-            if held:
-                total += expectations(held, np.array(begins), model)
+                    sequence = np.frombuffer(data, "<u2")
+                    long = len(sequence) > LENGTHY
+                    waiting[long].append(sequence)
+                    size[long] += len(sequence)
+                    if size[long] > HELD * (4 if long else 1):
+                        total += flush(long)
+            total += flush(False)
+            total += flush(True)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.float64())], ["i", "v"])
 
@@ -243,16 +263,15 @@ def encoded(texts: DataFrame, words: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[str, int] = {}
-        rare_kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
         for batch in lengthy(batches, 4 << 20):
-            out = []
+            out, rare, rare_n, ends = [], [], [], [0]
             for text in batch.column(2).to_pylist():
                 tokens = words_in(text)
                 counts = Counter(tokens)
                 if len(codes) > 400_000:
                     codes.clear()
                 own_logs = shared_logs = norm = 0.0
-                n_known, rare = 0, []
+                n_known = 0
                 for word, n in counts.items():
                     found = known.get(word)
                     symbol = found[0] if found else -1
@@ -263,7 +282,8 @@ def encoded(texts: DataFrame, words: Vocabulary) -> DataFrame:
                         norm += n * shared[symbol - OWN]
                     codes[word] = symbol
                     if found is None:
-                        rare.append({"word": word, "n": n})
+                        rare.append(word)
+                        rare_n.append(n)
                         continue
                     n_known += n
                     if found[0] < 0:
@@ -271,15 +291,17 @@ def encoded(texts: DataFrame, words: Vocabulary) -> DataFrame:
                     else:
                         own_logs += n * found[1]
                 symbols = np.array([*map(codes.__getitem__, tokens), LAST], "<u2")
-                out.append((len(tokens) + 1, n_known, own_logs, shared_logs, norm, symbols.tobytes(), rare))
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary(), rare_kind]
-            names = ["n_tokens", "n_top", "own_logs", "shared_logs", "norm", "symbols", "rare"]
+                ends.append(len(rare))
+                out.append((len(tokens) + 1, n_known, own_logs, shared_logs, norm, symbols.tobytes()))
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary()]
+            names = ["n_tokens", "n_top", "own_logs", "shared_logs", "norm", "symbols", "rare", "rare_n"]
             arrays = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
+            arrays += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare, pa.string())), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare_n, pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["doc_id", "held_out", *names])
 
     kind = (
         "doc_id bigint, held_out boolean, n_tokens bigint, n_top bigint, own_logs double, shared_logs double, norm double, symbols binary, "
-        "rare array<struct<word: string, n: bigint>>"
+        "rare array<string>, rare_n array<int>"
     )
     return map_arrow(texts, run, kind)
 
@@ -304,7 +326,7 @@ def scores(docs: DataFrame) -> DataFrame:
     words = vocabulary(counts)
     rows = numbered(encoded(texts, words), "row", "symbols")
     model = trained(rows, words.symbol_share)
-    rare = rows.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.n").join(counts, "word", "left")
+    rare = rows.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("n")).join(counts, "word", "left")
     log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
     rest = rare.groupBy("row").agg(F.sum(F.col("n") * log).alias("rare_logs"), F.sum(F.when(F.col("c") > 0, F.col("n"))).alias("n_rare"))
     chained = likelihoods(rows.select("row", "doc_id", "held_out", "n_tokens", "n_top", "own_logs", "shared_logs", "norm", "symbols"), model)

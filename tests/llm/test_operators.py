@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import product
 
 import duckdb
 import numpy as np
@@ -199,8 +200,6 @@ def test_hidden_markov_scores(spark, sf, odd):
 
 
 def test_forward_recursion_sums_all_paths():
-    from itertools import product
-
     model = hmm.Model.first(np.full(hmm.SYMBOLS, 1 / hmm.SYMBOLS), 4)
     for seq in ([5], [1, 7, 2], [3, 3, 9, 2]):
         paths = product(range(hmm.STATES), repeat=len(seq))
@@ -223,6 +222,38 @@ def test_toxicity_learns_words(spark, odd):
     assert len(toxicity.score(odd, none).collect()) == odd.count()
 
 
+def test_expectations_are_sums_over_all_paths(monkeypatch):
+    """Baum-Welch sums of sequences longer and shorter than a piece against all state paths, one by one."""
+    monkeypatch.setattr(hmm, "PIECE", 2)
+    rng = np.random.default_rng(6)
+    model = hmm.Model.first(rng.dirichlet(np.ones(hmm.SYMBOLS)), 4)
+    model = model._replace(start=rng.dirichlet(np.ones(hmm.STATES)))
+    sequences = [np.array(q) for q in ([3, 9, 3, 700, 3], [9], [700, 3, 3], [5, 5, 9, 9])]
+    started, moved, emitted = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES)), np.zeros((hmm.SYMBOLS, hmm.STATES))
+    for q in sequences:
+        paths = np.array(list(product(range(hmm.STATES), repeat=len(q))))
+        chance = model.start[paths[:, 0]] * model.emit[q[0], paths[:, 0]]
+        for t in range(1, len(q)):
+            chance = chance * model.move[paths[:, t - 1], paths[:, t]] * model.emit[q[t], paths[:, t]]
+        chance /= chance.sum()
+        np.add.at(started, paths[:, 0], chance)
+        for t in range(len(q)):
+            np.add.at(emitted[q[t]], paths[:, t], chance)
+            if t:
+                np.add.at(moved, (paths[:, t - 1], paths[:, t]), chance)
+    assert np.allclose(hmm.expectations(sequences, model), np.concatenate([started, moved.ravel(), emitted.ravel()]))
+    assert not hmm.expectations([], model).any()
+
+
+def test_frequent_words_are_those_above_a_count(spark):
+    counts = spark.createDataFrame([(f"w{k}", 1 + k // 3 if k < 900 else 100_000 + k) for k in range(1000)], "word string, c bigint")
+    for most in (0, 99, 100, 150, 1000):
+        least = hmm.least_count(counts, most)
+        n = counts.filter(F.col("c") >= least).count()
+        assert n <= most and (least >= 1 << 40 or n > 0.9 * most - 130)
+    assert hmm.least_count(counts.limit(0)) == 1 << 62
+
+
 def base_entities(text):
     out = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
