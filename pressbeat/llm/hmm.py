@@ -146,7 +146,7 @@ class Model(NamedTuple):
 
 def active(sequences: list[np.ndarray]) -> tuple[np.ndarray, list[int], np.ndarray]:
     """Order of falling length, how many sequences are longer than t, and their symbols side by side (step by step)."""
-    sizes = np.array([len(s) for s in sequences])
+    sizes = np.array([len(s) for s in sequences], np.int64)
     order = np.argsort(-sizes, kind="stable")
     counts = np.bincount(sizes, minlength=sizes.max() + 1 if len(sizes) else 1)
     longer = (len(sizes) - np.cumsum(counts))[: sizes.max() if len(sizes) else 0]
