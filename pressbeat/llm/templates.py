@@ -8,7 +8,7 @@ that can match; then all windows of those against the items. Matches on one diag
 tokens (or the whole item, if it is shorter) whose placeholders stand for one value each is a leak. A run of WINDOW + STRIDE - 1
 tokens cannot slip between the strides, and no shorter one counts, so the first join loses nothing.
 
-A window with fewer than LITERALS words that are not placeholders counts where its values are the same, or where it lies in a
+A window with fewer than LITERALS words that are not placeholders (a word that begins a sentence is one here in either form) counts where its values are the same, or where it lies in a
 longer stretch of one template, from its first token on or up to its last, that holds LITERALS such words. Runs over such windows
 add the pairs that the other windows alone do not give; without such windows in the items nothing of this is run. A stretch is at
 most as long as the longest item, so none is missed. Items of SHORTEST to WINDOW + STRIDE - 2 tokens are met whole: by their template if they hold
@@ -70,8 +70,14 @@ def as_names(words: Column) -> Column:
 
 
 def in_forms(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys``, form and words: two rows of each text."""
-    forms = let(tokens(F.col(text)), lambda w: F.array(F.struct(F.lit("plain").alias("form"), as_plain(w).alias("words")), F.struct(F.lit("names").alias("form"), as_names(w).alias("words"))))
+    """``keys``, form, words and wordy (whether a word is no placeholder, or one only in this form): two rows of each text."""
+
+    def both(raw):
+        plain = let(as_plain(raw), lambda w: F.struct(F.lit("plain").alias("form"), w.alias("words"), F.transform(w, is_word).alias("wordy")))
+        names = F.struct(F.lit("names").alias("form"), as_names(raw).alias("words"), F.transform(raw, lambda t: is_word(t) | is_maybe(t)).alias("wordy"))
+        return F.array(plain, names)
+
+    forms = let(tokens(F.col(text)), both)
     return rows.select(*keys, F.explode(forms).alias("f")).select(*keys, "f.*")
 
 
@@ -131,8 +137,11 @@ def sparse_windows(words: Column, longest: Column) -> Column:
 
 
 def sparse_rows(rows: DataFrame, keys: list[str], longest: int) -> DataFrame:
-    found = rows.select(*keys, "words", F.explode(let(F.col("words"), lambda w: sparse_windows(w, F.lit(longest)))).alias("w"))
-    return found.select(*keys, "w.place", "w.gram", F.expr("slice(words, w.place, w.size)").alias("tokens"))
+    def cut(words):
+        return let(sparse_windows(words, F.lit(longest)), lambda spans: F.transform(spans, lambda s: F.struct(s["place"].alias("place"), s["gram"].alias("gram"), F.slice(words, s["place"], s["size"]).alias("tokens"))))
+
+    found = rows.select(*keys, F.explode(let(F.col("words"), cut)).alias("w"))
+    return found.select(*keys, "w.place", "w.gram", "w.tokens")
 
 
 def reported(met: DataFrame) -> DataFrame:
@@ -167,7 +176,7 @@ def short_codes(words: Column, sizes: list[int]) -> Column:
         def one(i: Column) -> Column:
             cut = F.slice(words, i, size)
             rich = F.size(F.filter(cut, is_word)) >= LITERALS
-            return F.struct(i.alias("place"), F.lit(size).alias("size"), F.when(rich, F.concat(F.lit("S "), F.array_join(F.transform(cut, template), " "))).otherwise(F.concat(F.lit("W "), F.array_join(cut, " "))).alias("gram"))
+            return F.struct(i.alias("place"), F.lit(size).alias("size"), cut.alias("tokens"), F.when(rich, F.concat(F.lit("S "), F.array_join(F.transform(cut, template), " "))).otherwise(F.concat(F.lit("W "), F.array_join(cut, " "))).alias("gram"))
 
         return F.transform(starts, one)
 
@@ -192,8 +201,8 @@ def short_leaks(slim: DataFrame, items: DataFrame) -> DataFrame:
     seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), lambda w: F.concat(let(as_plain(w), codes), let(as_names(w), codes)))).alias("code"))
     able = materialize(seen.join(known, "code", "left_semi").select("doc_id").distinct(), "able")
     rows = in_forms(slim.join(able, "doc_id", "left_semi"), ["doc_id"])
-    met = rows.select("doc_id", "form", "words", F.explode(let(F.col("words"), lambda w: short_codes(w, sizes))).alias("w"))
-    met = met.select("doc_id", "form", "w.gram", F.expr("slice(words, w.place, w.size)").alias("tokens")).join(own, ["gram", "form"])
+    met = rows.select("doc_id", "form", F.explode(let(F.col("words"), lambda w: short_codes(w, sizes))).alias("w"))
+    met = met.select("doc_id", "form", "w.gram", "w.tokens").join(own, ["gram", "form"])
     pairs = F.zip_with("item_words", "tokens", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
     slots = F.array_distinct(F.filter(pairs, lambda p: F.substring(p["item"], -1, 1) == CLOSE))
     fit = met.select("doc_id", "item_id", F.size("item_words").cast("bigint").alias("n"), slots.alias("slots")).filter(consistent(F.col("slots")))
@@ -215,9 +224,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     every = materialize(every.filter(F.col("item_tokens") >= SHORTEST), "items")
     items = every.filter(F.col("item_tokens") >= LONG)
     item_keys, doc_keys = ["item_id", "form", "item_tokens"], ["doc_id", "version", "form"]
-    grams_of_items = windows(items, item_keys)
-    literal = F.filter("tokens", is_word)
-    grams = materialize(grams_of_items.filter(F.size(literal) >= LITERALS), "grams").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
+    grams_of_items = windows(items, [*item_keys, "wordy"])
+    rich = F.size(F.filter(F.slice("wordy", F.col("place"), WINDOW), lambda x: x)) >= LITERALS
+    grams = materialize(grams_of_items.filter(rich).drop("wordy"), "grams").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
     slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).filter(F.col("doc_id").isNotNull())
 
     # the written set of item windows has a known size: a small one is broadcast, a large one is shuffled with the windows
@@ -238,7 +247,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     found = [reported(windows(forms_of(able), doc_keys).join(grams, ["gram", "form"]))]
 
-    if not grams_of_items.filter(F.size(literal) < LITERALS).isEmpty():
+    if not grams_of_items.filter(~rich).isEmpty():
         found = [materialize(found[0], "found")]
         longest = items.agg(F.max("item_tokens")).first()[0]
         sparse = materialize(sparse_rows(items, item_keys, longest), "sparse").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
@@ -274,33 +283,40 @@ def _forms(source: str, keys: str) -> str:
     numbered = f"regexp_replace({named}, '{S_NUMBER}', ' {NUMBER}\\1{CLOSE} ', 'g')"
     units = f"regexp_replace({numbered}, '{P_UNIT}', '\\1 {UNIT}\\2{CLOSE}\\3', 'g')"
     own = f"(SELECT {keys}, regexp_extract_all({units}, '{P_TOKEN}') AS raw FROM {source})"
+    wordy = f"list_transform(raw, lambda t: t[-1] <> '{CLOSE}' OR t[1] = '{MAYBE}')"
     plain = f"flatten(list_transform(raw, lambda t: CASE WHEN t[1] = '{MAYBE}' THEN string_split(t[2:-2], ' ') ELSE [t] END))"
     names = f"list_transform(raw, lambda t: CASE WHEN t[1] = '{MAYBE}' THEN '{NAME}' || t[2:] ELSE t END)"
-    return f"SELECT *, 'plain' AS form, {plain} AS words FROM {own} UNION ALL SELECT *, 'names', {names} FROM {own}"
+    first = f"SELECT *, list_transform(words, lambda t: t[-1] <> '{CLOSE}') AS wordy FROM (SELECT *, 'plain' AS form, {plain} AS words FROM {own})"
+    return f"{first} UNION ALL SELECT *, 'names', {names}, {wordy} FROM {own}"
 
 
-_TOKENS = f"""SELECT * EXCLUDE (raw, words), words[place] AS word, words[place][-1] <> '{CLOSE}' AS plain,
+_TOKENS = f"""SELECT * EXCLUDE (raw, words, wordy), words[place] AS word, wordy[place]::INT AS wordy, words[place][-1] <> '{CLOSE}' AS plain,
   CASE WHEN words[place][-1] = '{CLOSE}' THEN words[place][1] ELSE words[place] END AS kind FROM (SELECT *, unnest(range(1, len(words) + 1)) AS place FROM {{source}})"""
-#: Tokens of one kind that follow each other on a diagonal are a stretch. A window of it counts if it holds enough plain words, has the same values,
+_GRAMS = f"""SELECT {{keys}}, size, array_to_string(list_transform(words[p : p + size - 1], lambda t: CASE WHEN t[-1] = '{CLOSE}' THEN t[1] ELSE t END), ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS p FROM {{source}}, (SELECT unnest([{SHORTEST}, {WINDOW}]) AS size))"""
+#: Texts that share a window with an item are compared with it token by token. Tokens of one kind that follow each other on a diagonal are a stretch. A window of it counts if it holds enough plain words, has the same values,
 #: or has enough plain words from its first token to the end of the stretch or from the beginning of the stretch to its last token.
 LEAK_SQL = f"""
 item_words AS ({_forms("benchmark", "item_id")}),
 item_tokens AS ({_TOKENS.format(source="(SELECT *, len(words) AS item_tokens FROM item_words)")}),
 doc_words AS ({_forms("(SELECT DISTINCT doc_id, text FROM {docs} WHERE doc_id IS NOT NULL)", "doc_id, coalesce(text, '') AS version")}),
 doc_tokens AS ({_TOKENS.format(source="(SELECT * FROM doc_words WHERE len(words) > 0)")}),
-met AS (SELECT d.doc_id, d.version, form, i.item_id, i.item_tokens, d.place - i.place AS diagonal, i.place AS k, i.word AS a, d.word AS b, i.plain::INT AS plain
-  FROM doc_tokens d JOIN item_tokens i USING (form, kind) WHERE i.item_tokens >= {SHORTEST}),
+item_grams AS ({_GRAMS.format(keys="item_id, form, len(words) AS item_tokens", source="item_words")}),
+pairs AS (SELECT DISTINCT doc_id, version, form, item_id FROM ({_GRAMS.format(keys="doc_id, version, form", source="doc_words")}) d JOIN item_grams i USING (form, size, gram)
+  WHERE item_tokens >= {SHORTEST} AND size = CASE WHEN item_tokens < {WINDOW} THEN {SHORTEST} ELSE {WINDOW} END),
+met AS (SELECT d.doc_id, d.version, form, i.item_id, i.item_tokens, d.place - i.place AS diagonal, i.place AS k, i.word AS a, d.word AS b, i.plain::INT AS plain, i.wordy
+  FROM pairs JOIN doc_tokens d USING (doc_id, version, form) JOIN item_tokens i USING (item_id, form) WHERE d.kind = i.kind),
 places AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, version, form, item_id, diagonal ORDER BY k) AS stretch FROM met),
 sizes AS (SELECT doc_id, version, form, item_id, diagonal, stretch, count(*) AS n FROM places GROUP BY ALL),
 long AS (SELECT p.*, n FROM places p JOIN sizes USING (doc_id, version, form, item_id, diagonal, stretch) WHERE n >= least({WINDOW}, item_tokens)),
-sums AS (SELECT *, sum(plain) OVER up AS upto, sum((a <> b)::INT) OVER up AS other, sum(plain) OVER (PARTITION BY doc_id, version, form, item_id, diagonal, stretch) AS whole,
+sums AS (SELECT *, sum(plain) OVER up AS upto, sum(wordy) OVER up AS wordy_upto, sum((a <> b)::INT) OVER up AS other, sum(plain) OVER (PARTITION BY doc_id, version, form, item_id, diagonal, stretch) AS whole,
   max(k) OVER (PARTITION BY doc_id, version, form, item_id, diagonal, stretch) AS last FROM long
   WINDOW up AS (PARTITION BY doc_id, version, form, item_id, diagonal, stretch ORDER BY k)),
-ends AS (SELECT doc_id, version, form, item_id, item_tokens, diagonal, stretch, k, whole, upto - plain AS before, other - (a <> b)::INT AS other_before,
+ends AS (SELECT doc_id, version, form, item_id, item_tokens, diagonal, stretch, k, whole, upto - plain AS before, wordy_upto - wordy AS wordy_before, lead(wordy_upto, {WINDOW - 1}) OVER step AS wordy_end, other - (a <> b)::INT AS other_before,
   lead(upto, {WINDOW - 1}) OVER step AS upto_end, lead(other, {WINDOW - 1}) OVER step AS other_end FROM sums
   WINDOW step AS (PARTITION BY doc_id, version, form, item_id, diagonal, stretch ORDER BY k)),
-good AS (SELECT *, upto_end - before >= {LITERALS} AS rich FROM ends WHERE item_tokens >= {LONG} AND upto_end IS NOT NULL
-  AND (upto_end - before >= {LITERALS} OR other_end = other_before OR whole - before >= {LITERALS} OR upto_end >= {LITERALS})),
+good AS (SELECT *, wordy_end - wordy_before >= {LITERALS} AS rich FROM ends WHERE item_tokens >= {LONG} AND upto_end IS NOT NULL
+  AND (wordy_end - wordy_before >= {LITERALS} OR other_end = other_before OR whole - before >= {LITERALS} OR upto_end >= {LITERALS})),
 ranked AS (SELECT *, k - row_number() OVER (PARTITION BY path, doc_id, version, form, item_id, diagonal ORDER BY k) AS run
   FROM (SELECT *, 'rich' AS path FROM good WHERE rich UNION ALL SELECT *, 'all' FROM good)),
 runs AS (SELECT doc_id, version, form, item_id, item_tokens, diagonal, min(k) AS low, max(k) + {WINDOW - 1} AS high FROM ranked
