@@ -11,7 +11,8 @@ from pressbeat.plans.base import query
 from pressbeat.sources import events as source
 from pressbeat.storage import estimated_bytes, scratch_path
 from pressbeat.streaming import events as stream_events
-from pressbeat.streaming import sinks, windows
+from pressbeat.streaming import keyed, live, sinks, state, windows
+from pressbeat.tables import Tables
 
 FILES = 4
 _TOPICS: dict[tuple[str, str], tuple[str, str]] = {}
@@ -40,8 +41,7 @@ def stream_query(name, sql=None, *logical, stored="events"):
     def register(fn):
         def run(t):
             # records of text take a few times the room of the stored columns
-            with sinks.sized_state(t.spark, 4 * estimated_bytes(t.raw(stored))):
-                return fn(t)
+            return fn(Tables(sinks.stream_session(t.spark, 4 * estimated_bytes(t.raw(stored))), t.sf_dir))
 
         return query(name, sql, *logical)(run)
 
@@ -143,14 +143,9 @@ SELECT min(event_time) AS window_start, max(event_time) + INTERVAL 30 MINUTES AS
 GROUP BY user_id, session""", "logs")
 def _(t):
     signed_in = stream(t).filter("user_id IS NOT NULL").withColumn("user_id", F.col("user_id").cast("bigint"))
-    setting = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-    before = t.spark.conf.get(setting)
-    # merge each task's rows of a session before the shuffle, so a very active user stays small
-    t.spark.conf.set(setting, "true")
-    try:
-        return sinks.run_append(windows.sessions(signed_in, "30 minutes", ["user_id"]))
-    finally:
-        t.spark.conf.set(setting, before)
+    # merge each task's rows of a session before the shuffle, so a very active user stays small; the session is this query's own
+    t.spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    return sinks.run_append(windows.sessions(signed_in, "30 minutes", ["user_id"]))
 
 
 @stream_query("stream_state_ttl", """
@@ -160,7 +155,7 @@ SELECT post_id, count(*) AS n, max(event_time) + INTERVAL 1 HOUR AS expires FROM
   FROM logs WHERE action = 'view'))
 GROUP BY post_id, life""", "logs")
 def _(t):
-    return sinks.run_append(windows.expiring_counts(stream(t).filter("action = 'view'"), "post_id", "1 hour"))
+    return sinks.run_append(state.expiring_counts(stream(t).filter("action = 'view'"), "post_id", 3600))
 
 
 @stream_query("stream_cumulate", """
@@ -196,7 +191,7 @@ def _(t):
 @stream_query("stream_flatmap", """
 SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word""", stored="documents")
 def _(t):
-    texts = t.spark.readStream.schema("text string").parquet(f"{t.sf_dir}/documents.parquet*")
+    texts = t.spark.readStream.schema("text string").parquet(f"{t.sf_dir}/documents.parquet{'' if t.is_folder('documents') else '*'}")
     words = texts.select(F.explode(F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")).alias("word")).filter("word <> ''")
     return sinks.run_upsert(windows.counts_by(words, "word"), ["word"])
 
@@ -255,8 +250,7 @@ SELECT post_id, event_date, count(*) FILTER (action = 'view') AS views, count(*)
  count(*) FILTER (action = 'like') AS likes, count(*) FILTER (action = 'share') AS shares FROM logs WHERE action <> 'search' GROUP BY ALL""", "logs")
 def _(t):
     facts = stream(t).filter("post_id IS NOT NULL").withColumn("event_date", F.to_date("event_time"))
-    schema = "post_id int, event_date date, views bigint, comments bigint, likes bigint, shares bigint"
-    return sinks.run_rollup(facts, rollup.post_rollup, schema, rollup.POST_KEYS)
+    return sinks.run_rollup(facts, rollup.post_rollup, rollup.POST_KEYS)
 
 
 @stream_query("stream_resume", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs")
@@ -269,27 +263,40 @@ def _(t):
         source.publish(source.to_event_records(part), path, slices=1, files=FILES)
         parsed = stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=FILES))
         counts = windows.counts_by(stream_events.timed(parsed), "action")
-        sinks.run_batches(counts, "update", out, checkpoint)
-    return rollup.replace_latest(sinks.batches(t.spark, counts.schema, out), ["action"], "batch").drop("batch")
+        sinks.upsert(counts, ["action"], out, checkpoint, every=None)
+    return keyed.read_keyed(t.spark, counts.schema, out)
 
 
-@stream_query("stream_late_audit")
+LATE_BEFORE, STEPS, REMEMBERED = "2024-01-11", 24, 5
+
+
+@stream_query("stream_late_audit", f"""
+SELECT CAST(count(*) FILTER (event_date >= DATE '{LATE_BEFORE}') AS BIGINT) AS kept, CAST(count(*) FILTER (event_date < DATE '{LATE_BEFORE}') AS BIGINT) AS late,
+ CAST(count(DISTINCT (date_trunc('hour', event_time), action)) FILTER (event_date < DATE '{LATE_BEFORE}') AS BIGINT) AS late_combinations,
+ count(*) + 1 AS records, CAST({STEPS + 2} AS BIGINT) AS batches FROM logs""", "logs")
 def _(t):
-    """Rows kept and lost when the first third of the log arrives last.
+    """Rows kept and lost when the first days of the log arrive last, after many small batches of the others.
 
-    A row is late against the watermark of the batch before the last one.
+    A row is late against the watermark of the batch before the last one. The totals come from a listener, and so cover many times the batches
+    that the query itself is set to remember.
     """
-    path = source.publish(source.to_event_records(t.logs), scratch_path(t.spark, "late-topic"), files=FILES, order=[1, 2, 0])
+    early = F.col("event_date") < F.lit(LATE_BEFORE).cast("date")
+    path = source.publish_in_order(source.to_event_records(t.logs.filter(~early)), scratch_path(t.spark, "late-topic"), STEPS)
+    source.publish(source.to_event_records(t.logs.filter(early)), path, slices=1, files=1)
     _known, end = topic(t)
     source.publish_end(t.spark, path, end)
-    parsed = stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=FILES))
+    parsed = stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=1))
     hourly = windows.tumbling(stream_events.timed(parsed, end), "1 hour", ["action"])
-    out, checkpoint = scratch_path(t.spark, "late"), scratch_path(t.spark, "checkpoint")
-    run = sinks.append_to_parquet(hourly, out, checkpoint)
-    dropped = sum(op["numRowsDroppedByWatermark"] for p in run.recentProgress for op in p["stateOperators"])
+    out = scratch_path(t.spark, "late")
+    # the state is a few counts an hour; what costs is opening each of its partitions in each batch
+    t.spark.conf.set("spark.sql.shuffle.partitions", "2")
+    t.spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(REMEMBERED))
+    with live.audited(t.spark) as audit:
+        totals = audit.final(sinks.append_to_parquet(hourly, out, scratch_path(t.spark, "checkpoint")))
     kept = t.spark.read.schema(hourly.schema).parquet(out).agg(F.sum("n").alias("kept"))
     total = t.logs.agg(F.count(F.lit(1))).scalar()
-    return kept.select("kept", (total - F.col("kept")).alias("late"), F.lit(dropped).cast("bigint").alias("dropped_partial_rows"))
+    seen = {"late_combinations": totals.late_rows, "records": totals.rows, "batches": totals.batches}
+    return kept.select("kept", (total - F.col("kept")).alias("late"), *(F.lit(v).cast("bigint").alias(k) for k, v in seen.items()))
 
 
 @stream_query("trend_stream_twin", "SELECT event_date, count(*) AS pv FROM logs GROUP BY event_date", "logs")

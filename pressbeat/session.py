@@ -49,3 +49,14 @@ def configure(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def derived_session(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session of the same application with the settings of ``spark`` and its own on top; ``spark`` keeps what it has."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if value is not None and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    return own

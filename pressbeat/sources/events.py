@@ -7,7 +7,7 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressbeat.storage import pieces_by_size
+from pressbeat.storage import file_system, pieces_by_size, scratch_path
 
 FILE_BYTES = 64 * 1024 * 1024
 RECORD_SCHEMA = "key string, value string"
@@ -80,6 +80,26 @@ def publish(records: DataFrame, path: str, slices: int = 3, files: int | None =
     return path
 
 
+def publish_in_order(records: DataFrame, path: str, files: int) -> str:
+    """Append the records to a file topic as ``files`` files in the order of event time.
+
+    The reader takes files by their modification times, which are set a second apart up to now; ``files`` names pass the driver.
+    """
+    spark = records.sparkSession
+    staged = scratch_path(spark, "ordered")
+    ranged = records.repartitionByRange(files, "event_time").sortWithinPartitions("event_time")
+    ranged.select("key", "value").write.parquet(staged)
+    store, folder = file_system(spark, staged)
+    target, last = spark._jvm.org.apache.hadoop.fs.Path(path), int(time.time()) - 1
+    store.mkdirs(target)
+    parts = sorted((s.getPath().getName(), s.getPath()) for s in store.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    for i, (name, part) in enumerate(parts):
+        moved = spark._jvm.org.apache.hadoop.fs.Path(target, name)
+        store.rename(part, moved)
+        store.setTimes(moved, (last - len(parts) + i) * 1000, -1)
+    return path
+
+
 def publish_end(spark: SparkSession, path: str, at: str) -> None:
     """A last record that carries the watermark past every open window, as a bounded input's end does."""
     time.sleep(1)
@@ -100,3 +120,39 @@ def read_events(spark: SparkSession, source: str, fmt: str = "files", files_per_
     if fmt != "files":
         raise ValueError(f"unknown topic format {fmt!r}")
     return spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).options(**options).parquet(source)
+
+
+def kafka_rows(records: DataFrame, topic: str | None = None) -> DataFrame:
+    """What the Kafka sink takes: key and value as bytes, a record without a post keyless, so that it goes to any partition."""
+    named = [F.lit(topic).alias("topic")] if topic else []
+    return records.select(*named, F.col("key").cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"))
+
+
+def kafka_options(servers: str, topic: str | None = None, acks: str = "all", **more: str) -> dict[str, str]:
+    """Options of the Kafka sink: every record acknowledged by all replicas and not doubled by the producer's own retries."""
+    if not servers:
+        raise ValueError("the sink needs at least one server")
+    options = {"kafka.bootstrap.servers": servers, "kafka.acks": acks, "kafka.enable.idempotence": "true" if acks == "all" else "false"}
+    if topic:
+        options["topic"] = topic
+    return options | more
+
+
+def write_events(records: DataFrame, target: str, fmt: str = "files", servers: str = "", checkpoint: str | None = None, every: str | None = None, **options: str):
+    """Send (key, value) records to a topic: a folder, or with ``fmt='kafka'`` a topic of that name.
+
+    A batch frame is appended; a streaming one needs a ``checkpoint`` and gives its running query, a batch ``every`` so often or all there is now.
+    Delivery is at least once; readers drop repeated event ids (``streaming.windows.once``).
+    """
+    if fmt == "kafka":
+        rows, options, name = kafka_rows(records), kafka_options(servers, target, **options), "kafka"
+    elif fmt == "files":
+        rows, options, name = records.select("key", "value"), {**options, "path": target}, "parquet"
+    else:
+        raise ValueError(f"unknown topic format {fmt!r}")
+    if not records.isStreaming:
+        return rows.write.format(name).mode("append").options(**options).save()
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder")
+    writer = rows.writeStream.format(name).outputMode("append").options(**options).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -96,3 +96,28 @@ def persisted(df: DataFrame, level: str = "MEMORY_AND_DISK") -> Iterator[DataFra
         yield kept
     finally:
         kept.unpersist()
+
+
+def file_system(spark: SparkSession, path: str):
+    """The store that holds ``path``, and the path as the store names it."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()), named
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none where it does not exist."""
+    store, named = file_system(spark, path)
+    if not store.exists(named):
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(named) if s.isDirectory())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, named = file_system(spark, path)
+    return store.exists(named)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making."""
+    store, named = file_system(spark, path)
+    store.delete(named, True)

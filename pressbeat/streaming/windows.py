@@ -74,16 +74,6 @@ def visitors(events: DataFrame, key: str) -> DataFrame:
     return events.filter(F.col("user_id").isNotNull()).groupBy(key, "user_id").agg(F.max("event_time").alias("latest"))
 
 
-def expiring_counts(events: DataFrame, key: str, ttl: str) -> DataFrame:
-    """Count per key that is dropped, and starts afresh, once the key has been silent for ``ttl``.
-
-    A key's live count is the session of its events with that gap, so the built-in session state, which
-    expires with the watermark, keeps it: no per-key Python state is needed.
-    """
-    live = events.groupBy(F.session_window("event_time", ttl).alias("window"), key)
-    return live.agg(F.count(F.lit(1)).alias("n")).select(key, "n", F.col("window.end").cast("timestamp_ntz").alias("expires"))
-
-
 def longest_by(events: DataFrame, key: str) -> DataFrame:
     return events.groupBy(key).agg(
         F.max("duration").alias("longest"), F.min("duration").alias("shortest"), F.round(F.sum("duration"), 4).alias("total")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressbeat.session import configure
+from pressbeat.storage import file_system
 
 # Stored event type -> blog action.
 ACTION_OF_EVENT = {
@@ -40,6 +41,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
+    def is_folder(self, name: str) -> bool:
+        store, path = file_system(self.spark, self.path(name))
+        return store.getFileStatus(path).isDirectory()
+
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
