@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +28,6 @@ def etl_posts(spark: SparkSession, csv_path: str, target: str, quarantine: str |
     return partition_counts(spark.read.parquet(target), "year", "month")
 
 
-
-
 def analysis_suite(posts: DataFrame, logs: DataFrame, output: str, fmt: str = "csv") -> dict[str, str]:
     """The standing reports, each in its own folder: {report: path}."""
     listed = ["post_id", "title", "author", "category", "views", "likes", "comments"]
@@ -56,44 +52,32 @@ def analysis_suite(posts: DataFrame, logs: DataFrame, output: str, fmt: str = "c
     return paths
 
 
-@dataclass
-class PostAnalysis:
-    """Chained ingest, clean, enrich, analyse, output over one frame of posts."""
-
-    posts: DataFrame
-    results: dict[str, DataFrame] = field(default_factory=dict)
-
-    @classmethod
-    def ingest(cls, spark: SparkSession, path: str | None = None, rows=None) -> PostAnalysis:
-        if (path is None) == (rows is None):
-            raise ValueError("give either a path or rows")
-        return cls(files.read_csv(spark, path, RAW_POSTS, corrupt_column=None) if path else spark.createDataFrame(rows, RAW_POSTS))
-
-    def clean(self) -> PostAnalysis:
-        self.posts = clean.clean_posts(self.posts)
-        return self
-
-    def enrich(self) -> PostAnalysis:
-        self.posts = self.posts.withColumns(
-            {"year_month": F.date_format("publish_date", "yyyy-MM"), "engagement": clean.engagement(comments=None), "tag_array": F.split("tags", ",")}
-        )
-        return self
-
-    def analyse(self) -> PostAnalysis:
-        self.results = {
-            "author_ranking": self.posts.groupBy("author").agg(
-                F.count(F.lit(1)).alias("posts"), F.sum("views").alias("sum_views"), F.sum("likes").alias("sum_likes")
-            ),
-            "monthly_trend": traffic.monthly_trend(self.posts),
-            "tag_analysis": traffic.tag_stats(self.posts),
-        }
-        return self
-
-    def output(self, folder: str) -> PostAnalysis:
-        for name, result in self.results.items():
-            files.write_out(result, f"{folder}/{name}", "csv", "overwrite")
-        files.write_out(self.posts, f"{folder}/posts_enriched", "parquet", "overwrite")
-        return self
+def described(posts: DataFrame) -> DataFrame:
+    """Cleaned posts with the length of their title and the month they appeared in."""
+    return posts.withColumns({"title_length": F.length("title"), "month": traffic.month_of("publish_date")})
+
+
+def by_author(posts: DataFrame) -> DataFrame:
+    whole, mean = (lambda c: F.sum(c)), (lambda c: F.round(F.avg(c), 9))
+    return posts.groupBy("author").agg(
+        F.count(F.lit(1)).alias("n_posts"), whole("views").alias("all_views"), whole("likes").alias("all_likes"), mean("views").alias("mean_views"),
+        mean("engagement").alias("mean_engagement"), mean("title_length").alias("mean_title_length"), F.count_if(F.col("popularity") == "hot").alias("n_hot"),
+    )
+
+
+#: report -> (how it is made of the described posts, the format it is written in)
+POST_REPORTS = {"authors": (by_author, "csv"), "months": (traffic.monthly_trend, "json"), "tags": (traffic.tag_stats, "csv")}
+
+
+def post_reports(raw: DataFrame, folder: str) -> dict[str, str]:
+    """Clean and describe raw posts, store them, and write the reports that are made of what was stored: {output: path}."""
+    paths = {name: f"{folder}/{name}" for name in ("posts", *POST_REPORTS)}
+    ready = raw.transform(clean.clean_posts).transform(described)
+    files.write_out(ready, paths["posts"], "parquet", "overwrite")
+    stored = raw.sparkSession.read.schema(ready.schema).parquet(paths["posts"])
+    for name, (report, fmt) in POST_REPORTS.items():
+        files.write_out(stored.transform(report), paths[name], fmt, "overwrite")
+    return paths
 
 
 def stream_post_stats(records: DataFrame, end: str | None = None) -> DataFrame:

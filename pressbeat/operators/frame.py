@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressbeat.operators.ordered import row_index
+from pressbeat.operators.stats import open_values
 
 
 
@@ -84,8 +85,12 @@ def pipe(df: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
     return reduce(lambda frame, step: frame.transform(step), steps, df)
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> DataFrame:
-    return df.withColumns({f"{prefix}_{v}": F.when(F.col(column) == v, 1).otherwise(0) for v in values})
+def one_hot(df: DataFrame, column: str, prefix: str, values: Sequence[str] | None = None, rest: str = "rest", most: int = 50) -> DataFrame:
+    """A 0/1 column for each value, found if not given, and one for all others and missing ones: each row has one 1."""
+    values = open_values(df, column, most) if values is None else list(values)
+    known = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    flags = {f"{prefix}_{v}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in values}
+    return df.withColumns({**flags, f"{prefix}_{rest}": (~known).cast("int")})
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], variable: str = "variable", value: str = "value") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressbeat.operators.traffic import action_count, with_city
@@ -53,14 +53,32 @@ def requery(rollup: DataFrame, keys: Sequence[str], measures: Sequence[str]) ->
 
 
 def sketch_rollup(logs: DataFrame, keys: Sequence[str], lg_k: int = 14) -> DataFrame:
-    """Daily counters with a mergeable visitor sketch in place of a visitor count."""
-    return logs.groupBy(*keys).agg(F.count(F.lit(1)).alias("pv"), F.hll_sketch_agg("user_id", lg_k).alias("visitors"))
+    """Counters with a mergeable visitor sketch in place of a visitor count.
 
+    A Theta sketch is a sample of the visitors' hashes below a threshold of its own, so sketches give overlaps and differences besides unions; up
+    to ``2 ** lg_k`` visitors are counted exactly.
+    """
+    return logs.groupBy(*keys).agg(F.count(F.lit(1)).alias("pv"), F.theta_sketch_agg("user_id", lg_k).alias("visitors"))
 
-def sketch_requery(rollup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rollup.groupBy(*keys).agg(
-        F.sum("pv").alias("pv"), F.hll_sketch_estimate(F.hll_union_agg("visitors")).alias("uv")
-    )
+
+def sketch_requery(rollup: DataFrame, keys: Sequence[str], lg_k: int = 14) -> DataFrame:
+    """pv, the merged sketch and its estimate per key."""
+    merged = rollup.groupBy(*keys).agg(F.sum("pv").alias("pv"), F.theta_union_agg("visitors", lg_k).alias("visitors"))
+    return merged.withColumn("uv", F.theta_sketch_estimate("visitors"))
+
+
+def sketch_error(uv: Column, lg_k: int = 14, deviations: int = 3) -> Column:
+    """How far an estimate may be off: ``deviations`` standard deviations of a sketch in estimation mode, none below its size."""
+    return F.when(uv <= 1 << lg_k, F.lit(0.0)).otherwise(uv * deviations / (1 << lg_k) ** 0.5)
+
+
+def sketch_overlap(left: Column, right: Column) -> dict[str, Column]:
+    """Visitors that both sketches saw, that only the first and only the second saw."""
+    return {
+        "both": F.theta_sketch_estimate(F.theta_intersection(left, right)),
+        "only_left": F.theta_sketch_estimate(F.theta_difference(left, right)),
+        "only_right": F.theta_sketch_estimate(F.theta_difference(right, left)),
+    }
 
 
 def visitor_pairs(logs: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -19,14 +19,28 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("share", F.round(F.col("n") / total, 9))
 
 
-def pivot_sum(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str) -> DataFrame:
-    """Sum per row and listed column value, 0 where there is none."""
-    return df.groupBy(row).pivot(column, list(values)).agg(F.sum(measure)).fillna(0)
+def open_values(df: DataFrame, column: str, most: int = 50) -> list[str]:
+    """The ``most`` frequent values of a column in their order, for columns of their own; a bounded look before a pivot."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return sorted(r[0] for r in counts.orderBy(F.desc("n"), column).limit(most).collect())
+
+
+def with_rest(df: DataFrame, column: str, values: Sequence[str], rest: str) -> DataFrame:
+    """Values without a column of their own, and missing ones, under ``rest``."""
+    return df.withColumn(column, F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(rest))
+
+
+def pivot_sum(df: DataFrame, row: str, column: str, measure: str, values: Sequence[str] | None = None, rest: str = "rest", most: int = 50) -> DataFrame:
+    """Sum per row and column value, 0 where there is none; the values are found if not given, and ``rest`` holds all others."""
+    values = open_values(df, column, most) if values is None else list(values)
+    return with_rest(df, column, values, rest).groupBy(row).pivot(column, [*values, rest]).agg(F.sum(measure)).fillna(0)
 
 
-def crosstab_margins(df: DataFrame, row: str, column: str, values: Sequence[str], label: str = "All") -> DataFrame:
-    """Counts per (row, column) with row and column totals under ``label``."""
-    rolled = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull()).cube(row, column).agg(
+def crosstab_margins(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None, label: str = "All", rest: str = "rest", most: int = 50) -> DataFrame:
+    """Counts per (row, column) with row and column totals under ``label`` and further column values under ``rest``."""
+    kept = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
+    values = open_values(kept, column, most) if values is None else list(values)
+    rolled = with_rest(kept, column, values, rest).cube(row, column).agg(
         F.count(F.lit(1)).alias("n"), F.grouping(row).alias("_gr"), F.grouping(column).alias("_gc")
     )
     named = rolled.select(
@@ -34,7 +48,7 @@ def crosstab_margins(df: DataFrame, row: str, column: str, values: Sequence[str]
         F.when(F.col("_gc") == 1, label).otherwise(F.col(column)).alias("_column"),
         "n",
     )
-    return named.groupBy(row).pivot("_column", [*values, label]).agg(F.sum("n")).fillna(0)
+    return named.groupBy(row).pivot("_column", [*values, rest, label]).agg(F.sum("n")).fillna(0)
 
 
 def group_transform(df: DataFrame, key: str, measure: str) -> DataFrame:

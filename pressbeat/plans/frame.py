@@ -178,9 +178,9 @@ def _(t):
 
 
 @query("one_hot", """
-SELECT post_id, """ + ", ".join(f"""CAST(category = '{p}' AS INTEGER) AS "cat_{p}" """ for p in PRIORITIES) + " FROM posts", "posts")
+SELECT post_id, """ + ", ".join(f"""CAST(category = '{p}' AS INTEGER) AS "cat_{p}" """ for p in PRIORITIES) + ", 0 AS cat_rest FROM posts", "posts")
 def _(t):
-    return ops.one_hot(t.posts.select("post_id", "category"), "category", PRIORITIES, "cat").drop("category")
+    return ops.one_hot(t.posts.select("post_id", "category"), "category", "cat").drop("category")
 
 
 @query("split_by_type", "SELECT action, count(*) AS n, count(DISTINCT post_id) AS posts FROM logs WHERE action IN ('view', 'comment') GROUP BY action", "logs")

@@ -40,10 +40,16 @@ def _(t):
 
 
 @query("job_fluent", f"""
-SELECT author, count(*) AS posts, CAST(sum(views) AS BIGINT) AS sum_views, CAST(sum(likes) AS BIGINT) AS sum_likes FROM ({CLEAN_POSTS}) GROUP BY author""", "posts")
+WITH p AS ({CLEAN_POSTS}) SELECT 'author' AS kind, author AS item, count(*) AS n_posts, CAST(sum(views) AS BIGINT) AS all_views, round(avg(views), 9) AS mean_views,
+ round(avg(engagement), 9) AS mean_engagement, round(avg(length(title)), 9) AS mean_title_length, count(*) FILTER (popularity = 'hot') AS n_hot FROM p GROUP BY author
+UNION ALL SELECT 'month', strftime(publish_date, '%Y-%m'), count(*), CAST(sum(views) AS BIGINT), round(avg(views), 9), NULL, NULL, NULL FROM p GROUP BY 2""", "posts")
 def _(t):
-    analysis = jobs.PostAnalysis(dirty_posts(t)).clean().enrich().analyse().output(scratch_path(t.spark, "fluent"))
-    return analysis.results["author_ranking"]
+    paths = jobs.post_reports(dirty_posts(t), scratch_path(t.spark, "reports"))
+    kinds = "author string, n_posts bigint, all_views bigint, all_likes bigint, mean_views double, mean_engagement double, mean_title_length double, n_hot bigint"
+    authors = files.read_csv(t.spark, paths["authors"], kinds, corrupt_column=None).drop("all_likes").withColumnRenamed("author", "item")
+    months = t.spark.read.schema("month string, posts bigint, sum_views bigint, avg_views double").json(paths["months"])
+    months = months.toDF("item", "n_posts", "all_views", "mean_views").withColumn("kind", F.lit("month"))
+    return authors.withColumn("kind", F.lit("author")).unionByName(months, allowMissingColumns=True)
 
 
 @streams.stream_query("job_stream_stats", streams.PIVOT, "logs")

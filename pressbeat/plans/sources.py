@@ -266,6 +266,15 @@ def _(t):
     return t.spark.sql(f"SELECT * FROM {view}")
 
 
+@query("catalog_persistent_view", "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
+def _(t):
+    """A view in a database of its own, read by another session of the same catalog."""
+    database = f"blog_{uuid.uuid4().hex}"
+    catalog.create_database(t.spark, database)
+    catalog.persist_view(t.spark, f"{database}.v_actions", f"SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM parquet.`{t.path('events')}` GROUP BY event_type")
+    return t.spark.newSession().table(f"{database}.v_actions")
+
+
 @query("profile_schema", """
 SELECT (SELECT count(*) FROM events) AS "rows", CAST(ordinal AS INTEGER) AS "position", name AS "column", kind AS "type" FROM (VALUES
  (0, 'event_id', 'bigint'), (1, 'ts', 'timestamp_ntz'), (2, 'user_id', 'bigint'), (3, 'event_type', 'string'), (4, 'value', 'double'),

@@ -55,15 +55,15 @@ def _(t):
 
 
 @query("pivot_sum", "SELECT category, " + ", ".join(
-    f"coalesce(CAST(sum(views) FILTER (status = '{s}') AS BIGINT), 0) AS {s}" for s in STATUSES) + " FROM posts GROUP BY category", "posts")
+    f"coalesce(CAST(sum(views) FILTER (status = '{s}') AS BIGINT), 0) AS {s}" for s in STATUSES) + ", 0::BIGINT AS rest FROM posts GROUP BY category", "posts")
 def _(t):
-    return ops.pivot_sum(t.posts, "category", "status", STATUSES, "views")
+    return ops.pivot_sum(t.posts, "category", "status", "views")
 
 
 @query("crosstab_margins", "SELECT coalesce(category, 'All') AS category, " + ", ".join(
-    f"count(*) FILTER (status = '{s}') AS {s}" for s in STATUSES) + """, count(*) AS "All" FROM posts GROUP BY ROLLUP (category)""", "posts")
+    f"count(*) FILTER (status = '{s}') AS {s}" for s in STATUSES) + """, 0::BIGINT AS rest, count(*) AS "All" FROM posts GROUP BY ROLLUP (category)""", "posts")
 def _(t):
-    return ops.crosstab_margins(t.posts, "category", "status", STATUSES)
+    return ops.crosstab_margins(t.posts, "category", "status")
 
 
 @query("value_counts", "SELECT action, count(*) AS n, round(count(*)::DOUBLE / (SELECT count(action) FROM logs), 9) AS share FROM logs WHERE action IS NOT NULL GROUP BY action", "logs")

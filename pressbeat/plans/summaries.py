@@ -56,15 +56,36 @@ def _(t):
     return rollup.requery(day_rollup(t), ["city"], ["pv", "uv"])
 
 
-@query("rollup_uv_sketch", "SELECT device, count(*) AS pv, TRUE AS close FROM logs GROUP BY device", "logs")
-def _(t):
+def device_sketches(t):
+    """Visitor sketches per device, merged from daily ones of two loads."""
     old, new = halves(t, t.logs)
     keys = ["event_date", "device"]
-    merged = rollup.sketch_rollup(old, keys).unionByName(rollup.sketch_rollup(new, keys))
-    estimated = rollup.sketch_requery(merged, ["device"])
+    return rollup.sketch_requery(rollup.sketch_rollup(old, keys).unionByName(rollup.sketch_rollup(new, keys)), ["device"])
+
+
+@query("rollup_uv_sketch", """
+SELECT device, count(*) AS pv, CAST(count(DISTINCT user_id) AS BIGINT) AS uv, count(DISTINCT user_id) AS exact, TRUE AS within,
+ CASE WHEN count(DISTINCT user_id) <= 16384 THEN 0 ELSE round(count(DISTINCT user_id) * 3 / sqrt(16384), 6) END::DOUBLE AS bound FROM logs GROUP BY device""", "logs")
+def _(t):
     exact = t.logs.groupBy("device").agg(F.count_distinct("user_id").alias("exact"))
-    close = F.abs(F.col("uv") - F.col("exact")) <= F.col("exact") * 0.05
-    return estimated.join(exact, "device").select("device", "pv", close.alias("close"))
+    bound = F.round(rollup.sketch_error(F.col("exact")), 6)
+    known = device_sketches(t).join(exact, "device")
+    return known.select("device", "pv", "uv", "exact", (F.abs(F.col("uv") - F.col("exact")) <= bound).alias("within"), bound.alias("bound"))
+
+
+@query("rollup_uv_overlap", """
+WITH v AS (SELECT DISTINCT device, user_id FROM logs WHERE user_id IS NOT NULL)
+SELECT a.device, b.device AS other, (SELECT count(*) FROM v x JOIN v y USING (user_id) WHERE x.device = a.device AND y.device = b.device) AS "both",
+ (SELECT count(*) FROM v x WHERE x.device = a.device AND user_id NOT IN (SELECT user_id FROM v y WHERE y.device = b.device)) AS only_left,
+ (SELECT count(*) FROM v x WHERE x.device = b.device AND user_id NOT IN (SELECT user_id FROM v y WHERE y.device = a.device)) AS only_right
+FROM (SELECT DISTINCT device FROM v) a JOIN (SELECT DISTINCT device FROM v) b ON a.device < b.device""", "logs")
+def _(t):
+    """Visitors that two devices share, from their sketches alone."""
+    sketches = device_sketches(t).select("device", "visitors")
+    other = sketches.select(F.col("device").alias("other"), F.col("visitors").alias("other_visitors"))
+    # one row for each device
+    pairs = sketches.join(F.broadcast(other), F.col("device") < F.col("other"))
+    return pairs.select("device", "other", *(c.alias(n) for n, c in rollup.sketch_overlap(F.col("visitors"), F.col("other_visitors")).items()))
 
 
 @query("rollup_uv_exact", "SELECT device, count(DISTINCT user_id) AS uv FROM logs GROUP BY device", "logs")

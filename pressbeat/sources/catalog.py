@@ -19,6 +19,11 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def persist_view(spark: SparkSession, name: str, select: str) -> None:
+    """A view that the catalog keeps, for all sessions that share it; its text may name tables and files, not temporary views."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+
+
 def show_tables(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW TABLES")
 

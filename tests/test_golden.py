@@ -196,11 +196,40 @@ def test_silent_users_and_growth(spark):
     assert [r["v_growth"] for r in traffic.growth(months, "month", ["v"]).orderBy("month").collect()] == [None, 50.0, -100.0, None]
 
 
-def test_fluent_analysis(spark, tmp_path):
-    rows = [(1, " A ", "ann", "c", "x, y", 10, 1, 0, "2024-01-02", "published"), (2, "B", "ann", "c", "x", 20, 2, 0, "2024-02-02", "draft")]
-    done = jobs.PostAnalysis.ingest(spark, rows=rows).clean().enrich().analyse().output(str(tmp_path))
-    assert tuple(done.results["author_ranking"].first()) == ("ann", 2, 30, 3)
-    assert spark.read.parquet(str(tmp_path / "posts_enriched")).count() == 2
+def test_post_reports(spark, tmp_path):
+    rows = [(1, " A ", "ann", "c", "x, y", 10, 1, 0, "2024-01-02", "published"), (2, "Bees", "ann", "c", "x", 4000, 2, 0, "2024-02-02", "draft")]
+    paths = jobs.post_reports(spark.createDataFrame(rows, jobs.RAW_POSTS), str(tmp_path))
+    assert spark.read.parquet(paths["posts"]).count() == 2 and spark.read.json(paths["months"]).count() == 2
+    author = spark.read.option("header", True).option("inferSchema", True).csv(paths["authors"]).first()
+    assert (author["n_posts"], author["all_views"], author["mean_views"], author["mean_title_length"], author["n_hot"]) == (2, 4010, 2005.0, 2.5, 1)
+
+
+def test_pivots_keep_every_row(spark):
+    """Values beyond those with columns of their own, and missing ones, are in a column for the rest."""
+    rows = [("a", f"v{i % 9}" if i % 10 else None, i) for i in range(200)] + [("b", "v1", 7), ("b", None, 5), ("c", "zz", 1)]
+    df = spark.createDataFrame(rows, "r string, c string, m int")
+    found = {r["r"]: r.asDict() for r in stats.pivot_sum(df, "r", "c", "m", most=4).collect()}
+    assert len(found["a"]) == 6 and "rest" in found["a"]
+    for key in "abc":
+        assert sum(v for k, v in found[key].items() if k != "r") == sum(m for r, _, m in rows if r == key)
+    total = next(r for r in stats.crosstab_margins(df, "r", "c", most=3).collect() if r["r"] == "All").asDict()
+    assert total["All"] == sum(v for k, v in total.items() if k not in ("r", "All")) == sum(c is not None for _, c, _ in rows)
+    flags = frame.one_hot(df, "c", "is", most=2).collect()
+    assert all(sum(v for k, v in r.asDict().items() if k.startswith("is_")) == 1 for r in flags) and len(flags) == len(rows)
+
+
+def test_sketches_merge_and_overlap(spark):
+    rows = [("a", i % 300) for i in range(900)] + [("b", i) for i in range(200, 500)] + [("b", None)]
+    logs = spark.createDataFrame(rows, "device string, user_id bigint").withColumn("day", F.col("user_id") % 5)
+    merged = rollup.sketch_requery(rollup.sketch_rollup(logs, ["day", "device"]), ["device"])
+    found = {r["device"]: r for r in merged.collect()}
+    assert (found["a"]["uv"], found["b"]["uv"], found["a"]["pv"]) == (300, 300, 900)
+    left, right = merged.filter("device = 'a'").select(F.col("visitors").alias("x")), merged.filter("device = 'b'").select(F.col("visitors").alias("y"))
+    both = left.join(right).select(*(c.alias(n) for n, c in rollup.sketch_overlap(F.col("x"), F.col("y")).items())).first()
+    assert tuple(both) == (100, 200, 200)
+    many = spark.range(200_000).select(F.lit("a").alias("device"), F.col("id").alias("user_id"))
+    uv = rollup.sketch_requery(rollup.sketch_rollup(many, ["device"], 10), ["device"], 10).first()["uv"]
+    assert uv != 200_000 and abs(uv - 200_000) < 3 * 200_000 / 2**5
 
 
 def test_catalog_partitions(spark, tmp_path):
