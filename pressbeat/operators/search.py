@@ -43,15 +43,37 @@ def query_terms(query: str) -> list[str]:
     return list(SparkSession.active().range(1).select(tokens(F.lit(query)).alias("terms")).first()["terms"])
 
 
+def inverted(words: Column) -> Column:
+    """The terms of one document with their positions, made inside its row: sorted by (term, position) and cut where the term changes."""
+
+    def once(value: Column, use) -> Column:
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def cut(placed: Column) -> Column:
+        size = F.size(placed)
+        changes = F.filter(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: (i < size) & (F.get(placed, i)["term"] != F.get(placed, i - 1)["term"]))
+
+        def terms(starts: Column) -> Column:
+            def one(first: Column, k: Column) -> Column:
+                run = F.slice(placed, first + 1, F.coalesce(F.get(starts, k + 1), size) - first)
+                return F.struct(F.get(placed, first)["term"].alias("term"), F.transform(run, lambda x: x["at"]).alias("positions"))
+
+            return F.transform(starts, one)
+
+        return once(F.concat(F.array(F.lit(0)), changes), terms)
+
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("term"), (i + 1).alias("at"))))
+    return F.when(F.size(words) > 0, once(placed, cut))
+
+
 def build_postings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, key, tf, positions, doc_length); positions start at 1."""
+    """(term, key, tf, positions, doc_length); positions start at 1.
+
+    Each row of ``docs`` is inverted by itself, so no single position is shuffled: what a writer sorts are whole postings.
+    """
     cut = use_all_cores(docs.select(key, text)).select(key, tokens(text).alias("_tokens"))
-    placed = cut.select(key, F.size("_tokens").alias("doc_length"), F.posexplode("_tokens").alias("_at", "term"))
-    return placed.groupBy("term", key).agg(
-        F.count(F.lit(1)).alias("tf"),
-        F.array_sort(F.collect_list(F.col("_at") + 1)).alias("positions"),
-        F.first("doc_length").alias("doc_length"),
-    )
+    found = cut.select(key, F.size("_tokens").alias("doc_length"), F.explode(inverted(F.col("_tokens"))).alias("_p"))
+    return found.select("_p.term", key, F.size("_p.positions").cast("bigint").alias("tf"), F.col("_p.positions").alias("positions"), "doc_length")
 
 
 def write_index(postings: DataFrame, key: str, path: str) -> None:
@@ -134,7 +156,7 @@ def phrase(docs: DataFrame, key: str, text: str, query: str) -> DataFrame:
     joined = F.concat(F.lit(" "), F.array_join("_tokens", " "), F.lit(" "))
     found = cut.filter(F.contains(joined, F.lit(" " + " ".join(terms) + " ")))
     starts = F.sequence(F.lit(1), F.size("_tokens") - (len(terms) - 1))
-    hits = F.filter(starts, lambda at: F.slice("_tokens", at, len(terms)) == F.array(*map(F.lit, terms)))
+    hits = F.filter(starts, lambda at: reduce(lambda a, b: a & b, [F.get("_tokens", at + (i - 1)) == F.lit(term) for i, term in enumerate(terms)]))
     return found.select(key, F.size(hits).alias("hits"))
 
 
