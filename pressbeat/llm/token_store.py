@@ -13,6 +13,7 @@ id. A document longer than a segment's bound gets a segment of its own. Other co
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
@@ -126,6 +127,17 @@ class Segment:
         return np.frombuffer(self.data, f"<u{self.width}", end - start, start * self.width)
 
 
+# What a vocabulary file states if its words never cross white space and plain words are only put in lower case.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class Pieces(dict):
     """The packed ids of a piece of text without spaces; the library encodes each piece once while it is kept."""
 
@@ -137,7 +149,10 @@ class Pieces(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.apart = spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == SPLITTER
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.words: dict[str, bytes] = {}
 
@@ -146,6 +161,9 @@ class Pieces(dict):
         if PLAIN.fullmatch(text):
             spelled = text.lower().encode().decode("latin-1").translate(BYTE_SIGNS)
             return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], f"<u{self.width}").tobytes()
+        return self.whole(text)
+
+    def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
 
     def __missing__(self, piece: str) -> bytes:
@@ -180,7 +198,13 @@ def pieces_of(path: str) -> Pieces:
 
 
 def packed(text: str, pieces: Pieces) -> bytes:
-    """The ids of a text: this vocabulary's words never cross white space, so its pieces can be encoded apart."""
+    """The ids of a text as the library gives them.
+
+    Where the vocabulary's words never cross white space the pieces between spaces are encoded apart; a text that spells out a special token, and every text of
+    another kind of vocabulary, is encoded whole.
+    """
+    if not pieces.apart or any(s in text for s in pieces.special):
+        return pieces.whole(text)
     return b"".join(map(pieces.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 

@@ -56,6 +56,21 @@ def test_token_store(spark, sf, odd):
     assert token_store.store_and_read(odd.limit(0), WORDS).collect() == []
 
 
+def test_token_ids_are_the_librarys():
+    """Random texts with special strings, signs, accents and white space; and a vocabulary of another kind is encoded whole."""
+    from tokenizers import Tokenizer
+
+    coder, pieces = Tokenizer.from_file(WORDS), token_store.Pieces(WORDS)
+    assert pieces.apart and set(pieces.special) == {"<|startoftext|>", "<|endoftext|>"}
+    rng = random.Random(5)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "Word", "don't", " ", "  ", "\n", "\t", "e\u0301", "ÉÀ", "12", ".", "!?", "ー字", "<|EndOfText|>", "\u00a0", "x"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 12))) for _ in range(3000)]
+    for other in (True, False):
+        for text in texts:
+            assert np.frombuffer(token_store.packed(text, pieces), f"<u{pieces.width}").tolist() == coder.encode(text, add_special_tokens=False).ids
+        pieces.apart = False
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_elias_fano_select(seed):
     rng = random.Random(seed)
