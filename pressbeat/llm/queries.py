@@ -46,7 +46,9 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
-    return chat.digests(materialize(chat.format_conversations(rows.unionByName(extra)), "chat"))
+    # formatted apart, so that a conversation -1 of the table stays one of its own
+    both = chat.format_conversations(rows).unionByName(chat.format_conversations(extra.select(*(F.col(c).cast(t) for c, t in rows.dtypes))))
+    return chat.digests(materialize(both, "chat"))
 
 
 def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
