@@ -35,13 +35,13 @@ def stream(t):
     return stream_events.timed(stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=FILES)), end)
 
 
-def stream_query(name, sql=None, *logical, stored="events"):
-    """Register a query that runs a stream, with state partitions sized to the table it replays."""
+def stream_query(name, sql=None, *logical, stored="events", rocks=False):
+    """Register a query that runs a stream, with state partitions sized to the table it replays; ``rocks`` where keys never leave the state, or timers do it."""
 
     def register(fn):
         def run(t):
             # records of text take a few times the room of the stored columns
-            return fn(Tables(sinks.stream_session(t.spark, 4 * estimated_bytes(t.raw(stored))), t.sf_dir))
+            return fn(Tables(sinks.stream_session(t.spark, 4 * estimated_bytes(t.raw(stored)), rocks), t.sf_dir))
 
         return query(name, sql, *logical)(run)
 
@@ -153,7 +153,7 @@ SELECT post_id, count(*) AS n, max(event_time) + INTERVAL 1 HOUR AS expires FROM
  SELECT *, sum(fresh) OVER (PARTITION BY post_id ORDER BY event_time, log_id ROWS UNBOUNDED PRECEDING) AS life FROM (
   SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY post_id ORDER BY event_time, log_id) <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh
   FROM logs WHERE action = 'view'))
-GROUP BY post_id, life""", "logs")
+GROUP BY post_id, life""", "logs", rocks=True)
 def _(t):
     return sinks.run_append(state.expiring_counts(stream(t).filter("action = 'view'"), "post_id", 3600))
 
@@ -167,36 +167,36 @@ def _(t):
     return sinks.run_append(windows.cumulating(stream(t), "1 hour", "24 hours", 24, ["action"]))
 
 
-@stream_query("stream_type_counts", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs")
+@stream_query("stream_type_counts", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs", rocks=True)
 def _(t):
     return sinks.run_upsert(windows.counts_by(stream(t), "action"), ["action"])
 
 
-@stream_query("stream_post_counts", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id", "logs")
+@stream_query("stream_post_counts", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id", "logs", rocks=True)
 def _(t):
     return sinks.run_upsert(windows.counts_by(stream(t).filter("action = 'view'"), "post_id"), ["post_id"])
 
 
-@stream_query("stream_keyword_counts", "SELECT 'kw' || post_id AS keyword, count(*) AS n FROM logs WHERE action = 'search' GROUP BY 1", "logs")
+@stream_query("stream_keyword_counts", "SELECT 'kw' || post_id AS keyword, count(*) AS n FROM logs WHERE action = 'search' GROUP BY 1", "logs", rocks=True)
 def _(t):
     return sinks.run_upsert(windows.counts_by(stream(t).filter("action = 'search'"), "keyword"), ["keyword"])
 
 
 @stream_query("stream_reduce_max", """
-SELECT post_id, max(duration) AS longest, min(duration) AS shortest, round(sum(duration), 4) AS total FROM logs WHERE action <> 'search' GROUP BY post_id""", "logs")
+SELECT post_id, max(duration) AS longest, min(duration) AS shortest, round(sum(duration), 4) AS total FROM logs WHERE action <> 'search' GROUP BY post_id""", "logs", rocks=True)
 def _(t):
     return sinks.run_upsert(windows.longest_by(stream(t).filter("post_id IS NOT NULL"), "post_id"), ["post_id"])
 
 
 @stream_query("stream_flatmap", """
-SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word""", stored="documents")
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word""", stored="documents", rocks=True)
 def _(t):
     texts = t.spark.readStream.schema("text string").parquet(f"{t.sf_dir}/documents.parquet{'' if t.is_folder('documents') else '*'}")
     words = texts.select(F.explode(F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")).alias("word")).filter("word <> ''")
     return sinks.run_upsert(windows.counts_by(words, "word"), ["word"])
 
 
-@stream_query("stream_union", "SELECT action, count(*) AS n FROM logs WHERE action IN ('view', 'like') GROUP BY action", "logs")
+@stream_query("stream_union", "SELECT action, count(*) AS n FROM logs WHERE action IN ('view', 'like') GROUP BY action", "logs", rocks=True)
 def _(t):
     views, likes = (stream(t).filter(F.col("action") == action).select("action", "event_time") for action in ("view", "like"))
     return sinks.run_upsert(windows.counts_by(views.union(likes), "action"), ["action"])
@@ -210,14 +210,14 @@ def _(t):
     return sinks.run_append(windows.tumbling(windows.once(twice, "event_id"), "1 day", ["action"]))
 
 
-@stream_query("stream_top5", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id ORDER BY n DESC, post_id LIMIT 5", "logs")
+@stream_query("stream_top5", "SELECT post_id, count(*) AS n FROM logs WHERE action = 'view' GROUP BY post_id ORDER BY n DESC, post_id LIMIT 5", "logs", rocks=True)
 def _(t):
     counts = windows.counts_by(stream(t).filter("action = 'view'"), "post_id")
     return sinks.run_complete(counts.orderBy(F.desc("n"), "post_id").limit(5))
 
 
 @stream_query("stream_sql_view", """
-SELECT post_id, count(*) AS n, max(event_time) AS latest FROM logs WHERE action = 'view' GROUP BY post_id HAVING count(*) > 15""", "logs")
+SELECT post_id, count(*) AS n, max(event_time) AS latest FROM logs WHERE action = 'view' GROUP BY post_id HAVING count(*) > 15""", "logs", rocks=True)
 def _(t):
     view = f"live_{uuid.uuid4().hex}"
     stream(t).createOrReplaceTempView(view)
@@ -227,20 +227,20 @@ def _(t):
     return latest.withColumn("latest", F.col("latest").cast("timestamp_ntz"))
 
 
-@stream_query("stream_uv", "SELECT action, count(DISTINCT user_id) AS uv, max(event_time) AS latest FROM logs WHERE user_id IS NOT NULL GROUP BY action", "logs")
+@stream_query("stream_uv", "SELECT action, count(DISTINCT user_id) AS uv, max(event_time) AS latest FROM logs WHERE user_id IS NOT NULL GROUP BY action", "logs", rocks=True)
 def _(t):
     pairs = sinks.run_upsert(windows.visitors(stream(t), "action"), ["action", "user_id"])
     return pairs.groupBy("action").agg(F.count(F.lit(1)).alias("uv"), F.max("latest").cast("timestamp_ntz").alias("latest"))
 
 
 @stream_query("stream_hot_tier", """
-SELECT post_id, count(*) AS n, CASE WHEN count(*) >= 25 THEN 'hot' WHEN count(*) >= 18 THEN 'warm' ELSE 'normal' END AS level FROM logs WHERE action = 'view' GROUP BY post_id""", "logs")
+SELECT post_id, count(*) AS n, CASE WHEN count(*) >= 25 THEN 'hot' WHEN count(*) >= 18 THEN 'warm' ELSE 'normal' END AS level FROM logs WHERE action = 'view' GROUP BY post_id""", "logs", rocks=True)
 def _(t):
     return sinks.run_upsert(windows.hot_tiers(stream(t), 25, 18), ["post_id"])
 
 
 @stream_query("stream_heat", """
-SELECT post_id, CAST(sum(CASE action WHEN 'view' THEN 1 WHEN 'like' THEN 5 WHEN 'comment' THEN 10 WHEN 'share' THEN 8 END) AS BIGINT) AS heat FROM logs WHERE action <> 'search' GROUP BY post_id""", "logs")
+SELECT post_id, CAST(sum(CASE action WHEN 'view' THEN 1 WHEN 'like' THEN 5 WHEN 'comment' THEN 10 WHEN 'share' THEN 8 END) AS BIGINT) AS heat FROM logs WHERE action <> 'search' GROUP BY post_id""", "logs", rocks=True)
 def _(t):
     return sinks.run_upsert(windows.heat(stream(t).filter("post_id IS NOT NULL")), ["post_id"])
 
@@ -253,7 +253,7 @@ def _(t):
     return sinks.run_rollup(facts, rollup.post_rollup, rollup.POST_KEYS)
 
 
-@stream_query("stream_resume", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs")
+@stream_query("stream_resume", "SELECT action, count(*) AS n FROM logs GROUP BY action", "logs", rocks=True)
 def _(t):
     """A run over the first part of the topic, then a second one from its checkpoint over the rest."""
     path, checkpoint, out = (scratch_path(t.spark, label) for label in ("topic", "checkpoint", "resumed"))

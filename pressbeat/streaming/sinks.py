@@ -23,16 +23,17 @@ EVERY = "30 seconds"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(spark: SparkSession, input_bytes: int, **settings: str) -> SparkSession:
+def stream_session(spark: SparkSession, input_bytes: int, rocks: bool = True, **settings: str) -> SparkSession:
     """A session for streams over ``input_bytes``; the caller's own is left as it is.
 
-    State is in RocksDB, on the executors' disks and in the checkpoint, so its size is not bound by their memory. The number of state
-    partitions is fixed when a checkpoint begins, and adaptive execution does not merge them: one per 64 MB of input, at least one per core and at
+    With ``rocks`` state is in RocksDB, on the executors' disks and in the checkpoint, so its size is not bound by their memory; windows that close behind a
+    watermark keep little and do without, timers need it. The number of state partitions is fixed when a checkpoint begins, and adaptive execution does not merge them: one per 64 MB of input, at least one per core and at
     most the shuffle partitions of ``spark``.
     """
     setting = "spark.sql.shuffle.partitions"
     number = min(int(spark.conf.get(setting)), max(spark.sparkContext.defaultParallelism, input_bytes // BYTES_PER_STATE_PARTITION))
-    return derived_session(spark, **{setting: str(number), "spark.sql.streaming.stateStore.providerClass": ROCKS, **settings})
+    store = {"spark.sql.streaming.stateStore.providerClass": ROCKS} if rocks else {}
+    return derived_session(spark, **{setting: str(number), **store, **settings})
 
 
 def paced(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
