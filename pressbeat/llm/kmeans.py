@@ -163,5 +163,5 @@ def clusters(embeddings: DataFrame) -> DataFrame:
     digests = spark.createDataFrame(named, "cluster int, centroid_sha256 string")
     # one row for each centroid
     per = materialize(state.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia")), "inertia")
-    whole = per.crossJoin(F.broadcast(per.agg(F.sum("cluster_inertia").alias("inertia")))).join(F.broadcast(digests), "cluster")
+    whole = per.withColumn("inertia", per.agg(F.sum("cluster_inertia")).scalar()).join(F.broadcast(digests), "cluster")
     return state.join(F.broadcast(whole), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256", "evaluated")

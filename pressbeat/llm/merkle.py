@@ -170,8 +170,7 @@ def proofs(docs: DataFrame) -> DataFrame:
     subroots = materialize(tops.select("tree", F.col("top").alias("subroot")), "subroots")
     segments, top = tree(subroots.select(F.lit(0).alias("tree"), F.lit(above).alias("depth"), F.col("tree").alias("idx"), F.col("subroot").alias("node")), above)
     top_paths = jumped(segments, above).select(F.col("idx").alias("tree"), F.col("path").alias("top_path"))
-    root = top.select(F.col("top").alias("root"))
-    upper = materialize(subroots.join(top_paths, "tree", "left").crossJoin(F.broadcast(root)), "upper")
+    upper = materialize(subroots.join(top_paths, "tree", "left").withColumn("root", top.select("top").scalar()), "upper")
     whole = F.concat(F.coalesce("path", F.lit(b"")), F.coalesce("top_path", F.lit(b"")))
     known = rows.join(paths, ["tree", "idx"], "left").join(bounded(upper), "tree")
     return known.select("doc_id", "leaf", "tampered", "subroot", "root", whole.alias("path"))
