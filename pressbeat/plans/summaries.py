@@ -82,9 +82,10 @@ FROM (SELECT DISTINCT device FROM v) a JOIN (SELECT DISTINCT device FROM v) b ON
 def _(t):
     """Visitors that two devices share, from their sketches alone."""
     sketches = device_sketches(t).select("device", "visitors")
-    other = sketches.select(F.col("device").alias("other"), F.col("visitors").alias("other_visitors"))
-    # one row for each device
-    pairs = sketches.join(F.broadcast(other), F.col("device") < F.col("other"))
+    # one sketch for each device
+    listed = sketches.agg(F.collect_list(F.struct("device", "visitors"))).scalar()
+    pairs = sketches.withColumn("listed", listed).select("device", "visitors", F.explode(F.filter("listed", lambda x: x["device"] > F.col("device"))).alias("x"))
+    pairs = pairs.select("device", "visitors", F.col("x.device").alias("other"), F.col("x.visitors").alias("other_visitors"))
     return pairs.select("device", "other", *(c.alias(n) for n, c in rollup.sketch_overlap(F.col("visitors"), F.col("other_visitors")).items()))
 
 
