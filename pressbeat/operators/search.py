@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressbeat.operators.ordered import block_count
+from pressbeat.operators.ordered import BLOCK_BYTES
 from pressbeat.storage import materialize, use_all_cores
 
 # BM25 parameters.
@@ -76,9 +76,23 @@ def build_postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     return found.select("_p.term", key, F.size("_p.positions").cast("bigint").alias("tf"), F.col("_p.positions").alias("positions"), "doc_length")
 
 
+#: Bytes of a posting in memory besides its term and its positions.
+POSTING_BYTES = 96
+
+
+def index_blocks(postings: DataFrame) -> int:
+    """One block per 128 MB that the postings take in memory, by their own terms and positions: they are many times the stored texts."""
+    size = F.sum(F.lit(POSTING_BYTES) + F.octet_length("term") + F.size("positions") * 4)
+    return max(4, int(postings.agg(size).first()[0] or 0) // BLOCK_BYTES)
+
+
 def write_index(postings: DataFrame, key: str, path: str) -> None:
-    """Sorted by (term, document): a term's rows are contiguous, and a common term spans several files."""
-    ranged = postings.repartitionByRange(block_count(postings), "term", key)
+    """Sorted by (term, document): a term's rows are contiguous, and a common term spans several files.
+
+    The postings are written unsorted first: the texts are cut once, not again for the range bounds, and the number of blocks follows the true size.
+    """
+    written = materialize(postings, "postings")
+    ranged = written.repartitionByRange(index_blocks(written), "term", key)
     ranged.sortWithinPartitions("term", key).write.parquet(path)
 
 

@@ -224,3 +224,15 @@ def test_persisted_rows_are_released(spark):
 def test_session_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert files.SAVE_MODES[0] == "append"
+
+
+def test_index_blocks_follow_the_postings_and_not_the_stored_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "BLOCK_BYTES", 64 * 1024)
+    path = str(tmp_path / "docs")
+    words = [" ".join(f"w{k}" for k in range(500))] * 100  # one text in the file's dictionary, 50,000 postings in memory
+    spark.createDataFrame([(i, text) for i, text in enumerate(words)], "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    search.write_index(search.build_postings(spark.read.parquet(path), "doc_id", "text"), "doc_id", str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    sizes = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 50_000 and len(sizes) > 40 and max(sizes) < 5_000
+    assert {(r.doc_id, r.hits) for r in search.phrase_in_index(index, "doc_id", "w7 w8").collect()} == {(i, 1) for i in range(100)}
