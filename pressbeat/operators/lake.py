@@ -11,7 +11,7 @@ import json
 from collections.abc import Mapping, Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -211,13 +211,33 @@ class VersionedTable:
     # ---- comparing and retiring versions
 
     def diff(self, before: int, after: int) -> DataFrame:
-        """Rows added or changed between two versions, found from the commits in between."""
-        schema = self._state(after)[2]
-        touched = self._stored(schema, before + 1, after).select(*self.key).distinct()
-        names = [f.name for f in self._state(before)[2].fields]
+        """Rows added or changed between two versions, found from the commits in between.
+
+        The stored rows of both versions meet the keys of these commits and each other by one shuffle; only rows of these keys go further, and a few
+        keys are broadcast, so that other rows are not shuffled.
+        """
+        _version, low, schema, _changed = self._state(before)
+        start = self._state(after)[1]
+        names = schema.fieldNames()
         rest = [n for n in names if n not in self.key]
-        old = self.read(before).join(touched, self.key, "left_semi").select(*self.key, F.struct(*rest).alias("old_row"), F.xxhash64(*rest).alias("old_hash"))
-        new = self.read(after).join(touched, self.key, "left_semi").select(*self.key, F.struct(*rest).alias("new_row"), F.xxhash64(*rest).alias("new_hash"))
+        at, update = F.col(SNAPSHOT), F.col(CHANGE) == "update"
+        touched = self._stored(schema, before + 1, after).select(*self.key).distinct()
+        stored = self._stored(schema, min(low, start), after).select(*names, CHANGE, SNAPSHOT).join(touched, self.key, "left_semi")
+        of_key = Window.partitionBy(*self.key)
+        by_commit = of_key.orderBy(SNAPSHOT, CHANGE)
+        # of a commit's changes to one key one is read
+        again = F.coalesce((F.lag(SNAPSHOT).over(by_commit) == at) & (F.lag(CHANGE).over(by_commit) == F.col(CHANGE)), F.lit(False))
+
+        def newest(first: int, last: int) -> Column:
+            return F.max(F.when(update & at.between(first, last), at)).over(of_key)
+
+        def inside(first: int, last: int, changed: str) -> Column:
+            is_newest = F.when(update, (at == F.col(changed)) & ~F.col("_again")).otherwise(F.col(changed).isNull() | (F.col(changed) <= at))
+            return at.between(first, last) & is_newest
+
+        placed = stored.withColumn("_again", again).withColumns({"_before": newest(low, before), "_after": newest(start, after)})
+        old = placed.filter(inside(low, before, "_before")).select(*self.key, F.struct(*rest).alias("old_row"), F.xxhash64(*rest).alias("old_hash"))
+        new = placed.filter(inside(start, after, "_after")).select(*self.key, F.struct(*rest).alias("new_row"), F.xxhash64(*rest).alias("new_hash"))
         joined = old.join(new, self.key, "full")
         same = (F.col("old_hash") == F.col("new_hash")) & F.col("old_row").eqNullSafe(F.col("new_row"))
         change = F.when(F.col("old_row").isNull(), "added").when(F.col("new_row").isNull(), "removed").when(~same, "changed")

@@ -236,3 +236,19 @@ def test_index_blocks_follow_the_postings_and_not_the_stored_texts(spark, tmp_pa
     sizes = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
     assert sum(sizes) == 50_000 and len(sizes) > 40 and max(sizes) < 5_000
     assert {(r.doc_id, r.hits) for r in search.phrase_in_index(index, "doc_id", "w7 w8").collect()} == {(i, 1) for i in range(100)}
+
+
+def test_lake_differences_shuffle_each_stored_row_once(spark, lake):
+    lake.update_where(F.col("post_id") <= 5, {"likes": F.col("likes") + 1}, "2026-01-04 00:00:00")
+    version = merge(lake, spark, [(1, 900, 40), (99, 7, 1)], "2026-01-05 00:00:00")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        changes = lake.diff(2, version)
+        found = {r["post_id"]: (r["change"], r["old_row"] and r["old_row"]["likes"], r["new_row"]["likes"]) for r in changes.collect()}
+        plan = changes._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    likes = {r[0]: r[3] for r in ROWS}
+    assert found == {k: ("changed", n, 40 if k == 1 else n + 1) for k, n in likes.items() if k <= 5} | {99: ("added", None, 1)}
+    shuffles = [line for line in plan.splitlines() if "- Exchange hashpartitioning" in line]
+    assert len(shuffles) == 2  # the stored rows and the keys of the commits; all else reads these again
