@@ -268,6 +268,8 @@ def _(t):
 
 
 LATE_BEFORE, STEPS, REMEMBERED = "2024-01-11", 24, 5
+#: Rows of the log for each file of a step: some 25 MB of records.
+FILE_ROWS = 100_000
 
 
 @stream_query("stream_late_audit", f"""
@@ -278,14 +280,15 @@ def _(t):
     """Rows kept and lost when the first days of the log arrive last, after many small batches of the others.
 
     A row is late against the watermark of the batch before the last one. The totals come from a listener, and so cover many times the batches
-    that the query itself is set to remember.
+    that the query itself is set to remember. A batch is as many files as its size asks for, so no part of the log is written or read by one task.
     """
     early = F.col("event_date") < F.lit(LATE_BEFORE).cast("date")
-    path = source.publish_in_order(source.to_event_records(t.logs.filter(~early)), scratch_path(t.spark, "late-topic"), STEPS)
-    source.publish(source.to_event_records(t.logs.filter(early)), path, slices=1, files=1)
+    each = max(1, t.raw("events").count() // (STEPS * FILE_ROWS))
+    path = source.publish_in_order(source.to_event_records(t.logs.filter(~early)), scratch_path(t.spark, "late-topic"), STEPS, each)
+    source.publish(source.to_event_records(t.logs.filter(early)), path, slices=1, files=each)
     _known, end = topic(t)
     source.publish_end(t.spark, path, end)
-    parsed = stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=1))
+    parsed = stream_events.parse_events(source.read_events(t.spark, path, files_per_trigger=each))
     hourly = windows.tumbling(stream_events.timed(parsed, end), "1 hour", ["action"])
     out = scratch_path(t.spark, "late")
     # the state is a few counts an hour; what costs is opening each of its partitions in each batch

@@ -80,26 +80,37 @@ def publish(records: DataFrame, path: str, slices: int = 3, files: int | None =
     return path
 
 
-def publish_in_order(records: DataFrame, path: str, files: int) -> str:
-    """Append the records to a file topic as ``files`` files in the order of event time.
+def publish_in_order(records: DataFrame, path: str, steps: int, each: int = 1) -> str:
+    """Append the records to a file topic in ``steps`` steps of event time, each of ``each`` files that tasks write and read side by side.
 
-    The reader takes files by their modification times, which are set a second apart up to now; ``files`` names pass the driver.
+    The reader takes files by their modification times, which are set a second apart up to now; the names of all files pass the driver. Where
+    many records have one time there are fewer files; empty ones then fill the last step, so that a later file is in a step of its own.
     """
     spark = records.sparkSession
     staged = scratch_path(spark, "ordered")
-    ranged = records.repartitionByRange(files, "event_time").sortWithinPartitions("event_time")
+    ranged = records.repartitionByRange(steps * each, "event_time").sortWithinPartitions("event_time")
     ranged.select("key", "value").write.parquet(staged)
-    store, folder = file_system(spark, staged)
     target, last = spark._jvm.org.apache.hadoop.fs.Path(path), int(time.time()) - 1
+    store, parts = _parts(spark, staged)
     store.mkdirs(target)
-    parts = sorted((s.getPath().getName(), s.getPath()) for s in store.listStatus(folder) if s.getPath().getName().startswith("part-"))
-    for i, (name, part) in enumerate(parts):
-        moved = spark._jvm.org.apache.hadoop.fs.Path(target, name)
+    for _ in range(-len(parts) % each):
+        empty = scratch_path(spark, "ordered")
+        spark.createDataFrame([], RECORD_SCHEMA).write.parquet(empty)
+        parts += _parts(spark, empty)[1]
+    for i, part in enumerate(parts):
+        moved = spark._jvm.org.apache.hadoop.fs.Path(target, f"{i:06d}-{part.getName()}")
         store.rename(part, moved)
         store.setTimes(moved, (last - len(parts) + i) * 1000, -1)
     return path
 
 
+def _parts(spark: SparkSession, path: str) -> tuple:
+    """The store of a written folder, and its part files in the order of their tasks."""
+    store, folder = file_system(spark, path)
+    found = [s.getPath() for s in store.listStatus(folder)]
+    return store, sorted((p for p in found if p.getName().startswith("part-")), key=lambda p: p.getName())
+
+
 def publish_end(spark: SparkSession, path: str, at: str) -> None:
     """A last record that carries the watermark past every open window, as a bounded input's end does."""
     time.sleep(1)

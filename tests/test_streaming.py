@@ -246,3 +246,22 @@ def test_searches_carry_no_key(spark, tables):
 def test_console(spark, tmp_path):
     write(spark, tmp_path / "t", SAMPLE)
     sinks.run_console(windows.counts_by(stream(spark, tmp_path / "t"), "action"))
+
+
+def test_late_audit_takes_several_files_a_batch(spark, tmp_path, monkeypatch):
+    from pressbeat.plans import streams
+    from pressbeat.plans.base import QUERIES
+
+    # some of of the later rows have one time, so that there are fewer files than asked for
+    rows = [(i, f"2024-01-{1 + i % 10:02d} 00:{i % 60:02d}:00", "view") for i in range(100)]
+    rows += [(1000 + i, "2024-01-20 00:00:00" if i < 80 else f"2024-01-{12 + i % 17:02d} 01:00:{i % 60:02d}", "click") for i in range(240)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts string, event_type string").selectExpr(
+        "event_id", "CAST(ts AS timestamp_ntz) AS ts", "1L AS user_id", "event_type", "1.0D AS value", """'{"k": 1}' AS props""")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    published, taken = streams.source.publish_in_order, []
+    monkeypatch.setattr(streams, "FILE_ROWS", 25)
+    monkeypatch.setattr(streams, "STEPS", 4)
+    monkeypatch.setattr(streams.source, "publish_in_order", lambda *a: (taken.append(a[2:]), published(*a))[1])
+    found = QUERIES["stream_late_audit"](spark, str(tmp_path)).first()
+    assert taken == [(4, 3)]
+    assert (found.kept, found.late, found.late_combinations, found.records) == (240, 100, 10, 341)
