@@ -3,9 +3,10 @@
 Tokens are the words of a text, A-Z in lower case, and one end. The OWN most frequent words are symbols of their own, all others
 share HASHED symbols by a hash, the end is the last symbol. A word of a shared symbol has its smoothed share of that symbol's
 count, so every word, seen or not, has a probability. Baum-Welch expectations are summed in each task, added up across
-partitions and collected as one value per model parameter, which is a bounded number. Training and likelihoods are over whole texts: the
-scaled forward state is kept at every PIECE-th token, and the backward pass works its way from the last piece to the first, each piece's forward states
-made anew, so memory holds one piece of the texts at hand.
+partitions and collected as one value per model parameter, which is a bounded number. Training and likelihoods are over whole texts: the steps
+of the texts at hand are cut into pieces of about PIECE tokens, the scaled forward state is kept where a piece begins, and the backward pass works its way
+from the last piece to the first, each piece's forward states made anew, so memory holds one piece. Within a piece, emissions are looked up and
+expectations summed at once; states are scaled at every SCALED-th step, between which they lose far less than a double holds.
 
 Counts of all words stay distributed. The words above a count that at most TOP words reach, found from a histogram of the counts, are looked up in the task; the rest of a text's words meet their
 counts in a join of (row, word, n), from which the frequent words, and so the skew, are gone.
@@ -29,24 +30,35 @@ from pyspark.sql import functions as F
 
 from pressbeat.llm.common import lengthy, map_arrow, materialize, numbered, text_of
 
-STATES, OWN, HASHED, TOP, PIECE, ROUNDS, STAY = 6, 2048, 512, 65536, 512, 5, 0.95
+STATES, OWN, HASHED, TOP, PIECE, SCALED, ROUNDS, STAY = 6, 2048, 512, 65536, 1 << 18, 8, 5, 0.95
 #: Texts of more tokens wait for each other, so that a step of the recursion covers several of them.
 LENGTHY, HELD = 2048, 250_000
 END = ""
 SYMBOLS = OWN + HASHED + 1
 LAST = SYMBOLS - 1
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+PREPARED = bytes.maketrans(b"\t\n\x0b\x0c\r" + UPPER.encode(), b"     " + LOWER.encode())
 
 
 def words_in(text: str) -> list[str]:
     """The words of a prepared text, whose only separator is the space."""
-    return [w for w in text.split(" ") if w]
+    return list(filter(None, text.split(" ")))
+
+
+def lowered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches with the texts of ``column`` prepared: A-Z in lower case and every separator as a space, byte by byte, as UTF-8 allows."""
+    for batch in batches:
+        texts = batch.column(column)
+        valid, ends, data = texts.buffers()
+        if data is not None:
+            data = pa.py_buffer(data.to_pybytes().translate(PREPARED))
+        yield batch.set_column(column, batch.schema.field(column), pa.Array.from_buffers(texts.type, len(texts), [valid, ends, data], texts.null_count, texts.offset))
 
 
 def prepared(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, and the text with A-Z in lower case and every separator as a space."""
+    """doc_id, held_out, and the text, a null as empty."""
     held = F.coalesce(F.crc32(F.col(key).cast("string")) % 10 == 0, F.lit(False))
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), held.alias("held_out"), F.translate(text_of(text), "\t\n\x0b\x0c\r" + UPPER, "     " + LOWER).alias("text"))
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), held.alias("held_out"), text_of(text).alias("text"))
 
 
 def word_counts(train: DataFrame, flush: int = 300_000) -> DataFrame:
@@ -58,7 +70,7 @@ def word_counts(train: DataFrame, flush: int = 300_000) -> DataFrame:
         def cut() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "c"])
 
-        for batch in lengthy(batches):
+        for batch in lengthy(lowered(batches, 0)):
             for text in batch.column(0).to_pylist():
                 seen.update(words_in(text))
                 seen[END] += 1
@@ -152,72 +164,114 @@ def active(sequences: list[np.ndarray]) -> tuple[np.ndarray, list[int], np.ndarr
     longer = (len(sizes) - np.cumsum(counts))[: sizes.max() if len(sizes) else 0]
     offsets = np.concatenate([[0], np.cumsum(longer)])
     steps = np.empty(offsets[-1], np.int64)
-    at = np.concatenate([np.arange(n) for n in sizes[order]]) if len(sizes) else np.zeros(0, np.int64)
     lane = np.repeat(np.arange(len(sizes)), sizes[order])
+    at = np.arange(len(lane)) - np.repeat(np.cumsum(sizes[order]) - sizes[order], sizes[order])
     steps[offsets[at] + lane] = np.concatenate([sequences[k] for k in order]) if len(sizes) else 0
     return order, longer.tolist(), steps
 
 
+class Steps:
+    """Sequences side by side, their steps in pieces, and the scaled forward recursion over a piece."""
+
+    def __init__(self, sequences: list[np.ndarray], model: Model) -> None:
+        self.order, longer, self.symbols = active(sequences)
+        self.longer, self.model = longer, model
+        self.offsets = [0, *np.cumsum(longer, dtype=np.int64).tolist()]
+        self.cuts = [0]
+        for t in range(1, len(longer)):
+            if self.offsets[t + 1] - self.offsets[self.cuts[-1]] > PIECE:
+                self.cuts.append(t)
+        self.cuts.append(len(longer))
+
+    def forward(self, k: int, state: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+        """The states and emissions of the k-th piece, a row for each token, after ``state``, and the scales of the steps that were scaled."""
+        low, high = self.cuts[k], self.cuts[k + 1]
+        base = self.offsets[low]
+        emits = self.model.emit.take(self.symbols[base : self.offsets[high]], 0)
+        states, scales = np.empty_like(emits), {}
+        ones, move = np.ones(STATES), self.model.move
+        for t in range(low, high):
+            n, at = self.longer[t], self.offsets[t] - base
+            now, emit = states[at : at + n], emits[at : at + n]
+            if state is None:
+                np.multiply(emit, self.model.start, now)
+            else:
+                np.dot(state[:n], move, now)
+                now *= emit
+            if t % SCALED == SCALED - 1 or t == high - 1:
+                scales[t] = now @ ones
+                now /= scales[t][:, None]
+            state = now
+        return states, emits, scales
+
+    def last(self, k: int, states: np.ndarray) -> np.ndarray:
+        return states[self.offsets[self.cuts[k + 1] - 1] - self.offsets[self.cuts[k]] :]
+
+    def ends(self, k: int) -> np.ndarray:
+        """For each token of the k-th piece, whether its sequence ends there."""
+        low, high = self.cuts[k], self.cuts[k + 1]
+        longer = np.array(self.longer[low : high + 1] + [0] * (high + 1 > len(self.longer)), np.int64)
+        lane = np.arange(self.offsets[high] - self.offsets[low]) - np.repeat(np.array(self.offsets[low:high]) - self.offsets[low], longer[:-1])
+        return lane >= np.repeat(longer[1:], longer[:-1])
+
+
 def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     """log10 of the exact likelihood of each sequence by the scaled forward recursion, all sequences a step at a time."""
-    order, longer, steps = active(sequences)
-    state = np.repeat(model.start[None, :], len(sequences), 0)
-    logs = np.zeros(len(sequences))
-    at = 0
-    for t, n in enumerate(longer):
-        state = (state[:n] if t == 0 else state[:n] @ model.move) * model.emit[steps[at : at + n]]
-        scale = state.sum(1)
-        state /= scale[:, None]
-        logs[:n] += np.log10(scale)
-        at += n
+    steps = Steps(sequences, model)
+    logs, state = np.zeros(len(sequences)), None
+    for k in range(len(steps.cuts) - 1):
+        states, _, scales = steps.forward(k, state)
+        if not len(states):
+            break
+        for scale in scales.values():
+            logs[: len(scale)] += np.log10(scale)
+        # the sums of the last states; where a sequence ends on a scaled step they are one
+        ends = np.flatnonzero(steps.ends(k))
+        step = np.searchsorted(steps.offsets, ends + steps.offsets[steps.cuts[k]], "right") - 1
+        logs[ends + steps.offsets[steps.cuts[k]] - np.array(steps.offsets)[step]] += np.log10(states[ends].sum(1))
+        state = steps.last(k, states).copy()
     out = np.zeros(len(sequences))
-    out[order] = logs
+    out[steps.order] = logs
     return out
 
 
 def expectations(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     """Expected starts, moves and emissions of whole sequences."""
-    _, longer, steps = active(sequences)
-    offsets = np.concatenate([[0], np.cumsum(longer)])
-
-    def forward(state: np.ndarray, low: int, high: int) -> tuple[list, list, list]:
-        """The scaled states, emissions and scales of the steps from ``low`` to ``high``, after ``state``."""
-        states, emits, scales = [], [], []
-        for t in range(low, high):
-            n = longer[t]
-            emit = model.emit[steps[offsets[t] : offsets[t] + n]]
-            state = (state[:n] if t == 0 else state[:n] @ model.move) * emit
-            scale = state.sum(1, keepdims=True)
-            state = state / scale
-            states.append(state)
-            emits.append(emit)
-            scales.append(scale)
-        return states, emits, scales
-
-    cuts = list(range(0, len(longer), PIECE))
-    marks = [np.repeat(model.start[None, :], len(sequences), 0)]
-    for low, high in zip(cuts, cuts[1:]):
-        marks.append(forward(marks[-1], low, high)[0][-1])
+    steps = Steps(sequences, model)
     moved, emitted = np.zeros((STATES, STATES)), np.zeros((SYMBOLS, STATES))
     started = np.zeros(STATES)
+    marks: list[np.ndarray | None] = [None]
+    for k in range(len(steps.cuts) - 2):
+        marks.append(steps.last(k, steps.forward(k, marks[-1])[0]).copy())
     ahead = np.ones((0, STATES))
     back = model.move.T.copy()
-    for low, mark in zip(reversed(cuts), reversed(marks)):
-        high = min(low + PIECE, len(longer))
-        states, emits, scales = forward(mark, low, high)
-        gammas = [np.empty(0)] * (high - low)
-        for t in range(high - low - 1, -1, -1):
-            beta = np.ones((longer[low + t], STATES))
-            m = len(ahead)
-            if m:
-                beta[:m] = ahead @ back
-                moved += states[t][:m].T @ ahead
-            gammas[t] = states[t] * beta
-            ahead = emits[t] * beta / scales[t]
-        flat, own = np.concatenate(gammas), steps[offsets[low] : offsets[high]]
-        emitted += np.stack([np.bincount(own, flat[:, k], SYMBOLS) for k in range(STATES)], 1)
+    for k in reversed(range(len(marks) if len(steps.symbols) else 0)):
+        low, high, base = steps.cuts[k], steps.cuts[k + 1], steps.offsets[steps.cuts[k]]
+        states, emits, scales = steps.forward(k, marks[k])
+        betas = np.empty_like(states)
+        # what a state is worth at the end of its sequence, where the states need not sum up to one
+        ends = steps.ends(k)
+        betas[ends] = (1 / states[ends].sum(1))[:, None]
+        moved += steps.last(k, states)[: len(ahead)].T @ ahead
+        for t in range(high - 1, low - 1, -1):
+            n, at = steps.longer[t], steps.offsets[t] - base
+            beta = betas[at : at + n]
+            if len(ahead):
+                np.dot(ahead, back, beta[: len(ahead)])
+            emit = emits[at : at + n]
+            ahead = np.multiply(emit, beta, emit)
+            if t in scales:
+                ahead /= scales[t][:, None]
+        # emits holds by now what lies ahead of the step before; each row meets the state of its sequence there
+        first = steps.longer[low]
+        before = np.arange(first, len(states)) - np.repeat(np.array(steps.longer[low : high - 1], np.int64), np.array(steps.longer[low + 1 : high], np.int64))
+        moved += states[before].T @ emits[first:]
+        ahead = ahead.copy()
+        gammas = np.multiply(states, betas, states)
+        own = steps.symbols[base : base + len(states)]
+        emitted += np.stack([np.bincount(own, gammas[:, i], SYMBOLS) for i in range(STATES)], 1)
         if low == 0:
-            started = gammas[0].sum(0)
+            started = gammas[:first].sum(0)
     return np.concatenate([started, (moved * model.move).ravel(), emitted.ravel()])
 
 
@@ -263,7 +317,7 @@ def encoded(texts: DataFrame, words: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[str, int] = {}
-        for batch in lengthy(batches, 4 << 20):
+        for batch in lengthy(lowered(batches, 2), 4 << 20):
             out, rare, rare_n, ends = [], [], [], [0]
             for text in batch.column(2).to_pylist():
                 tokens = words_in(text)

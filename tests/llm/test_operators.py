@@ -12,6 +12,7 @@ from itertools import product
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -497,3 +498,24 @@ def test_pipeline_by_stages(spark, sf, docs, odd):
         stage(spark, odd, sf).collect()
 
 
+
+
+def test_scaling_now_and_then_keeps_likelihoods(monkeypatch):
+    """Pieces of any size and states scaled at every step or every eighth give the same sums and likelihoods."""
+    rng = np.random.default_rng(3)
+    model = hmm.Model.first(rng.dirichlet(np.ones(hmm.SYMBOLS)), 4)
+    sequences = [rng.integers(0, hmm.SYMBOLS, n) for n in (1, 40, 8, 9, 40, 17, 2)]
+    monkeypatch.setattr(hmm, "SCALED", 1)
+    want = hmm.expectations(sequences, model), hmm.log_likelihoods(sequences, model)
+    for scaled, piece in ((8, 1 << 18), (8, 1), (8, 50), (3, 7)):
+        monkeypatch.setattr(hmm, "SCALED", scaled)
+        monkeypatch.setattr(hmm, "PIECE", piece)
+        assert np.allclose(hmm.expectations(sequences, model), want[0]) and np.allclose(hmm.log_likelihoods(sequences, model), want[1])
+    assert len(hmm.log_likelihoods([], model)) == 0
+
+
+def test_prepared_bytes():
+    texts = ["AbC\tÄ\nZ\x0b\x0c\r É", None, "", "\x1cX Y"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], ["i", "t"])
+    got = [b.column(1).to_pylist() for b in hmm.lowered(iter([batch, batch.slice(1, 3)]), 1)]
+    assert got[0] == ["abc Ä z    É", None, "", "\x1cx y"] and got[1] == got[0][1:]
