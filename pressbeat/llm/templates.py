@@ -29,8 +29,11 @@ from pressbeat.llm.common import let, materialize, text_of, without
 
 WINDOW, STRIDE, MIN_RUN, LITERALS, SHORTEST = 6, 3, 10, 3, 3
 LONG = WINDOW + STRIDE - 1
-# private-use characters, removed from texts beforehand; MAYBE is a name or the plain word that begins a sentence
-NUMBER, UNIT, NAME, MAYBE, CLOSE = "\ue001", "\ue002", "\ue003", "\ue004", "\ue000"
+# MAYBE is a name or the plain word that begins a sentence. The SQL statement marks with private-use characters, which are removed from texts
+# beforehand; here control characters do it, so that texts in ASCII stay so, and those of a text become OTHER, which separates words as they do
+S_NUMBER_SIGN, S_UNIT_SIGN, S_NAME_SIGN, S_MAYBE_SIGN, S_CLOSE_SIGN = PRIVATE = "\ue001", "\ue002", "\ue003", "\ue004", "\ue000"
+NUMBER, UNIT, NAME, MAYBE, CLOSE = SIGNS = "\x01", "\x02", "\x03", "\x04", "\x05"
+OTHER = "\x06"
 UNITS = (
     "kg|g|mg|lb|lbs|oz|km|m|cm|mm|mile|miles|ft|feet|inch|inches|meter|meters|metre|metres|liter|liters|litre|litres|ml|"
     "s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|month|months|year|years|"
@@ -39,20 +42,43 @@ UNITS = (
 # the same patterns twice: possessive for Java, whose plain group repeats recurse, and plain for the SQL statement
 J_CAPITALS = r"(^|[^\p{L}\p{N}])(\p{Lu}\p{L}*+(?: \p{Lu}\p{L}*+)*+)"
 S_CAPITALS = r"(^|[^\p{L}\p{N}])(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
-P_NAME = f"([\\p{{Ll}}\\p{{N}},;]) {MAYBE}"
+J_NAME = f"([\\p{{Ll}}\\p{{N}},;]) {MAYBE}"
+S_NAME = f"([\\p{{Ll}}\\p{{N}},;]) {S_MAYBE_SIGN}"
 J_NUMBER = r"([0-9]++(?:[.,][0-9]++)*+)"
 S_NUMBER = r"([0-9]+(?:[.,][0-9]+)*)"
-P_UNIT = f"({NUMBER}[^{CLOSE}]*{CLOSE}) +({UNITS})([^\\p{{L}}\\p{{N}}]|$)"
-P_TOKEN = f"[{NUMBER}-{MAYBE}][^{CLOSE}]*{CLOSE}|[\\p{{L}}\\p{{N}}]+"
+J_UNIT = f"({NUMBER}[^{CLOSE}]*+{CLOSE}) ++({UNITS})([^\\p{{L}}\\p{{N}}]|$)"
+S_UNIT = f"({S_NUMBER_SIGN}[^{S_CLOSE_SIGN}]*{S_CLOSE_SIGN}) +({UNITS})([^\\p{{L}}\\p{{N}}]|$)"
+J_TOKEN = f"[\\p{{L}}\\p{{N}}]++|[{NUMBER}-{MAYBE}][^{CLOSE}]*+{CLOSE}"
+S_TOKEN = f"[{S_NUMBER_SIGN}-{S_MAYBE_SIGN}][^{S_CLOSE_SIGN}]*{S_CLOSE_SIGN}|[\\p{{L}}\\p{{N}}]+"
+#: Windows of a text of templates, each followed by a space: one begins where the one before it ended its first STRIDE tokens, and none within a token.
+J_WINDOW = f"\\G(?=((?:[^ ]++ ){{{WINDOW}}}))(?:[^ ]++ ){{{STRIDE}}}"
 
 
 def tokens(text: Column) -> Column:
     """The tokens of a text; a placeholder carries its value between its sign and CLOSE."""
-    clean = F.translate(text, CLOSE + NUMBER + UNIT + NAME + MAYBE, "")
+    signs, private = "".join(SIGNS), "".join(PRIVATE)
+    clean = F.when(text.rlike(f"[{signs}{private}]"), F.translate(text, signs + private, OTHER * len(signs))).otherwise(text)
     marked = F.regexp_replace(clean, J_CAPITALS, f"$1{MAYBE}$2{CLOSE}")
-    named = F.lower(F.regexp_replace(marked, P_NAME, f"$1 {NAME}"))
-    numbered = F.when(named.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(named, J_NUMBER, f" {NUMBER}$1{CLOSE} "), P_UNIT, f"$1 {UNIT}$2{CLOSE}$3")).otherwise(named)
-    return F.regexp_extract_all(numbered, F.lit(P_TOKEN), F.lit(0))
+    named = F.lower(F.regexp_replace(marked, J_NAME, f"$1 {NAME}"))
+    numbered = F.when(named.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(named, J_NUMBER, f" {NUMBER}$1{CLOSE} "), J_UNIT, f"$1 {UNIT}$2{CLOSE}$3")).otherwise(named)
+    return F.regexp_extract_all(numbered, F.lit(J_TOKEN), F.lit(0))
+
+
+def with_tokens(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys`` and raw, the tokens. They are a column, since inside a lambda the texts named twice above would be made twice."""
+    return rows.select(*keys, tokens(F.col(text)).alias("raw"))
+
+
+def strided_grams(raw: Column) -> Column:
+    """The templates of every STRIDE-th window in both forms, a space behind each token; cut from one text of all tokens, not token by token."""
+    told = F.concat(F.array_join(raw, " "), F.lit(" "))
+    plain = F.translate(F.regexp_replace(told, f"([{NUMBER}-{NAME}])[^{CLOSE}]*+{CLOSE}", "$1"), MAYBE + CLOSE, "")
+    names = F.translate(F.regexp_replace(told, f"([{NUMBER}-{MAYBE}])[^{CLOSE}]*+{CLOSE}", "$1"), MAYBE, NAME)
+
+    def cut(templates: Column) -> Column:
+        return F.regexp_extract_all(templates, F.lit(J_WINDOW), F.lit(1))
+
+    return F.when(F.contains(told, F.lit(MAYBE)), F.concat(cut(plain), cut(names))).otherwise(cut(plain))
 
 
 def is_maybe(token: Column) -> Column:
@@ -77,8 +103,7 @@ def in_forms(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
         names = F.struct(F.lit("names").alias("form"), as_names(raw).alias("words"), F.transform(raw, lambda t: is_word(t) | is_maybe(t)).alias("wordy"))
         return F.array(plain, names)
 
-    forms = let(tokens(F.col(text)), both)
-    return rows.select(*keys, F.explode(forms).alias("f")).select(*keys, "f.*")
+    return with_tokens(rows, keys, text).select(*keys, F.explode(both(F.col("raw"))).alias("f")).select(*keys, "f.*")
 
 
 def template(token: Column) -> Column:
@@ -94,11 +119,17 @@ def window_starts(words: Column, step: int) -> Column:
 def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``keys``, place, gram and the tokens with values of every window of ``rows.words``."""
 
-    def cut(words):
-        return F.transform(window_starts(words, 1), lambda i: F.struct(i.alias("place"), F.slice(words, i, WINDOW).alias("tokens")))
+    words = F.col("words")
 
-    found = rows.select(*keys, F.explode(let(F.col("words"), cut)).alias("w"))
-    return found.select(*keys, "w.place", "w.tokens", F.array_join(F.transform("w.tokens", template), " ").alias("gram"))
+    def cut(kinds):
+        return F.transform(window_starts(words, 1), lambda i: F.struct(i.alias("place"), F.slice(words, i, WINDOW).alias("tokens"), F.array_join(F.slice(kinds, i, WINDOW), " ").alias("gram")))
+
+    return rows.select(*keys, F.explode(let(F.transform(words, template), cut)).alias("w")).select(*keys, "w.*")
+
+
+def gram_code(gram: Column) -> Column:
+    """The code of a template as strided_grams() writes it."""
+    return F.xxhash64(F.concat(gram, F.lit(" ")))
 
 
 def is_word(token: Column) -> Column:
@@ -198,7 +229,8 @@ def short_leaks(slim: DataFrame, items: DataFrame) -> DataFrame:
     def codes(words):
         return F.transform(short_codes(words, sizes), lambda s: F.xxhash64(s["gram"]))
 
-    seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), lambda w: F.concat(let(as_plain(w), codes), let(as_names(w), codes)))).alias("code"))
+    raw = F.col("raw")
+    seen = with_tokens(slim, ["doc_id"]).select("doc_id", F.explode(F.concat(let(as_plain(raw), codes), let(as_names(raw), codes))).alias("code"))
     able = materialize(seen.join(known, "code", "left_semi").select("doc_id").distinct(), "able")
     rows = in_forms(slim.join(able, "doc_id", "left_semi"), ["doc_id"])
     met = rows.select("doc_id", "form", F.explode(let(F.col("words"), lambda w: short_codes(w, sizes))).alias("w"))
@@ -230,40 +262,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     slim = docs.select(F.col(key).cast("bigint").alias("doc_id"), text_of(text).alias("text")).filter(F.col("doc_id").isNotNull())
 
     # the written set of item windows has a known size: a small one is broadcast, a large one is shuffled with the windows
-    known = materialize(grams.select(F.xxhash64(F.split("gram", " ")).alias("code")).distinct(), "codes")
-
-    def codes(words):
-        forms = F.transform(words, template)
-        return let(forms, lambda w: F.transform(window_starts(w, STRIDE), lambda i: F.xxhash64(F.slice(w, i, WINDOW))))
-
-    def both(words):
-        return F.when(F.exists(words, is_maybe), F.concat(codes(as_plain(words)), codes(as_names(words)))).otherwise(codes(words))
-
-    seen = slim.select("doc_id", F.explode(let(tokens(F.col("text")), both)).alias("code"))
+    known = materialize(grams.select(gram_code(F.col("gram")).alias("code")).distinct(), "codes")
+    raw = with_tokens(slim, ["doc_id"])
+    seen = raw.select("doc_id", F.explode(strided_grams(F.col("raw"))).alias("gram")).select("doc_id", F.xxhash64("gram").alias("code"))
     able = materialize(seen.join(known, "code", "left_semi").select("doc_id").distinct(), "able")
 
     def forms_of(ids: DataFrame) -> DataFrame:
         return in_forms(slim.join(ids, "doc_id", "left_semi").withColumn("version", F.xxhash64("text")), ["doc_id", "version"])
 
-    found = [reported(windows(forms_of(able), doc_keys).join(grams, ["gram", "form"]))]
+    def met_windows(rows: DataFrame) -> DataFrame:
+        """The windows that are an item's; most are none and go before the shuffle, if the codes are broadcast."""
+        met = windows(rows, doc_keys).withColumn("code", gram_code(F.col("gram")))
+        return met.join(known, "code", "left_semi").drop("code").join(grams, ["gram", "form"])
+
+    found = [reported(met_windows(forms_of(able)))]
 
     if not grams_of_items.filter(~rich).isEmpty():
         found = [materialize(found[0], "found")]
         longest = items.agg(F.max("item_tokens")).first()[0]
         sparse = materialize(sparse_rows(items, item_keys, longest), "sparse").withColumnsRenamed({"place": "item_place", "tokens": "item_words"})
-        known = materialize(sparse.select(F.xxhash64("gram").alias("code")).distinct(), "codes")
+        known_sparse = materialize(sparse.select(F.xxhash64("gram").alias("code")).distinct(), "codes")
 
         def poor_codes(words):
             return let(words, lambda w: F.transform(sparse_windows(w, F.lit(longest)), lambda s: F.xxhash64(s["gram"])))
 
-        codes_of = let(tokens(F.col("text")), lambda w: F.concat(poor_codes(as_plain(w)), poor_codes(as_names(w))))
-        able = materialize(slim.select("doc_id", F.explode(codes_of).alias("code")).join(known, "code", "left_semi").select("doc_id").distinct(), "able")
+        codes_of = F.concat(poor_codes(as_plain(F.col("raw"))), poor_codes(as_names(F.col("raw"))))
+        able = materialize(raw.select("doc_id", F.explode(codes_of).alias("code")).join(known_sparse, "code", "left_semi").select("doc_id").distinct(), "able")
         rows = forms_of(able)
         wide = sparse_rows(rows, doc_keys, longest).join(sparse, ["gram", "form"])
         wide = wide.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - WINDOW)).alias("k"))
         cut = [*doc_keys, "item_id", "item_tokens", (F.col("place") + F.col("k")).alias("place"), (F.col("item_place") + F.col("k")).alias("item_place")]
         wide = wide.select(*cut, *(F.slice(c, F.col("k") + 1, WINDOW).alias(c) for c in ("tokens", "item_words")))
-        whole = windows(rows, doc_keys).join(grams, ["gram", "form"]).select(wide.columns).unionByName(wide)
+        whole = met_windows(rows).select(wide.columns).unionByName(wide)
         found.append(reported(whole))
     short = every.filter(F.col("item_tokens") < LONG)
     if not short.isEmpty():
@@ -277,22 +307,22 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _forms(source: str, keys: str) -> str:
-    clean = f"translate(coalesce(text, ''), '{CLOSE}{NUMBER}{UNIT}{NAME}{MAYBE}', '')"
-    marked = f"regexp_replace({clean}, '{S_CAPITALS}', '\\1{MAYBE}\\2{CLOSE}', 'g')"
-    named = f"lower(regexp_replace({marked}, '{P_NAME}', '\\1 {NAME}', 'g'))"
-    numbered = f"regexp_replace({named}, '{S_NUMBER}', ' {NUMBER}\\1{CLOSE} ', 'g')"
-    units = f"regexp_replace({numbered}, '{P_UNIT}', '\\1 {UNIT}\\2{CLOSE}\\3', 'g')"
-    own = f"(SELECT {keys}, regexp_extract_all({units}, '{P_TOKEN}') AS raw FROM {source})"
-    wordy = f"list_transform(raw, lambda t: t[-1] <> '{CLOSE}' OR t[1] = '{MAYBE}')"
-    plain = f"flatten(list_transform(raw, lambda t: CASE WHEN t[1] = '{MAYBE}' THEN string_split(t[2:-2], ' ') ELSE [t] END))"
-    names = f"list_transform(raw, lambda t: CASE WHEN t[1] = '{MAYBE}' THEN '{NAME}' || t[2:] ELSE t END)"
-    first = f"SELECT *, list_transform(words, lambda t: t[-1] <> '{CLOSE}') AS wordy FROM (SELECT *, 'plain' AS form, {plain} AS words FROM {own})"
+    clean = f"translate(coalesce(text, ''), '{S_CLOSE_SIGN}{S_NUMBER_SIGN}{S_UNIT_SIGN}{S_NAME_SIGN}{S_MAYBE_SIGN}', '')"
+    marked = f"regexp_replace({clean}, '{S_CAPITALS}', '\\1{S_MAYBE_SIGN}\\2{S_CLOSE_SIGN}', 'g')"
+    named = f"lower(regexp_replace({marked}, '{S_NAME}', '\\1 {S_NAME_SIGN}', 'g'))"
+    numbered = f"regexp_replace({named}, '{S_NUMBER}', ' {S_NUMBER_SIGN}\\1{S_CLOSE_SIGN} ', 'g')"
+    units = f"regexp_replace({numbered}, '{S_UNIT}', '\\1 {S_UNIT_SIGN}\\2{S_CLOSE_SIGN}\\3', 'g')"
+    own = f"(SELECT {keys}, regexp_extract_all({units}, '{S_TOKEN}') AS raw FROM {source})"
+    wordy = f"list_transform(raw, lambda t: t[-1] <> '{S_CLOSE_SIGN}' OR t[1] = '{S_MAYBE_SIGN}')"
+    plain = f"flatten(list_transform(raw, lambda t: CASE WHEN t[1] = '{S_MAYBE_SIGN}' THEN string_split(t[2:-2], ' ') ELSE [t] END))"
+    names = f"list_transform(raw, lambda t: CASE WHEN t[1] = '{S_MAYBE_SIGN}' THEN '{S_NAME_SIGN}' || t[2:] ELSE t END)"
+    first = f"SELECT *, list_transform(words, lambda t: t[-1] <> '{S_CLOSE_SIGN}') AS wordy FROM (SELECT *, 'plain' AS form, {plain} AS words FROM {own})"
     return f"{first} UNION ALL SELECT *, 'names', {names}, {wordy} FROM {own}"
 
 
-_TOKENS = f"""SELECT * EXCLUDE (raw, words, wordy), words[place] AS word, wordy[place]::INT AS wordy, words[place][-1] <> '{CLOSE}' AS plain,
-  CASE WHEN words[place][-1] = '{CLOSE}' THEN words[place][1] ELSE words[place] END AS kind FROM (SELECT *, unnest(range(1, len(words) + 1)) AS place FROM {{source}})"""
-_GRAMS = f"""SELECT {{keys}}, size, array_to_string(list_transform(words[p : p + size - 1], lambda t: CASE WHEN t[-1] = '{CLOSE}' THEN t[1] ELSE t END), ' ') AS gram
+_TOKENS = f"""SELECT * EXCLUDE (raw, words, wordy), words[place] AS word, wordy[place]::INT AS wordy, words[place][-1] <> '{S_CLOSE_SIGN}' AS plain,
+  CASE WHEN words[place][-1] = '{S_CLOSE_SIGN}' THEN words[place][1] ELSE words[place] END AS kind FROM (SELECT *, unnest(range(1, len(words) + 1)) AS place FROM {{source}})"""
+_GRAMS = f"""SELECT {{keys}}, size, array_to_string(list_transform(words[p : p + size - 1], lambda t: CASE WHEN t[-1] = '{S_CLOSE_SIGN}' THEN t[1] ELSE t END), ' ') AS gram
   FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS p FROM {{source}}, (SELECT unnest([{SHORTEST}, {WINDOW}]) AS size))"""
 #: Texts that share a window with an item are compared with it token by token. Tokens of one kind that follow each other on a diagonal are a stretch. A window of it counts if it holds enough plain words, has the same values,
 #: or has enough plain words from its first token to the end of the stretch or from the beginning of the stretch to its last token.

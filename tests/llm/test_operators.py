@@ -500,6 +500,18 @@ def test_pipeline_by_stages(spark, sf, docs, odd):
 
 
 
+def test_windows_are_cut_from_the_text_as_from_the_tokens(spark):
+    """Every STRIDE-th window in both forms, for texts with signs of their own, letters outside the basic plane and long words."""
+    texts = ["", "one two", "Tom has 5 kg of red Apples. Mary has 3. They give 2,5 to Ann Lee and 7 miles more", "a\x01Bob \x05cd \U0001d41a Eve x y z İstanbul go\nOn and on ΣΑΣ to 3.5 kg", "x" * 20000 + " y " + "z" * 20000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    cut = {r.doc_id: sorted(r.g) for r in templates.with_tokens(docs, ["doc_id"]).select("doc_id", templates.strided_grams(F.col("raw")).alias("g")).collect()}
+    forms = {(r.doc_id, r.form): r for r in templates.in_forms(docs, ["doc_id"]).select("*", F.transform("words", templates.template).alias("kinds")).collect()}
+    for i in range(len(texts)):
+        want = [[" ".join(w[k : k + 6]) + " " for k in range(0, len(w) - 5, 3)] for w in (forms[i, "plain"].kinds, forms[i, "names"].kinds)]
+        same = forms[i, "plain"].words == forms[i, "names"].words
+        assert cut[i] == sorted(want[0] if same else want[0] + want[1])
+
+
 def test_scaling_now_and_then_keeps_likelihoods(monkeypatch):
     """Pieces of any size and states scaled at every step or every eighth give the same sums and likelihoods."""
     rng = np.random.default_rng(3)
